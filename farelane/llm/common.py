@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +20,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     shared_dir(spark)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once for each context."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_farelane_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        at = Path(tempfile.mkdtemp(prefix="farelane-")).resolve()
+        shutil.copytree(package, at / "src" / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+        sc.addPyFile(shutil.make_archive(str(at / package.name), "zip", at / "src"))
+        sc._farelane_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup
+from . import chat, exact_dedup, language_id, packing
 
 QUERIES = {
+    "op1_language_id": language_id.query,
     "op4_exact_dedup": exact_dedup.query,
+    "op5_best_fit_packing": packing.query,
     "op9_chat_formatting": chat.query,
 }
 ORACLE_SQL = {
