@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language_id, packing
+from . import chat, exact_dedup, language_id, packing, pii
 
 QUERIES = {
     "op1_language_id": language_id.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_best_fit_packing": packing.query,
+    "op7_pii": pii.query,
     "op9_chat_formatting": chat.query,
 }
 ORACLE_SQL = {
