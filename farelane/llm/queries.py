@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language_id, packing, pii
+from . import chat, exact_dedup, language_id, nearest, packing, pii
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_best_fit_packing": packing.query,
     "op7_pii": pii.query,
     "op9_chat_formatting": chat.query,
+    "op10_nearest": nearest.query,
 }
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.SQL,
