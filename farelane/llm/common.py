@@ -6,7 +6,8 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch sent to Python; long texts are bounded by Spark's own byte limit besides.
 ARROW_ROWS = 2000
@@ -50,3 +51,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_mark(text: str = "text") -> Column:
+    """A hash that tells rows with one doc_id apart by their whole text."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose decision (doc_id, mark, kept) is to stay, with all their columns.
+
+    Losers go by doc_id. Only ids that occur more than once, or null, are settled by text as well: of rows that
+    share both, as many stay as were decided to (they are equal in what was decided upon).
+    """
+    decided = decided.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "kept").checkpoint()
+    odd = decided.groupBy("__id").agg(F.count("*").alias("__n")).filter("__n > 1 OR __id IS NULL").select("__id").checkpoint()
+    lost = decided.filter("NOT kept").select("__id")
+    rows = docs.withColumn("__doc", F.col("doc_id").cast("long"))
+    if odd.isEmpty():
+        return rows.join(lost, F.col("__doc") == F.col("__id"), "left_anti").drop("__doc")
+    same = F.col("__doc").eqNullSafe(F.col("__id"))
+    plain = rows.join(odd, same, "left_anti").join(lost, F.col("__doc") == F.col("__id"), "left_anti").drop("__doc")
+    left = decided.groupBy("__id", "__mark").agg(F.count_if("kept").alias("__left"))
+    some = rows.join(odd, same, "left_semi").withColumn("__m", text_mark())
+    some = some.withColumn("__k", F.row_number().over(Window.partitionBy("__doc", "__m").orderBy(*sorted(docs.columns))))
+    some = some.join(left, same & (F.col("__m") == F.col("__mark"))).filter(F.col("__k") <= F.col("__left"))
+    return plain.unionByName(some.select(*docs.columns))

@@ -18,10 +18,10 @@ Other columns are ignored by ``dedup_groups`` and passed through by ``dedup``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table
+from .common import keep_rows, prepare, table, text_mark
 
 #: Rounds of the binomial tree: 2**ROUNDS runs.
 ROUNDS = 4
@@ -33,11 +33,12 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
 
 
-def digest_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def digest_rows(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """One short row per document: id, digest, run and a row number that stays fixed once checkpointed."""
-    norm = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), normalised(F.col(f"`{text}`")).alias("norm"))
+    norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), normalised(F.col("text")).alias("norm"))
     return norm.select(
         "doc_id",
+        "mark",
         F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha"),
         F.octet_length("norm").alias("bytes"),
         F.xxhash64("norm").alias("other"),
@@ -56,10 +57,10 @@ def merge_runs(digests: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Dat
     return lowest, level.drop("run")
 
 
-def dedup_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+def dedup_groups(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, mark."""
     prepare(docs.sparkSession)
-    digests = digest_rows(docs, doc_id, text, rounds).checkpoint()  # read three times below; row numbers stay
+    digests = digest_rows(docs, rounds).checkpoint()  # read three times below; row numbers stay
     lowest, root = merge_runs(digests, rounds)
     down = lowest.select(*KEY, "run").join(root, KEY)
     return digests.join(down, [*KEY, "run"]).select(
@@ -68,32 +69,17 @@ def dedup_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ro
         F.col("n").alias("group_size"),
         (F.col("row") == F.col("first.row")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        "mark",
     )
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns.
-
-    Losers are found by id; only if an id occurs more than once (or is null) are the few such rows
-    settled by their text as well.
-    """
-    groups = dedup_groups(docs, doc_id, text, rounds).checkpoint()
-    ids = F.col("doc_id").alias("__id")
-    odd = groups.groupBy(ids).agg(F.count("*").alias("__n")).filter((F.col("__n") > 1) | F.col("__id").isNull()).select("__id").checkpoint()
-    lost = groups.filter(~F.col("kept")).select(ids)
-    same = docs[doc_id].eqNullSafe(F.col("__id"))
-    if odd.isEmpty():
-        return docs.join(lost, docs[doc_id] == F.col("__id"), "left_anti")
-    rest = docs.join(odd, same, "left_anti").join(lost, docs[doc_id] == F.col("__id"), "left_anti")
-    kept = groups.filter("kept").select(ids, F.col("text_sha256").alias("__sha"))
-    some = docs.join(odd, same, "left_semi").withColumn("__sha2", F.sha2(normalised(F.col(f"`{text}`")).cast("binary"), 256))
-    some = some.join(kept, some[doc_id].eqNullSafe(F.col("__id")) & (F.col("__sha2") == F.col("__sha")), "left_semi")
-    one = F.row_number().over(Window.partitionBy(doc_id, "__sha2").orderBy(text))
-    return rest.unionByName(some.withColumn("__k", one).filter("__k = 1").drop("__k", "__sha2"))
+def dedup(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """The rows of ``docs`` that stay, all their columns."""
+    return keep_rows(docs, dedup_groups(docs, rounds=rounds))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_groups(table(spark, sf_dir, "documents"))
+    return dedup_groups(table(spark, sf_dir, "documents")).drop("mark")
 
 
 SQL = r"""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language_id, nearest, packing, pii
+from . import chat, exact_dedup, language_id, near_dup, nearest, packing, pii
 
 QUERIES = {
     "op1_language_id": language_id.query,
+    "op2_minhash_near_dedup": near_dup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op5_best_fit_packing": packing.query,
     "op7_pii": pii.query,
