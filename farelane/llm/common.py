@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,6 +26,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fresh_folder(spark: SparkSession, what: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python, once for each context."""
     sc = spark.sparkContext
