@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -59,6 +60,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often and deep in higher-order functions body names it.
+
+    Without it the optimizer may put a column's expression into a lambda that uses the column, to be computed for each element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text_mark(text: str = "text") -> Column:
     """A hash that tells rows with one doc_id apart by their whole text."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
