@@ -2,58 +2,22 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import cluster
+from ..cluster import fresh_folder as fresh_folder
+
 #: Rows of one Arrow batch sent to Python; long texts are bounded by Spark's own byte limit besides.
 ARROW_ROWS = 2000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound Arrow batches and make sure that checkpoint() has a folder.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; only where that is unset (tests,
-    local mode) a temporary folder is used.
-    """
+    """Bound Arrow batches, name a folder for checkpoint(), and send this package to the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    shared_dir(spark)
-    ship(spark)
-    return spark
-
-
-def fresh_folder(spark: SparkSession, what: str) -> str:
-    """A new folder in the shared one."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once for each context."""
-    sc = spark.sparkContext
-    if not getattr(sc, "_farelane_shipped", False):
-        package = Path(__file__).resolve().parents[1]
-        at = Path(tempfile.mkdtemp(prefix="farelane-")).resolve()
-        shutil.copytree(package, at / "src" / package.name, ignore=shutil.ignore_patterns("__pycache__"))
-        sc.addPyFile(shutil.make_archive(str(at / package.name), "zip", at / "src"))
-        sc._farelane_shipped = True
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    sc = spark.sparkContext
-    held = sc._jsc.sc().getCheckpointDir()
-    if held.isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="farelane-"))
-        held = sc._jsc.sc().getCheckpointDir()
-    return held.get()
+    return cluster.prepare(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
