@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import let, table
 
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", "\n</turn>\n"
 CONTROL = r"(\\*)(### |</turn>)"
@@ -88,51 +88,82 @@ def conversations_as_turns(rows: DataFrame) -> DataFrame:
     return rows.groupBy("conv_id").agg(F.transform(ordered, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
+def written(turns: Column) -> Column:
+    """struct(formatted, parsed): the first level of escaping at which the parser gives the turns back; null if none does."""
+
+    def level(k: int) -> Column:
+        def tried(formatted: Column) -> Column:
+            return let(parse(formatted), lambda parsed: F.when(parsed.eqNullSafe(turns), F.struct(formatted.alias("formatted"), parsed.alias("parsed"))))
+
+        return let(render(turns, k), tried)
+
+    return F.coalesce(*[level(k) for k in range(LEVELS)])
+
+
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, turns (source), formatted, parsed (read back from it), loss (array of struct(start, length)).
+    """conv_id, turns (source), formatted, parsed (read back from it), loss (array of struct(start, length, text)).
 
-    ``loss`` are the spans of the assistant's bodies in ``formatted``, in code points from 0.
+    ``loss`` are the spans of the assistant's bodies in ``formatted``, in code points from 0, and the unescaped text under each.
     """
-    from_source = conversations_as_turns(rows)
-    tried = from_source.withColumn("formatted", render(F.col("turns"), 0)).withColumn("parsed", parse(F.col("formatted")))
-    for level in range(1, LEVELS):
-        differs = ~F.col("parsed").eqNullSafe(F.col("turns"))
-        tried = tried.withColumn("formatted", F.when(differs, render(F.col("turns"), level)).otherwise(F.col("formatted")))
-        tried = tried.withColumn("parsed", F.when(differs, parse(F.col("formatted"))).otherwise(F.col("parsed")))
     wrong = F.raise_error(F.concat(F.lit("conversation doesn't read back as written: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
-    tried = tried.withColumn("parsed", F.when(F.col("parsed").eqNullSafe(F.col("turns")), F.col("parsed")).otherwise(wrong))
-    return tried.withColumn("loss", loss_spans(F.col("formatted")))
+    done = let(F.col("turns"), lambda t: let(written(t), lambda x: F.when(x.isNotNull(), F.struct(x["formatted"].alias("formatted"), x["parsed"].alias("parsed"), loss_spans(x["formatted"]).alias("loss")))))
+    return conversations_as_turns(rows).select("conv_id", "turns", done.alias("x")).select("conv_id", "turns", F.when(F.col("x").isNull(), wrong).otherwise(F.col("x")).alias("x")).select("conv_id", "turns", "x.*")
 
 
 def loss_spans(formatted: Column) -> Column:
-    """Spans of assistant bodies, found in the formatted text alone."""
+    """Spans of assistant bodies and the text under them, found in the formatted text alone."""
     pieces = F.transform(
         F.filter(F.split(formatted, r"(?<!\\)</turn>\n"), lambda p: p != ""),
-        lambda p: F.struct(F.locate(":", p).alias("colon"), F.char_length(p).alias("size"), p.startswith(OPEN + "assistant:").alias("on")),
+        lambda p: let(F.locate(":", p), lambda colon: F.struct(colon.alias("colon"), F.char_length(p).alias("size"), p.alias("piece"))),
     )
     step = len(CLOSE) - 1  # the piece keeps the line break before the marker
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    assistant = OPEN + "assistant:"
+
+    def spans(all_pieces: Column) -> Column:
+        ends = let(F.transform(all_pieces, lambda p: p["size"] + step), running_sums)
+        placed = F.arrays_zip(all_pieces.alias("p"), ends.alias("end"))
+        on = F.filter(placed, lambda x: x["p"]["piece"].startswith(assistant))
+        return F.transform(on, one)
+
+    def one(x: Column) -> Column:
+        p, end = x["p"], x["end"]
+        length = p["size"] - p["colon"] - len(AFTER_ROLE)
+        start = end - step - p["size"] + p["colon"] + len(AFTER_ROLE) - 1
+        return F.struct(start.cast("long").alias("start"), length.cast("long").alias("length"), unescape(F.substring(p["piece"], p["colon"] + len(AFTER_ROLE), length)).alias("text"))
+
+    return let(pieces, spans)
+
+
+def running_sums(values: Column) -> Column:
+    """Inclusive sums of an array, in one pass: an accumulator of (sum, list) would copy the list at every step."""
+    half = F.lit(64)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / half).cast("int")), lambda b: F.slice(values, b * half + 1, half))
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
+
+    def within(before: Column, block: Column) -> Column:
+        return F.transform(block, lambda x, i: before + total(F.slice(block, 1, i + 1)))
 
-    def add(acc: Column, p: Column) -> Column:
-        span = F.struct((acc["at"] + p["colon"] + 1).cast("int").alias("start"), (p["size"] - p["colon"] - len(AFTER_ROLE)).cast("int").alias("length"))
-        return F.struct((acc["at"] + p["size"] + step).alias("at"), F.when(p["on"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def joined(bs: Column) -> Column:
+        return let(F.transform(bs, total), lambda totals: F.flatten(F.transform(bs, lambda block, b: let(total(F.slice(totals, 1, b)), lambda before: within(before, block)))))
 
-    return F.aggregate(pieces, start, add, lambda acc: acc["spans"])
+    return let(blocks, joined)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """The digest columns, all from what was read back from the formatted text and its mask."""
     whole = F.array_join(F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    masked = F.array_join(F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")
-    out = formatted.select("conv_id", F.size("parsed").cast("long").alias("n_turns"), whole.alias("whole"), masked.alias("masked"), F.char_length("formatted").cast("long").alias("formatted_chars"))
-    return out.select(
-        "conv_id",
-        "n_turns",
-        F.sha2(F.col("whole").cast("binary"), 256).alias("turns_sha256"),
-        F.char_length("masked").cast("long").alias("loss_chars"),
-        F.sha2(F.col("masked").cast("binary"), 256).alias("loss_sha256"),
-        "formatted_chars",
+    masked = F.array_join(F.transform("loss", lambda s: s["text"]), "")
+    made = let(
+        masked,
+        lambda m: F.struct(
+            F.size("parsed").cast("long").alias("n_turns"),
+            F.sha2(whole.cast("binary"), 256).alias("turns_sha256"),
+            F.char_length(m).cast("long").alias("loss_chars"),
+            F.sha2(m.cast("binary"), 256).alias("loss_sha256"),
+            F.char_length("formatted").cast("long").alias("formatted_chars"),
+        ),
     )
+    return formatted.select("conv_id", made.alias("x")).select("conv_id", "x.*")
 
 
 #: The contract's extra conversation.
