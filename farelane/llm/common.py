@@ -43,16 +43,16 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     Losers go by doc_id. Only ids that occur more than once, or null, are settled by text as well: of rows that
     share both, as many stay as were decided to (they are equal in what was decided upon).
     """
-    decided = decided.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "kept").checkpoint()
-    odd = decided.groupBy("__id").agg(F.count("*").alias("__n")).filter("__n > 1 OR __id IS NULL").select("__id").checkpoint()
-    lost = decided.filter("NOT kept").select("__id")
-    rows = docs.withColumn("__doc", F.col("doc_id").cast("long"))
+    decided = decided.select("doc_id", "mark", "kept").checkpoint()
+    odd = decided.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").select("doc_id").checkpoint()
+    lost = decided.filter("NOT kept").select("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("whole"))  # no name of docs can clash
     if odd.isEmpty():
-        return rows.join(lost, F.col("__doc") == F.col("__id"), "left_anti").drop("__doc")
-    same = F.col("__doc").eqNullSafe(F.col("__id"))
-    plain = rows.join(odd, same, "left_anti").join(lost, F.col("__doc") == F.col("__id"), "left_anti").drop("__doc")
-    left = decided.groupBy("__id", "__mark").agg(F.count_if("kept").alias("__left"))
-    some = rows.join(odd, same, "left_semi").withColumn("__m", text_mark())
-    some = some.withColumn("__k", F.row_number().over(Window.partitionBy("__doc", "__m").orderBy(*sorted(docs.columns))))
-    some = some.join(left, same & (F.col("__m") == F.col("__mark"))).filter(F.col("__k") <= F.col("__left"))
-    return plain.unionByName(some.select(*docs.columns))
+        return rows.join(lost, "doc_id", "left_anti").select("whole.*")
+    known = odd.select(F.col("doc_id").alias("id"))
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    plain = rows.join(known, same, "left_anti").join(lost, "doc_id", "left_anti").select("whole.*")
+    left = decided.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.count_if("kept").alias("n_left"))
+    some = rows.join(known, same, "left_semi").withColumn("mark", text_mark("whole.text"))
+    some = some.withColumn("k", F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy(F.xxhash64("whole"))))
+    return plain.unionByName(some.join(left, same & (F.col("mark") == F.col("of"))).filter("k <= n_left").select("whole.*"))

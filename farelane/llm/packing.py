@@ -68,10 +68,10 @@ def sum_of_squares(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
         s = int(sizes[i])
         fits = count[s:] > 0
         if fits.any():
-            # change of the sum of squares, halved: a bin of gap g becomes one of gap g - s
-            change = np.where(fits, count[: capacity - s + 1] - count[s:] + 1, never)
+            # change of the sum of squares: a bin of gap g becomes one of gap g - s
+            change = np.where(fits, 2 * (count[: capacity - s + 1] - count[s:]) + 2, never)
             if fits[0]:
-                change[0] = -count[s]  # a filled bin is no longer open: 1/2 - count, rounded down
+                change[0] = 1 - 2 * count[s]  # a filled bin is no longer open
             gap = int(change.argmin()) + s
             bins[i] = open_bins[gap].pop()
             count[gap] -= 1

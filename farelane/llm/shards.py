@@ -13,7 +13,7 @@ manifest doesn't name. What a lost executor or driver leaves behind is named in
 Only DataFrame reads and writes touch the rows; file sizes come from a listing as a DataFrame, and the manifest's entries (one a
 shard, not a row) decide the merges on the driver.
 
-Edges: rows are kept as they are: nulls, repeated rows, any columns (``_metadata`` excepted). An empty append commits a version without
+Edges: rows are kept as they are: nulls, repeated rows, any columns (``_metadata`` and ``_shard`` excepted). An empty append commits a version without
 new shards.
 """
 
@@ -119,11 +119,11 @@ class Store:
         return self.spark.read.parquet(f"{self.root}/{self.manifest().select('shard').first()[0]}").schema
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, with the shard each is in as ``shard``."""
+        """The rows of a version, with the shard each is in as ``_shard``."""
         entries = self.manifest(version).collect()
         rows = self.spark.read.parquet(*[f"{self.root}/{e['shard']}" for e in entries])
         name = F.concat_ws("/", F.lit("data"), F.slice(F.split("_metadata.file_path", "/"), -2, 2))
-        return rows.select("*", name.alias("shard"))
+        return rows.select("*", name.alias("_shard"))
 
     def vacuum(self) -> int:
         """Deletes shards that the newest manifest doesn't name; returns their number."""
@@ -148,7 +148,7 @@ def placed(docs: DataFrame, target: int = TARGET) -> DataFrame:
     entries = store.manifest(version).select("shard", F.col("n_rows").alias("shard_rows"), "tier")
     if entries.isEmpty():
         return spark.createDataFrame([], "doc_id long, shard string, shard_rows long, tier int, version int, text_crc32 long")
-    rows = store.read(version).select(F.col("doc_id").cast("long").alias("doc_id"), "shard", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    rows = store.read(version).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_shard").alias("shard"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     return rows.join(entries, "shard").select("doc_id", "shard", "shard_rows", "tier", F.lit(version).alias("version"), "text_crc32")
 
 
