@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import geo
+from ..functions import geo, properties
 from ..functions.geo import EARTH_KM
 from ..functions.kernels import DEGREE_KM
-from ..operators import choose, features, mapjoin, matches, network, schedule
+from ..operators import choose, features, mapjoin, matcher, matches, network, schedule
 from .fixtures import relation
 
 QUERIES = {}
@@ -335,6 +335,68 @@ def presplit(t):
     return rows.select("id", "part", F.round("start_km", 5).alias("start_km"), F.round("stop_km", 5).alias("stop_km"), "make_dense")
 
 
+# --- scalar and array functions ---
+
+
+@query("""
+WITH p AS (SELECT shape_id, shape_pt_sequence AS q, round(CAST(shape_pt_lat AS DOUBLE), 3) AS lat, row_number() OVER (PARTITION BY shape_id ORDER BY shape_pt_sequence) AS k FROM tx_shapes),
+d AS (SELECT *, lag(lat) OVER (PARTITION BY shape_id ORDER BY k) AS b FROM p)
+SELECT shape_id AS id, count(*) FILTER (b IS NULL OR b <> lat) AS n FROM d GROUP BY 1
+""")
+def repeat_free_lines(t):
+    flat = F.transform("coords", lambda c: F.struct(F.lit(0.0).alias("lon"), F.round(c["lat"], 3).alias("lat")))
+    return lines_of(t).select("id", flat.alias("coords")).select("id", F.size(geo.without_repeats(F.col("coords"))).cast("long").alias("n"))
+
+
+@query("""
+SELECT p_partkey AS id, CASE WHEN k <= m AND k <= s AND k <= f THEN 1.0 WHEN m <= s AND m <= f THEN 1.609344 WHEN s <= f THEN 0.001 ELSE 0.0003048 END AS factor
+FROM (SELECT p_partkey, abs(d - len) AS k, abs(d * 1.609344 - len) AS m, abs(d * 0.001 - len) AS s, abs(d * 0.0003048 - len) AS f FROM (SELECT p_partkey, p_retailprice AS d, p_size * 1.0E0 AS len FROM part) x) y
+""")
+def distance_units(t):
+    rows = t("part")
+    return rows.select(F.col("p_partkey").alias("id"), features.kilometres(F.col("p_retailprice"), F.col("p_size").cast("double")).alias("factor"))
+
+
+@query("""
+SELECT id, list_has_all(b, a) AS subset, (array_to_string(b, ',') || ',') LIKE ('%,' || array_to_string(a, ',') || ',%') OR (array_to_string(b, ',') || ',') LIKE (array_to_string(a, ',') || ',%') AS run
+FROM (SELECT id, [id % 3, id % 2] AS a, [id % 2, id % 3, id % 2, id % 5] AS b FROM tx_matches) x
+""")
+def array_tests(t):
+    i = F.col("id")
+    a, b = F.array(i % 3, i % 2), F.array(i % 2, i % 3, i % 2, i % 5)
+    return t("tx_matches").select("id", matches.is_subset(a, b).alias("subset"), matches.is_substring(a, b).alias("run"))
+
+
+@query(f"""
+WITH {LINES}, brng AS (SELECT shape_id, seg, {sql_bearing('a_lon', 'a_lat', 'b_lon', 'b_lat')} AS b FROM steps), d AS (SELECT shape_id, seg, b - lag(b) OVER (PARTITION BY shape_id ORDER BY seg) AS d FROM brng)
+SELECT shape_id AS id, seg, round(CASE WHEN d < -180 THEN d + 360 ELSE d END, 5) + 0.0E0 AS turn FROM d WHERE d IS NOT NULL
+""")
+def relative_bearings(t):
+    n = F.size("coords")
+    b = F.zip_with(F.slice("coords", F.lit(1), n - 1), F.slice("coords", F.lit(2), n - 1), geo.bearing)
+    rows = lines_of(t).select("id", b.alias("b"))
+    turns = F.zip_with(F.slice("b", F.lit(1), F.size("b") - 1), F.slice("b", F.lit(2), F.size("b") - 1), geo.relative_bearing)
+    return rows.select("id", F.posexplode(turns).alias("seg", "turn")).select("id", (F.col("seg") + 1).alias("seg"), (F.round("turn", 5) + 0.0).alias("turn"))
+
+
+# --- properties ---
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, event_type AS kind FROM events")
+def feature_properties(t):
+    """A property set from a column, one read from the JSON text, one dropped."""
+    patch = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("gone"), F.lit(None).cast("string"))
+    p = properties.merged(F.map_concat(properties.as_map(F.col("props")), F.create_map(F.lit("gone"), F.lit("x"))), patch)
+    rows = t("events").select("event_id", properties.extract(F.col("props"), "k").alias("k"), p.alias("p"))
+    return rows.select("event_id", "k", F.when(~F.map_contains_key("p", F.lit("gone")), F.col("p")["kind"]).alias("kind"))
+
+
+@query("SELECT user_id % 50 AS grp, event_type AS kind, count(*) AS n FROM events GROUP BY 1, 2")
+def grouped_properties(t):
+    counts = t("events").groupBy((F.col("user_id") % 50).alias("grp"), F.col("event_type").alias("kind")).agg(F.count("*").alias("n"))
+    return counts.groupBy("grp").agg(properties.grouped(F.col("kind"), F.col("n")).alias("m")).select("grp", F.explode("m").alias("kind", "n"))
+
+
 # --- kernels; tests hold them against brute force ---
 
 
@@ -374,3 +436,17 @@ def cospatial_join(t):
     m, s = matched(t), network.shape_segments(shaped(t))
     road = s.select(F.xxhash64("shape_id", "shape_index").bitwiseAND(2**53 - 1).alias("id"), F.concat_ws("/", "shape_id", "shape_index").alias("shst_reference"), "coords")
     return mapjoin.conflation_join(road, m, choose.chosen_paths(s, m))
+
+
+@query()
+def segment_matches(t):
+    """The built-in matcher between the network and its own lines as roads."""
+    roads = lines_of(t).select(F.col("id").cast("string").alias("shst_reference"), "coords")
+    return matcher.match(network.shape_segments(shaped(t)), roads)
+
+
+@query()
+def map_within(t):
+    """Shapes near the first three of them."""
+    lines = lines_of(t)
+    return mapjoin.within(lines.select(F.col("id").cast("long").alias("id"), "coords"), lines.filter("id < 3").select("coords"))
