@@ -206,8 +206,8 @@ def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
     wanted = rows.join(wanted, "row").select(F.col("doc_id").alias("want"), "key", F.col("row").alias("node")).checkpoint()
     ids = wanted.select("want").distinct()
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_ROWS else ids
-    some = docs.withColumn("__id", F.col("doc_id").cast("long"))
-    some = some.join(ids, some["__id"].eqNullSafe(ids["want"]), "left_semi")
+    some = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    some = some.join(ids, some["id"].eqNullSafe(ids["want"]), "left_semi")
     sets = full_sets(some).dropDuplicates(["key"]).join(wanted.select("key", "node"), "key").drop("key").checkpoint()
     edges = verified(pairs, sets, least).checkpoint()
     labels = components(edges)
@@ -227,7 +227,7 @@ def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
         labels = components(edges.unionByName(more))
     named = rows.join(nodes.select("key", "node"), "key").join(labels, "node", "left").select("doc_id", "mark", "row", F.coalesce("label", "node").alias("label"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
-    heads = named.groupBy("label").agg(F.min(first).alias("first"), F.count("*").alias("n"))
+    heads = named.groupBy("label").agg(F.min(first).alias("first"), F.count("*").alias("n")).checkpoint()  # else the join below would share its exchange, and a large class stay in one task
     return named.join(heads, "label").select("doc_id", F.col("first.doc_id").alias("class_id"), F.col("n").alias("class_size"), (F.col("row") == F.col("first.row")).alias("kept"), "mark")
 
 
