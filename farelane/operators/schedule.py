@@ -95,16 +95,19 @@ def synthetic_probe(traffic: DataFrame, shape_map: DataFrame, conflation_map: Da
 def traffic_by_route(routes: DataFrame, trips: DataFrame, dates: DataFrame, probe: DataFrame, weeks: DataFrame) -> DataFrame:
     """Average travel time and weekly count by map segment, route, weekday and epoch.
 
-    Service dates are counted by (service, weekday) first, so probe rows are multiplied by at most seven, not by every date; average
-    and count are weighted by those counts. A route without a short name goes by its id (Q29).
+    Probes are summed by service first, and service dates counted by (service, weekday), so the sums, not the probes, are multiplied
+    by weekdays, and nothing by dates. A route without a short name goes by its id (Q29).
     """
     n_dates = dates.groupBy("service_id", "dow").agg(F.count("*").alias("n"))
     named = routes.select("route_id", F.coalesce(F.col("route_short_name"), F.col("route_id").cast("string")).alias("route_short_name"))
-    trip_days = trips.join(named, "route_id").join(n_dates, "service_id").select("trip_id", "route_short_name", "dow", "n")
-    rows = probe.join(trip_days, "trip_id").groupBy("conflation_map_id", "route_short_name", "dow", "epoch").agg(
-        (F.sum(F.col("travel_time") * F.col("n")) / F.sum("n")).alias("avg_travel_time"),
-        F.sum("n").alias("n"),
-        F.array_join(F.sort_array(F.collect_set(F.col("trip_id").cast("string"))), ",").alias("trip_ids"),
+    served = trips.join(named, "route_id").select("trip_id", "route_short_name", "service_id")
+    sums = probe.join(served, "trip_id").groupBy("conflation_map_id", "route_short_name", "epoch", "service_id").agg(
+        F.sum("travel_time").alias("tt"), F.count("*").alias("c"), F.collect_set(F.col("trip_id").cast("string")).alias("ids")
+    )
+    rows = sums.join(n_dates, "service_id").groupBy("conflation_map_id", "route_short_name", "dow", "epoch").agg(
+        (F.sum(F.col("tt") * F.col("n")) / F.sum(F.col("c") * F.col("n"))).alias("avg_travel_time"),
+        F.sum(F.col("c") * F.col("n")).alias("n"),
+        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))), ",").alias("trip_ids"),
     )
     count = F.round(F.try_divide(F.col("n").cast("double"), F.col("feed_num_weeks")), 1)
     return rows.crossJoin(F.broadcast(weeks)).select("conflation_map_id", "route_short_name", "dow", "epoch", "avg_travel_time", count.alias("avg_weekly_count"), "trip_ids")  # weeks: one row (J16)
