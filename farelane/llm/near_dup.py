@@ -9,7 +9,7 @@ words is one shingle of all of them). Documents with equal sets are one node fro
 2. Verified pairs give components. A bucket whose nodes lie in one component is settled.
 3. In every other bucket each node is compared with the nodes of other components, best signature first and verified exactly, until
    a link is found or none with a similar enough signature is left. So two different texts that share a bucket and are similar
-   enough always end in one class. Buckets are handled in cells of at most ``2 * CELL`` nodes, whatever their size.
+   enough always end in one class. Buckets are handled in cells of about ``2 * CELL`` nodes, whatever their size.
 
 The class of a document is the smallest doc_id of its component.
 
@@ -21,7 +21,6 @@ passed through by ``keep_one``.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ BANDS, ROWS = 21, 6
 K = BANDS * ROWS
 #: Share of equal darts below which two nodes aren't compared exactly: 0.15 less than LEAST is four standard deviations.
 CLOSE = LEAST - 0.15
-CELL = 1024
+CELL = 256
 #: Candidate ids are broadcast up to this many (8 bytes each), else joined.
 BROADCAST_ROWS = 1_000_000
 
@@ -161,10 +160,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links_across(t: pa.Table, least: float) -> list[tuple[int, int]]:
-    """Verified links between nodes of different components in a cell: each node's links to the components it isn't joined to yet."""
-    node = t.column("node").to_numpy()
-    label = t.column("label").to_numpy()
-    side = t.column("side").to_numpy()
+    """Verified links of a cell: from its rare nodes to nodes of components they aren't joined to yet, most alike signatures first."""
+    node, label, rare, asks = (t.column(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "rare", "asks"))
     sig = np.stack([np.frombuffer(s, np.uint32) for s in t.column("darts").to_pylist()])
     sets = [np.frombuffer(s, np.uint32) for s in t.column("shingles").to_pylist()]
     size = np.array([len(s) for s in sets])
@@ -177,13 +174,9 @@ def links_across(t: pa.Table, least: float) -> list[tuple[int, int]]:
         return x
 
     out = []
-    usual = Counter(label.tolist()).most_common(1)[0][0]
-    two = side.min() != side.max()
-    for i in np.flatnonzero(label != usual).tolist():  # of every pair across components one is not of the most common one
-        fit = (label != label[i]) & (size >= least * size[i]) & (least * size <= size[i])
-        if two:
-            fit &= side != side[i]
-        js = np.flatnonzero(fit)
+    for i in np.flatnonzero(asks).tolist():
+        fit = ~asks & (label != label[i]) & (size >= least * size[i]) & (least * size <= size[i])
+        js = np.flatnonzero(fit & (~rare | (node > node[i])))  # two rare nodes ask once
         same = (sig[js] == sig[i]).mean(axis=1)
         for j in js[np.argsort(-same, kind="stable")][: int((same >= CLOSE).sum())].tolist():
             p, q = root(int(label[i])), root(int(label[j]))
@@ -193,6 +186,25 @@ def links_across(t: pa.Table, least: float) -> list[tuple[int, int]]:
     return out
 
 
+def cells(labelled: DataFrame) -> DataFrame:
+    """h, i, j, node, label, rare, asks: the cells of the buckets whose nodes are in several components.
+
+    A bucket's rare nodes are those outside its most common component; of two nodes in different components at least one is rare. Chunk i
+    of the rare nodes (asks) meets chunk j of all nodes in cell (i, j): about CELL of either, and where few nodes are rare
+    a bucket is dealt out about once.
+    """
+    parts = labelled.groupBy("h", "label").agg(F.count("*").alias("n"))
+    whole = parts.groupBy("h").agg(F.max(F.struct("n", "label")).alias("usual"), F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
+    chunks = lambda n: F.ceil(n / CELL)
+    rows = labelled.join(whole.select("h", F.col("usual.label").alias("usual"), chunks(F.col("n")).alias("all"), chunks(F.col("n") - F.col("usual.n")).alias("few")), "h")
+    rows = rows.withColumn("rare", F.col("label") != F.col("usual"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    own = lambda n: F.pmod(F.xxhash64("node", "h"), n)
+    told = rows.select("h", own(F.col("all")).alias("j"), "node", "label", "rare", F.lit(False).alias("asks"), each(F.col("few")).alias("i"))
+    ask = rows.filter("rare").select("h", own(F.col("few")).alias("i"), "node", "label", "rare", F.lit(True).alias("asks"), each(F.col("all")).alias("j"))
+    return told.unionByName(ask)
+
+
 def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """A row for each document: doc_id, class_id, class_size, kept, mark."""
     prepare(docs.sparkSession)
@@ -213,15 +225,11 @@ def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
     labels = components(edges)
 
     def across(t: pa.Table) -> pa.Table:
-        found = links_across(t, least) if len(t) > 1 and t.column("label").to_numpy().min() != t.column("label").to_numpy().max() else []
+        found = links_across(t, least)
         return pa.table({"a": pa.array([p for p, _ in found], pa.int64()), "b": pa.array([q for _, q in found], pa.int64())})
 
-    labelled = buckets.join(labels, "node", "left").select("h", "n", "node", F.coalesce("label", "node").alias("label"))
-    open_ones = labelled.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("h")
-    cells = F.ceil(F.col("n") / CELL)
-    own = F.pmod(F.xxhash64("node", "h"), cells).alias("own")
-    left = labelled.join(open_ones, "h").select("h", "node", "label", own, F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)).alias("other"))
-    left = left.select("h", "node", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").cast("int").alias("side"))
+    labelled = buckets.select("h", "node").join(labels, "node", "left").select("h", "node", F.coalesce("label", "node").alias("label"))
+    left = cells(labelled)
     more = left.join(sets, "node").groupBy("h", "i", "j").applyInArrow(across, "a long, b long").distinct().checkpoint()
     if not more.isEmpty():
         labels = components(edges.unionByName(more))
