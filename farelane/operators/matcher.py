@@ -1,6 +1,6 @@
 """A geometric matcher (H1 stand-in): road pieces that run along a network segment.
 
-The reference relation of matches comes from an external map matcher and is an input (see pipeline.gtfs_osm_network). Where none is at
+The relation of matches comes from an external map matcher and is an input (see pipeline.gtfs_osm_network). Where none is at
 hand, this deterministic one makes matches from the road map itself: roads that share a grid cell with a segment are cut to the parts
 within ``TUBE_M`` of it that run in its direction.
 """
