@@ -3,8 +3,10 @@
 A text is a vector of hashed character n-grams (one to three letters, within words, case folded),
 weighted by ``log(1 + count) * idf`` and normalised. Each language has several centroids, found by
 spherical k-means; the language of the centroid with the largest cosine is predicted, and the
-cosine is the score. A text is rejected if it has no letter or if its cosine is below
-``REJECT`` times the lowest that any labelled text of the sample had with its own language.
+cosine is the score. A text is rejected if it has no letter or if its cosine is below the floor of that language
+for texts of its length: ``REJECT`` times the ``QUANTILE`` of the cosines that the ``NEAR`` labelled texts of the sample nearest in length
+had with centroids of their own language fitted without them. Short texts have low cosines, so a floor for all lengths
+would either keep long gibberish or reject clean words; gibberish of a word or two can't be told from them and stays.
 
 Learning uses text and lang of rows with crc32(doc_id) mod 5 <> 0 and a lang: document frequencies over
 all of them, centroids on about ``SAMPLE`` of them, dealt evenly over the languages and chosen by a
@@ -34,8 +36,15 @@ SIZE = 1 << BITS
 SAMPLE = 2048
 #: Centroids of a language.
 CENTROIDS = 4
-#: Share of the lowest cosine of the sample below which a text is rejected.
-REJECT = 0.25
+#: Share of the low quantile of the sample's cosines below which a text is rejected.
+REJECT = 0.6
+QUANTILE = 0.01
+#: Sample texts of like length that a floor rests on.
+NEAR = 64
+#: Parts of the sample whose cosines come from centroids of the others.
+FOLDS = 5
+#: Classes of length: powers of two of the number of n-grams.
+LENGTHS = 32
 UNKNOWN = "und"
 #: Texts counted at a time.
 ROWS = 256
@@ -65,7 +74,7 @@ class Model:
     idf: np.ndarray
     languages: list[str]  # of the centroids
     centroids: np.ndarray  # a column for each
-    least: np.ndarray  # cosine of rejection, for each centroid
+    least: np.ndarray  # cosine of rejection, for each centroid and class of length
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts.astype(np.float32)) * self.idf
@@ -77,11 +86,11 @@ class Model:
         for a in range(0, len(texts), ROWS) if self.languages else ():
             counts = ngram_counts(texts[a : a + ROWS])
             cosines = self.vectors(counts) @ self.centroids
-            best = cosines.argmax(axis=1)
+            best, size = cosines.argmax(axis=1), length_class(counts)
             for i in np.flatnonzero(counts.any(axis=1)).tolist():
                 k = int(best[i])
                 lang[a + i], score[a + i] = self.languages[k], float(np.clip(cosines[i, k], 0, 1))
-                rejected[a + i] = cosines[i, k] < self.least[k]
+                rejected[a + i] = cosines[i, k] < self.least[k, size[i]]
         return lang, score, rejected
 
 
@@ -98,6 +107,23 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
+def length_class(counts: np.ndarray) -> np.ndarray:
+    """Of each row: floor(log2) of its number of n-grams."""
+    return np.log2(np.maximum(counts.sum(axis=1, dtype=np.int64), 1)).astype(int).clip(0, LENGTHS - 1)
+
+
+def floors(x: np.ndarray, counts: np.ndarray, centroids: int) -> np.ndarray:
+    """Cosine of rejection for each class of length, from cosines of vectors that the centroids weren't fitted on."""
+    fold = np.arange(len(x)) % FOLDS
+    cosine = np.zeros(len(x))
+    for k in range(FOLDS) if len(x) > 1 else ():
+        if (fold == k).any():
+            cosine[fold == k] = (x[fold == k] @ spherical_kmeans(x[fold != k], centroids).T).max(axis=1)
+    size = np.log2(np.maximum(counts.sum(axis=1, dtype=np.int64), 1))
+    near = [np.argsort(np.abs(size - (j + 0.5)), kind="stable")[:NEAR] for j in range(LENGTHS)]
+    return np.array([REJECT * np.quantile(cosine[i], QUANTILE, method="lower") for i in near])
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
@@ -107,7 +133,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     rows = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not by_lang:
-        return Model(np.ones(SIZE, np.float32), [], np.zeros((SIZE, 0), np.float32), np.zeros(0))
+        return Model(np.ones(SIZE, np.float32), [], np.zeros((SIZE, 0), np.float32), np.zeros((0, LENGTHS)))
     each = -(-sample // len(by_lang))
     share = F.create_map(*[F.lit(x) for k, n in sorted(by_lang.items()) for x in (k, min(1.0, each / n))])
     chosen = (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003) < share[F.col("lang")]
@@ -132,7 +158,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     seen = np.zeros(SIZE + 1)
     for r in totals.collect():  # at most SIZE + 1 rows
         seen[r["feature"]] = r["n"]
-    model = Model(np.log((1 + seen[SIZE]) / (1 + seen[:SIZE])).astype(np.float32) + 1, [], np.zeros((SIZE, 0), np.float32), np.zeros(0))
+    model = Model(np.log((1 + seen[SIZE]) / (1 + seen[:SIZE])).astype(np.float32) + 1, [], np.zeros((SIZE, 0), np.float32), np.zeros((0, LENGTHS)))
     by: dict[str, list[np.ndarray]] = {}
     for r in counted.filter("lang IS NOT NULL").toLocalIterator():  # about `sample` rows
         x = np.zeros(SIZE, np.int32)
@@ -140,10 +166,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
         by.setdefault(r["lang"], []).append(x)
     found = []
     for lang in sorted(by):
-        x = model.vectors(np.array(sorted(by[lang], key=lambda v: v.tobytes())))
+        n = np.array(sorted(by[lang], key=lambda v: v.tobytes()))
+        x = model.vectors(n)
         c = spherical_kmeans(x, centroids)
         model.languages += [lang] * len(c)
-        model.least = np.append(model.least, [REJECT * float((x @ c.T).max(axis=1).min())] * len(c))
+        model.least = np.concatenate([model.least, [floors(x, n, centroids)] * len(c)])
         found.append(c)
     if found:
         model.centroids = np.concatenate(found).T.astype(np.float32)

@@ -1,5 +1,6 @@
 """Each operator on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; and against brute force."""
 
+import base64
 import bisect
 import hashlib
 import itertools
@@ -204,6 +205,19 @@ def test_language_learns_from_the_right_rows(spark):
     assert a.languages == b.languages and np.array_equal(a.centroids, b.centroids) and np.array_equal(a.idf, b.idf)
 
 
+def test_language_rejects_what_it_has_not_learned(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(rows)
+    r = random.Random(1)
+    letters = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(50))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. "
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. "
+    strange = [letters, letters * 10, base64.b64encode(r.randbytes(300)).decode(), polish, polish * 20, finnish, "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(500))]
+    assert model.predict(strange)[2].all()
+    clean = [x["text"] for x in rows.filter("text IS NOT NULL").collect()]
+    assert model.predict(clean)[2].mean() <= 0.005
+
+
 def test_ngrams_of_cut_texts():
     t = "Über das Wort " * 90_000  # longer than a chunk
     whole = language_id.ngram_counts([t])[0]
