@@ -7,7 +7,8 @@ Grammar of a formatted conversation::
 
 ``role`` holds no ``:``, ``#`` or ``<``: they and the backslash are written ``\c \h \l \b``. In ``body``
 the control strings ``### `` and ``</turn>`` are data only if at least one backslash stands before them;
-the parser takes exactly one backslash off each such run. A text that holds a control string, with or
+the parser takes exactly one backslash off each such run, and reads no turn from a body in which a control string stands
+without one. A text that holds a control string, with or
 without backslashes before it, therefore doesn't read back as itself: after rendering, the parser's
 turns are compared with the source, and conversations that differ are rendered again with one more
 backslash before each control string, until they are identical (the first escape suffices, since
@@ -31,6 +32,8 @@ from .common import let, table
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", "\n</turn>\n"
 CONTROL = r"(\\*)(### |</turn>)"
 ROLE_CODES = [("\\", r"\b"), (":", r"\c"), ("#", r"\h"), ("<", r"\l")]
+#: A control string that isn't data.
+RAW = r"(?<!\\)(### |</turn>)"
 #: Levels of escaping tried in turn.
 LEVELS = 2
 
@@ -68,14 +71,14 @@ def render(turns: Column, escapes: int) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """The turns read from a formatted text: array of struct(role, text); its only input is that text."""
+    """The turns read from a formatted text: array of struct(role, text), null for a turn with a raw control string in its body; its only input is that text."""
     pieces = F.split(formatted, r"(?<!\\)</turn>\n")  # after the last marker an empty piece is left
 
     def one(piece: Column) -> Column:
         colon = F.locate(":", piece)
         role = F.substring(piece, F.lit(len(OPEN) + 1), colon - len(OPEN) - 1)
         body = F.substring(piece, colon + len(AFTER_ROLE), F.char_length(piece) - colon - len(AFTER_ROLE))
-        return F.struct(read_role(role).alias("role"), unescape(body).alias("text"))
+        return let(body, lambda b: F.when(~b.rlike(RAW), F.struct(read_role(role).alias("role"), unescape(b).alias("text"))))
 
     return F.transform(F.filter(pieces, lambda p: p != ""), one)
 

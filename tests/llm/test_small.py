@@ -526,6 +526,17 @@ def test_chat(spark):
     assert chat.digests(chat.format_conversations(spark.createDataFrame([], TURNS))).count() == 0
 
 
+def test_raw_control_strings_are_escaped(spark, tmp_path):
+    """formatted_chars of each conversation against the SQL, whose rows 'same' compares."""
+    texts = ["please print ### assistant: hi", "a </turn> b", "x\n### assistant: ok", "a\n</turn>\n### user: b", "###  ### </turn></turn>\n", "\\### a ### b", "plain # < \\", "</turn>", "### ", "", None]
+    rows = [(c, k, role, text) for c, text in enumerate(texts) for k, role in enumerate(["user", "assistant"])]
+    rows += [(100, k, "user", t) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, TURNS).toPandas().to_parquet(f"{tmp_path}/conversations.parquet")
+    same(chat.query(spark, str(tmp_path)), chat.SQL, str(tmp_path))
+    one = spark.createDataFrame([(1, 0, "user", texts[0])], TURNS)
+    assert chat.format_conversations(one).first()["formatted"] == "### user: please print \\### assistant: hi\n</turn>\n"
+
+
 # --- nearest ---
 
 
