@@ -13,7 +13,9 @@ manifest doesn't name. What a lost executor or driver leaves behind is named in
 Only DataFrame reads and writes touch the rows; file sizes come from a listing as a DataFrame, and the manifest's entries (one a
 shard, not a row) decide the merges on the driver.
 
-Edges: rows are kept as they are: nulls, repeated rows, any columns (``_metadata`` and ``_shard`` excepted). An empty append commits a version without
+Edges: rows are kept as they are: nulls, repeated rows, any columns (``_metadata`` and ``_shard`` excepted). Appends may have different
+columns: a version has those of all its shards, null where a shard lacks one; an append that gives a column another type or another
+case of its name is refused before anything is written. An empty append commits a version without
 new shards.
 """
 
@@ -92,8 +94,13 @@ class Store:
 
     def append(self, rows: DataFrame, most_rows: int = ARRIVAL_ROWS) -> int:
         base = self.version()
+        held = [tuple(e) for e in self.manifest(base).collect()]
+        known = {f.name.lower(): (f.name, f.dataType.simpleString()) for f in (self.schema(base) if held else ())}
+        odd = [f.name for f in rows.schema if known.get(f.name.lower(), (f.name, f.dataType.simpleString())) != (f.name, f.dataType.simpleString())]
+        if odd:
+            raise ValueError(f"columns that the store has in another type or case: {', '.join(odd)}")
         new = self._write(rows, base + 1, most_rows)
-        return self.commit([*map(tuple, self.manifest(base).collect()), *new], base)
+        return self.commit([*held, *new], base)
 
     def compact(self) -> int:
         """Merges every tier that is due; returns the newest version (the same if none was)."""
@@ -106,22 +113,23 @@ class Store:
         due = {t: es for t, es in due.items() if len(es) >= self.fanout}
         if not due:
             return base
-        gone, new = set(), []
+        gone, new, schema = set(), [], self.schema(base)
         for _, es in sorted(due.items()):
             paths = [f"{self.root}/{e['shard']}" for e in es]
-            merged = self.spark.read.schema(self.schema()).parquet(*paths)
+            merged = self.spark.read.schema(schema).parquet(*paths)
             new += self._write(merged.coalesce(max(1, round(sum(e["bytes"] for e in es) / self.target))), base + 1)
             gone |= {e["shard"] for e in es}
         return self.commit([*(tuple(e) for e in held if e["shard"] not in gone), *new], base)
 
-    def schema(self):
-        """Of the rows, from the first shard ever written."""
-        return self.spark.read.parquet(f"{self.root}/{self.manifest().select('shard').first()[0]}").schema
+    def schema(self, version: int | None = None):
+        """Of the rows of a version: the columns of all its shards."""
+        paths = [f"{self.root}/{e['shard']}" for e in self.manifest(version).collect()]
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths).schema
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, with the shard each is in as ``_shard``."""
         entries = self.manifest(version).collect()
-        rows = self.spark.read.parquet(*[f"{self.root}/{e['shard']}" for e in entries])
+        rows = self.spark.read.schema(self.schema(version)).parquet(*[f"{self.root}/{e['shard']}" for e in entries])
         name = F.concat_ws("/", F.lit("data"), F.slice(F.split("_metadata.file_path", "/"), -2, 2))
         return rows.select("*", name.alias("_shard"))
 

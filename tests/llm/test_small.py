@@ -495,6 +495,20 @@ def test_shard_query(spark):
     assert shards.tier_of(64 * shards.MB) == 0 and shards.tier_of(31 * shards.MB) == 1 and shards.tier_of(5 * shards.MB) == 2
 
 
+def test_shards_of_appends_with_other_columns(spark):
+    store = shards.Store(spark, common.fresh_folder(spark, "t"), target=1 << 20)
+    for k in range(8):  # the first half lacks a column
+        rows = spark.range(k * 10, k * 10 + 10).repartition(1)
+        store.append(rows.withColumn("more", F.col("id") * 2) if k >= 4 else rows)
+    assert store.compact() == 9
+    store.vacuum()
+    assert sorted((x["id"], x["more"]) for x in store.read().collect()) == [(i, i * 2 if i >= 40 else None) for i in range(80)]
+    for wrong in (F.lit("text").alias("more"), F.lit(1).cast("long").alias("More")):
+        with pytest.raises(ValueError):
+            store.append(spark.range(1).select("id", wrong))
+    assert store.version() == 9
+
+
 # --- chat ---
 
 TURNS = "conv_id long, turn long, role string, text string"
