@@ -19,7 +19,8 @@ one chunk, whatever their numbers. Copies of one vector meet within a block, whe
 returned take part in the ranking: so ties are exact and a vector held by a third of all rows costs no more than any other.
 
 Edges: vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose length is not the most frequent
-one (ties: the shorter); a null vec_id takes no part; of rows with one vec_id the one with the smallest vector takes part. With fewer
+one (ties: the shorter); a null vec_id takes no part. Rows with one vec_id are candidates and queries of their own; a query leaves
+out only its own row, so its vec_id may be among its neighbours, and a repeated query_id has as many lists as rows. With fewer
 than k candidates all are returned. An empty table gives no rows. Other columns are ignored.
 """
 
@@ -46,7 +47,7 @@ BLOCK, LEAF, CHUNK = 16_384, 128, 8192
 #: Cells of the top tree at most; beyond that cells are split into more blocks.
 CELLS = 4096
 SEED = 20
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_no long, query_id long, vec_id long, score double"
 
 
 def chi2_quantile(p: float, dims: int = DIMS) -> float:
@@ -121,10 +122,10 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def search_block(top: Top, ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query number, vec_id, score) of each query's best k in a block; bound: a squared distance known to hold k others, or inf."""
+def search_block(top: Top, ids: np.ndarray, nos: np.ndarray, x: np.ndarray, qnos: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, vec_id, score) of each query's best k in a block but its own row (nos, qnos: row numbers); bound: a squared distance known to hold k others, or inf."""
     order = np.lexsort((ids, *x.T[::-1]))
-    ids, x = ids[order], x[order]
+    ids, nos, x = ids[order], nos[order], x[order]
     first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(axis=1)))  # each vector once; its ids ascend
     copies = np.diff(np.append(first, len(x)))
     u = x[first]
@@ -137,7 +138,7 @@ def search_block(top: Top, ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q:
         away += np.maximum(gap, 0) ** 2
     visit = np.argsort(away, axis=1, kind="stable")
     qn = (q * q).sum(axis=1) + top.norm2
-    # k + 1 vectors, as one of the ids may be the query's own; by vector, not by id
+    # k + 1 vectors, as one of the rows may be the query's own; by vector, not by row
     keep = k + 1
     best, who = np.full((len(q), keep), -np.inf), np.full((len(q), keep), -1)
     active, at, step = np.arange(len(q)), 0, 2
@@ -160,7 +161,7 @@ def search_block(top: Top, ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q:
     number = np.repeat(np.arange(len(vec)), some)
     place = first[vec][number] + np.arange(len(number)) - np.repeat(np.cumsum(some) - some, some)
     row, score, name = row[number], score[number], ids[place]
-    other = name != qids[row]
+    other = nos[place] != qnos[row]
     row, score, name = row[other], score[other], name[other]
     order = np.lexsort((name, -score, row))
     row, score, name = row[order], score[order], name[order]
@@ -189,8 +190,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
     if not sizes:
         return spark.createDataFrame([], result)
     dim = min(sizes, key=lambda d: (-sizes[d], d))
-    rows = rows.filter(F.size("x") == dim).groupBy("vec_id").agg(F.min("x").alias("x")).withColumn("query", F.coalesce(is_query, F.lit(False)))
-    rows = rows.checkpoint()
+    rows = rows.filter(F.size("x") == dim).withColumn("query", F.coalesce(is_query, F.lit(False)))
+    rows = rows.withColumn("no", F.monotonically_increasing_id()).checkpoint()
     norm2 = F.aggregate("x", F.lit(0.0), lambda a, c: a + c * c)
     total = rows.agg(F.count("*").alias("n"), F.max(norm2).alias("m"), F.count_if("query").alias("q")).first()
     if not total["q"]:
@@ -207,14 +208,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
             x = matrix(b.column("x"), dim)
             own = top.cells(top.project(x))
             home = top.cells(top.project(x, query=True))
-            yield pa.record_batch([*b.columns, pa.array(own), pa.array(home)], ["vec_id", "x", "query", "cell", "home"])
+            yield pa.record_batch([*b.columns, pa.array(own), pa.array(home)], ["no", "vec_id", "x", "query", "cell", "home"])
 
-    placed = rows.select("vec_id", "x", "query").mapInArrow(place, "vec_id long, x array<double>, query boolean, cell long, home long").checkpoint()
+    placed = rows.select("no", "vec_id", "x", "query").mapInArrow(place, "no long, vec_id long, x array<double>, query boolean, cell long, home long").checkpoint()
     in_cell = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # at most CELLS rows
     blocks = {c: -(-n // BLOCK) for c, n in in_cell.items()}
     number = F.create_map(*[F.lit(v) for c in sorted(blocks) for v in (c, blocks[c])])
-    block = F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("vec_id"), number[F.col("cell")])
-    points = placed.select("vec_id", "x", block.alias("block"))
+    block = F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("no"), number[F.col("cell")])
+    points = placed.select("no", "vec_id", "x", block.alias("block"))
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,16 +228,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
     names = np.array([r["block"] for r in boxes])
     low, high = (np.array([[r[f"{c}{i}"] for i in range(DIMS)] for r in boxes]) for c in ("low", "high"))
     chunks = -(-total["q"] // CHUNK)
-    chunk = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(chunks))
-    asked = placed.filter("query").select(F.col("vec_id").alias("query_id"), "x", "home", chunk.alias("chunk"))
+    chunk = F.pmod(F.xxhash64("no", F.lit(1)), F.lit(chunks))
+    asked = placed.filter("query").select(F.col("no").alias("query_no"), F.col("vec_id").alias("query_id"), "x", "home", chunk.alias("chunk"))
     spread = points.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>"))) if chunks > 1 else points.withColumn("chunk", F.lit(0).cast("long"))
 
     def searched(queries: pa.Table, held: pa.Table) -> pa.Table:
         if not len(queries) or not len(held):
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        qids = queries.column("query_id").to_numpy()
-        row, name, score = search_block(top, held.column("vec_id").to_numpy(), matrix(held.column("x"), dim), qids, matrix(queries.column("x"), dim), queries.column("bound").to_numpy(), k, ratio)
-        return pa.table({"query_id": qids[row], "vec_id": name, "score": score})
+            return pa.table({"query_no": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        qnos, qids = queries.column("query_no").to_numpy(), queries.column("query_id").to_numpy()
+        row, name, score = search_block(top, held.column("vec_id").to_numpy(), held.column("no").to_numpy(), matrix(held.column("x"), dim), qnos, matrix(queries.column("x"), dim), queries.column("bound").to_numpy(), k, ratio)
+        return pa.table({"query_no": qnos[row], "query_id": qids[row], "vec_id": name, "score": score})
 
     def search(queries: DataFrame) -> DataFrame:
         return queries.groupBy("block", "chunk").cogroup(spread.groupBy("block", "chunk")).applyInArrow(searched, FOUND)
@@ -248,13 +249,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
         for b in batches:
             home = b.column("home").to_numpy()
             cell = have[np.minimum(np.searchsorted(have, home), len(have) - 1)]
-            yield pa.record_batch([b.column("query_id"), b.column("x"), b.column("chunk"), pa.array(cell << 32), pa.array(np.full(len(cell), np.inf))], ["query_id", "x", "chunk", "block", "bound"])
+            yield pa.record_batch([b.column("query_no"), b.column("query_id"), b.column("x"), b.column("chunk"), pa.array(cell << 32), pa.array(np.full(len(cell), np.inf))], ["query_no", "query_id", "x", "chunk", "block", "bound"])
 
-    with_block = "query_id long, x array<double>, chunk long, block long, bound double"
+    with_block = "query_no long, query_id long, x array<double>, chunk long, block long, bound double"
     start = asked.mapInArrow(first_block, with_block).checkpoint()
     one = search(start).checkpoint()
-    kth = one.groupBy("query_id").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-    waiting = start.join(kth, "query_id", "left").select("query_id", "x", "chunk", "block", F.when(F.col("n") >= k, F.col("worst")).alias("worst"))
+    kth = one.groupBy("query_no").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
+    waiting = start.join(kth, "query_no", "left").select("query_no", "query_id", "x", "chunk", "block", F.when(F.col("n") >= k, F.col("worst")).alias("worst"))
 
     def other_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,10 +269,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
                 go = names[(away < ratio * far[i] + 1e-12) & (names != seen[i])]
                 if len(go):
                     take = pa.array(np.full(len(go), i))
-                    yield pa.record_batch([b.column(0).take(take), b.column(1).take(take), b.column(2).take(take), pa.array(go), pa.array(np.full(len(go), far[i]))], ["query_id", "x", "chunk", "block", "bound"])
+                    yield pa.record_batch([*[b.column(c).take(take) for c in range(4)], pa.array(go), pa.array(np.full(len(go), far[i]))], ["query_no", "query_id", "x", "chunk", "block", "bound"])
 
     two = search(waiting.mapInArrow(other_blocks, with_block))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
     ranked = one.unionByName(two).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -601,3 +601,18 @@ def test_recall(spark):
     got = {(r["query_id"], r["vec_id"]) for r in nearest.query(spark, SF).collect()}
     want = brute_nearest(rows, [i for i, _ in rows if i % 20 == 0], 20)
     assert len(got & {(a, c) for a, _, c in want}) >= 0.9 * len(want)
+
+
+def test_nearest_keeps_rows_with_one_id(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 64)
+    x = np.random.default_rng(3).normal(size=(300, 8))
+    ids = [i // 2 for i in range(300)]  # each id holds two different vectors
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = nearest.nearest(df, F.col("vec_id") % 20 == 0, 5).collect()
+    want = []
+    for n in [n for n in range(300) if ids[n] % 20 == 0]:
+        s = x @ x[n]
+        s[n] = -np.inf
+        want += [(ids[n], rank + 1, ids[j], round(float(s[j]), 9)) for rank, j in enumerate(np.argsort(-s)[:5])]
+    mine = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got]
+    assert len(mine) == len(want) and len(set(mine) & set(want)) >= 0.95 * len(set(want))
