@@ -48,7 +48,7 @@ def base_spans(text: str) -> list[Span]:
     if not ANY.search(text):
         return []
     out = emails(text)
-    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+    out += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.groups())]
     for m in CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m[0]) if m.end() - m.start() < 40 else ""
         if 12 <= len(digits) <= 19 and luhn(digits):

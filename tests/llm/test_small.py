@@ -218,6 +218,14 @@ def test_language_rejects_what_it_has_not_learned(spark):
     assert model.predict(clean)[2].mean() <= 0.005
 
 
+def test_addresses_with_very_many_zeros():
+    """Python refuses to turn more than 4,300 digits into a number."""
+    long = "0" * 5000
+    assert pii_rules.base_spans(f"a {long}.1.2.3 b") == [(2, 5008, "ip")]
+    assert pii_rules.base_spans(f"{long}.0.0.0") == [(0, 5006, "ip")]
+    assert pii_rules.base_spans(f"{long}256.1.2.3") == [] == pii_rules.base_spans("1" * 5000 + ".1.2.3")
+
+
 def test_ngrams_of_cut_texts():
     t = "Über das Wort " * 90_000  # longer than a chunk
     whole = language_id.ngram_counts([t])[0]
