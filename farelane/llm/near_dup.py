@@ -9,7 +9,7 @@ words is one shingle of all of them). Documents with equal sets are one node fro
 2. Verified pairs give components. A bucket whose nodes lie in one component is settled.
 3. In every other bucket each node is compared with the nodes of other components, best signature first and verified exactly, until
    a link is found or none with a similar enough signature is left. Signatures with under ``CLOSE`` equal darts aren't compared: of
-   texts that share a bucket at similarity 0.8 that misses one pair in about 100,000 (binomial, 120 free darts); all others end in one class. Buckets are handled in cells of about ``2 * CELL`` nodes, whatever their size.
+   texts that share a bucket at similarity 0.8 that misses about seven pairs in a million (binomial, 120 free darts); all others end in one class. Buckets are handled in cells of about ``2 * CELL`` nodes, whatever their size.
 
 The class of a document is the smallest doc_id of its component.
 
