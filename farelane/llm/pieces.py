@@ -1,14 +1,22 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search (operator 6).
 
-The pieces and scores of a model file form a lattice over a text (a space is written as U+2581, one is put before the text); the ids are
-those of the path with the largest sum of scores, ties going to the longer last piece. A character that no piece covers is written by
-its byte pieces at a score below all others'. ``Stream`` is fed text bit by bit: it keeps scores and back pointers only for
-a window, of which the last ``longest piece`` positions can still be reached from the right; whenever the paths of all these go through
-one boundary, the ids up to it are committed and the window starts there.
+The pieces of a model file form a lattice over a text (a space is written as U+2581, one is put before the text). ``Stream`` is fed
+text bit by bit and finds for each position the best path that ends there:
+
+* unigram models: the path with the largest sum of scores, ties going to the longer last piece. A character that no piece covers costs
+  more than any piece.
+* BPE models: a path counts only if merging would give each two neighbouring pieces of it (a step's score is 0 or minus
+  infinity). Merges are local, so a path of such steps is what merging the whole text gives, and each position has exactly one. These are the ids
+  that the model's own merges give, without holding the text.
+
+A character that no piece covers is written by its byte pieces. A step needs only the last ``longest piece`` positions. Back pointers are kept
+until the paths of all these positions go through one boundary: then the ids up to it are committed, and the window starts there. This is
+looked for whenever the window has doubled, so the time is linear in the text; where paths don't converge for long (a run of one character under a
+unigram model), what is held are six bytes a character of back pointers in a flat array, and the ids stay exact.
 
 No path can skip a boundary that no piece spans: before a space mark that follows another character, and around characters that occur in no
-longer piece. There all paths always converge, so what lies between is searched once for each distinct word, and
-copied; words longer than ``LONG`` go through ``Stream``. (The file's merge order isn't used: these are the ids of the best path by score.)
+longer piece. All paths converge there, and what follows doesn't depend on what came before. So each distinct stretch between such
+boundaries goes through a ``Stream`` once and its ids are copied where it occurs again; this gives the ids that one stream over the whole text gives.
 
 Edges: null text is empty text, which has no ids. Repeated rows are separate rows; an empty table gives no rows. Other columns are
 ignored. Decoding the ids gives the text back exactly (U+2581 in a text comes back as the space it stands for).
@@ -18,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -31,8 +40,12 @@ from .common import prepare, table
 from .text import chunks, code_points, gather, span_hashes
 
 SPACE = "▁"
+#: Characters that a stream takes between two looks for a boundary, at least.
+STEP = 64
+#: Stretches longer than this are known by another hash, which long runs of one character don't weaken.
 LONG = 64
-WORDS = 1_000_000
+#: Stretches, and pairs of pieces, that an encoder remembers before it starts anew.
+WORDS, PAIRS = 1_000_000, 4_000_000
 
 
 def default_path() -> str:
@@ -42,50 +55,82 @@ def default_path() -> str:
 
 
 class Model:
-    def __init__(self, path: str):
+    """Pieces of a model file; ``merges``: they are joined by rank (BPE) and not weighed by score (unigram); None: as the file says."""
+
+    def __init__(self, path: str, merges: bool | None = None):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        if merges is None:
+            merges = sentencepiece_model_pb2.ModelProto.FromString(sp.serialized_model_proto()).trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE
         n = sp.get_piece_size()
-        self.score: dict[str, tuple[float, int]] = {}
-        self.bytes_of: list[bytes] = [b""] * n
-        self.byte_id = [sp.unk_id()] * 256
+        score: dict[str, tuple[float, int]] = {}
+        bytes_of, byte_id = [b""] * n, [sp.unk_id()] * 256
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 value = int(piece[3:5], 16)
-                self.byte_id[value], self.bytes_of[i] = i, bytes([value])
+                byte_id[value], bytes_of[i] = i, bytes([value])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.score[piece], self.bytes_of[i] = (sp.get_score(i), i), piece.replace(SPACE, " ").encode()
-        self.longest = max(map(len, self.score))
-        self.unknown = min(s for s, _ in self.score.values()) - 10.0
-        joined = [p for p in self.score if len(p) > 1]
+                score[piece], bytes_of[i] = (sp.get_score(i), i), piece.replace(SPACE, " ").encode()
+        self.build(score, bytes_of, byte_id, merges)
+
+    @classmethod
+    def of(cls, score: dict[str, tuple[float, int]], merges: bool) -> Model:
+        """From pieces with score and id."""
+        model = cls.__new__(cls)
+        bytes_of = [b""] * (1 + max(i for _, i in score.values()))
+        for piece, (_, i) in score.items():
+            bytes_of[i] = piece.replace(SPACE, " ").encode()
+        model.build(score, bytes_of, [0] * 256, merges)
+        return model
+
+    def build(self, score: dict[str, tuple[float, int]], bytes_of: list[bytes], byte_id: list[int], merges: bool) -> None:
+        self.score, self.bytes_of, self.byte_id, self.merges = score, bytes_of, byte_id, merges
+        self.longest = max(map(len, score))
+        self.unknown = min(s for s, _ in score.values()) - 10.0
+        self.text_of = {i: p for p, (_, i) in score.items()}
+        self.ending: dict = {}  # pieces from their last character backwards; "" holds (score, id)
+        for piece, held in score.items():
+            node = self.ending
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = held
+        self.pairs: dict[tuple[int, int], bool] = {}
+        joined = [p for p in score if len(p) > 1]
         self.spans_space = any(p[k] == SPACE and p[k - 1] != SPACE for p in joined for k in range(1, len(p)))
         self.solo = np.ones(0x110000, bool)
         self.solo[[ord(c) for c in set("".join(joined))]] = False
 
-    def best(self, text: str) -> list[int]:
-        """Ids of the best path over a whole (marked) text."""
-        n, score, longest, unknown = len(text), self.score, self.longest, self.unknown
-        top, back = [0.0] * (n + 1), [(0, -1)] * (n + 1)
-        for j in range(1, n + 1):
-            held, way = -1e300, (j - 1, -1)
-            for i in range(max(0, j - longest), j):
-                p = score.get(text[i:j])
-                if p is not None and top[i] + p[0] > held:
-                    held, way = top[i] + p[0], (i, p[1])
-            if text[j - 1] not in score and top[j - 1] + unknown > held:
-                held, way = top[j - 1] + unknown, (j - 1, -1)
-            top[j], back[j] = held, way
-        return self.trace(text, back, n)
-
-    def trace(self, text: str, back: list[tuple[int, int]], j: int) -> list[int]:
-        out: list[list[int]] = []
-        while j:
-            i, piece = back[j]
-            out.append([piece] if piece >= 0 else [self.byte_id[b] for b in text[i:j].encode("utf-8", "replace")])
-            j = i
-        return list(chain.from_iterable(reversed(out)))
+    def joined(self, text: str) -> list[str]:
+        """What merging gives for a short text: the best pair first, of equal ones the leftmost."""
+        parts = list(text)
+        while True:
+            found = [(-self.score[p][0], i) for i in range(len(parts) - 1) if (p := parts[i] + parts[i + 1]) in self.score]
+            if not found:
+                return parts
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    def named(self, token: int) -> str:
+        """The text of a token: a piece's id, or -1 - code point for a character that no piece covers."""
+        return chr(-1 - token) if token < 0 else self.text_of[token]
+
+    def fits(self, a: int | None, b: int) -> bool:
+        """Merging the text of tokens a and b (a None: of b alone) gives these tokens."""
+        known = self.pairs.get((a, b))
+        if known is None:
+            if len(self.pairs) > PAIRS:
+                self.pairs.clear()
+            want = [self.named(b)] if a is None else [self.named(a), self.named(b)]
+            known = self.pairs[a, b] = self.joined("".join(want)) == want
+        return known
+
+    def ids(self, tokens: list[int]) -> list[int]:
+        if not tokens or min(tokens) >= 0:
+            return tokens
+        return list(chain.from_iterable([t] if t >= 0 else [self.byte_id[b] for b in chr(-1 - t).encode("utf-8", "replace")] for t in tokens))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space put before it is taken off."""
@@ -96,61 +141,95 @@ class Stream:
     """Ids of a (marked) text that arrives in parts."""
 
     def __init__(self, model: Model):
-        self.model, self.text = model, ""
-        self.top, self.back = [0.0], [(0, -1)]
-        self.most = 0  # characters held at once
+        self.model = model
+        self.tail = ""  # of the text, as far as a piece can reach back; top: the scores of its positions (first the one before it)
+        self.top = [0.0]
+        self.size, self.token = array("H"), array("i")  # last step of the path to each position since the last commit
+        self.last: int | None = None  # token before them
+        self.next = STEP
+        self.most = 0  # positions held at once
 
     def feed(self, part: str) -> list[int]:
         """Takes more text; returns the ids committed by it."""
-        m, out = self.model, []
-        for c in part:
-            self.text += c
-            self.extend()
-            self.most = max(self.most, len(self.text))
-            if len(self.text) >= m.longest and len(self.text) % m.longest == 0:
+        out: list[int] = []
+        longest = self.model.longest
+        for a in range(0, len(part), STEP):
+            text = self.tail + part[a : a + STEP]
+            (self.by_merges if self.model.merges else self.by_scores)(text, len(self.tail))
+            self.tail = text[-longest:]
+            self.top = self.top[-1 - len(self.tail) :]
+            self.most = max(self.most, len(self.size))
+            if len(self.size) >= self.next:
                 out += self.commit()
+                self.next = max(STEP, 2 * len(self.size))
         return out
 
-    def extend(self) -> None:
-        m, j = self.model, len(self.text)
-        held, way = -1e300, (j - 1, -1)
-        for i in range(max(0, j - m.longest), j):
-            p = m.score.get(self.text[i:j])
-            if p is not None and self.top[i] + p[0] > held:
-                held, way = self.top[i] + p[0], (i, p[1])
-        if self.text[j - 1] not in m.score and self.top[j - 1] + m.unknown > held:
-            held, way = self.top[j - 1] + m.unknown, (j - 1, -1)
-        self.top.append(held)
-        self.back.append(way)
+    def by_scores(self, text: str, known: int) -> None:
+        """Best steps to the positions of text after the first ``known``."""
+        m, top = self.model, self.top
+        for j in range(known + 1, len(text) + 1):
+            node, i, held, size, token = m.ending, j, -1e300, 1, -1 - ord(text[j - 1])
+            while i and (node := node.get(text[i - 1])) is not None:
+                i -= 1
+                if (p := node.get("")) is not None and top[i] + p[0] >= held:
+                    held, size, token = top[i] + p[0], j - i, p[1]
+            if text[j - 1] not in m.score and top[j - 1] + m.unknown > held:
+                held, size, token = top[j - 1] + m.unknown, 1, -1 - ord(text[j - 1])
+            top.append(held)
+            self.size.append(size)
+            self.token.append(token)
+        least = min(top)
+        if least < -1e9:  # only differences count
+            self.top = [t - least for t in top]
+
+    def by_merges(self, text: str, known: int) -> None:
+        """The only possible steps to the positions of text after the first ``known``."""
+        m, size, token = self.model, self.size, self.token
+        fits, pairs, gone = m.fits, m.pairs, len(self.size) - known  # position i of text is the end of step gone + i - 1
+        for j in range(known + 1, len(text) + 1):
+            node, i, ways = m.ending, j, [] if text[j - 1] in m.score else [(1, -1 - ord(text[j - 1]))]
+            while i and (node := node.get(text[i - 1])) is not None:
+                i -= 1
+                if (p := node.get("")) is not None:
+                    ways.append((j - i, p[1]))
+            for n, t in reversed(ways):
+                at = gone + j - n - 1
+                before = token[at] if at >= 0 else self.last
+                fine = pairs.get((before, t))
+                if fits(before, t) if fine is None else fine:
+                    break
+            size.append(n)
+            token.append(t)
 
     def commit(self) -> list[int]:
         """Ids up to the last boundary that the paths of all positions still in reach go through."""
-        j = len(self.text)
+        j, size = len(self.size), self.size
         ends = set(range(max(0, j - self.model.longest + 1), j + 1))
         while len(ends) > 1:
             last = max(ends)
             ends.discard(last)
-            ends.add(self.back[last][0])
-        at = ends.pop()
-        if not at:
-            return []
-        ids = self.model.trace(self.text[:at], self.back[: at + 1], at)
-        self.text = self.text[at:]
-        base = self.top[at]
-        self.top, self.back = [t - base for t in self.top[at:]], [(0, -1), *((i - at, p) for i, p in self.back[at + 1 :])]
-        return ids
+            ends.add(last - size[last - 1])
+        return self.taken(ends.pop())
+
+    def taken(self, at: int) -> list[int]:
+        tokens, j = [], at
+        while j:
+            tokens.append(self.token[j - 1])
+            j -= self.size[j - 1]
+        if tokens:
+            self.last = tokens[0]
+        del self.size[:at], self.token[:at]
+        return self.model.ids(tokens[::-1])
 
     def close(self) -> list[int]:
-        ids = self.model.trace(self.text, self.back, len(self.text))
-        self.__init__(self.model)
-        return ids
+        return self.taken(len(self.size))
 
 
 class Encoder:
-    """Ids of whole texts, batch by batch; each distinct word is searched once."""
+    """Ids of whole texts, batch by batch; each distinct stretch between sure boundaries is searched once."""
 
-    def __init__(self, path: str):
-        self.model = Model(path)
+    def __init__(self, path: str, merges: bool | None = None):
+        self.model = Model(path, merges)
         self.forget()
 
     def forget(self) -> None:
@@ -159,8 +238,6 @@ class Encoder:
         self.pool = np.zeros(0, np.uint32)
 
     def search(self, word: str) -> list[int]:
-        if len(word) <= LONG:
-            return self.model.best(word)
         stream = Stream(self.model)
         return [*stream.feed(word), *stream.close()]
 

@@ -436,27 +436,70 @@ def test_licenses(spark):
 # --- pieces ---
 
 
+def streamed(m, marked, step):
+    s, out = pieces.Stream(m), []
+    for k in range(0, len(marked), step):
+        out += s.feed(marked[k : k + step])
+    return out + s.close(), s.most
+
+
 def test_pieces():
+    """Against the library, over whole texts and over one stream for each text."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
     e = pieces.encoder(pieces.default_path())
     m, r = e.model, random.Random(2)
-
-    def stream(t, step):
-        s, out, x = pieces.Stream(m), [], (" " + t).replace(" ", pieces.SPACE) if t else ""
-        for k in range(0, len(x), step):
-            out += s.feed(x[k : k + step])
-        return out + s.close()
-
-    some = ["a", "the", " ", "  ", "\n", "é", "漢字", "😀", "ing", "tion", "\t", "x" * 70, "\0", "<0x0A>", "<s>"]
+    some = ["a", "the", " ", "  ", "\n", "é", "漢字", "😀", "ing", "tion", "\t", "x" * 70, "\0", "<0x0A>", "<s>", "=" * 40, "   "]
     for _ in range(600):
         t = "".join(r.choice(some) for _ in range(r.randint(0, 25)))
         ids = e.encode(["zz", t])[1]
-        assert ids.tolist() == stream(t, 7) == (m.best((" " + t).replace(" ", pieces.SPACE)) if t else []) and m.decode(ids) == t
-    s = pieces.Stream(m)
-    n = len(s.feed("ab" * 5000)) + len(s.close())
-    assert s.most == 0 and n > 0
-    held = pieces.Stream(m)
-    held.feed("ab" * 5000)
-    assert held.most <= 4 * m.longest
+        assert ids.tolist() == sp.encode(t) == streamed(m, (" " + t).replace(" ", pieces.SPACE) if t else "", 7)[0] and m.decode(ids) == t
+    assert e.encode([LONG])[0].tolist() == sp.encode(LONG)
+
+
+def tiny_models():
+    r = random.Random(6)
+    for n in range(60):
+        names = {*("ab" if n % 3 else "a"), *("".join(r.choice("ab▁") for _ in range(r.randint(2, 5))) for _ in range(r.randint(2, 12)))}
+        yield r, {p: (float(r.choice([-1, -2, -3, -r.random() * 9])), i) for i, p in enumerate(sorted(names))}
+
+
+def test_streams_against_all_segmentations():
+    """Unigram models: the best sum over all ways to cut a text; BPE models: merging the whole text."""
+    for r, score in tiny_models():
+        by_score, by_rank = pieces.Model.of(score, False), pieces.Model.of(score, True)
+        cost = lambda p: score[p][0] if p in score else by_score.unknown if len(p) == 1 else -math.inf  # noqa: B023, E731
+        for _ in range(12):
+            t = "".join(r.choice("abc▁") for _ in range(r.randint(1, 11)))
+            ways = [[t[i:j] for i, j in itertools.pairwise([0, *cuts, len(t)])] for k in range(len(t)) for cuts in itertools.combinations(range(1, len(t)), k)]
+            s = pieces.Stream(by_score)
+            s.feed(t)
+            tokens = []
+            j = len(t)
+            while j:
+                tokens.append(t[j - s.size[j - 1] : j])
+                j -= s.size[j - 1]
+            assert sum(map(cost, tokens)) == pytest.approx(max(sum(map(cost, w)) for w in ways))
+            s = pieces.Stream(by_rank)
+            s.feed(t)
+            j, tokens = len(t), []
+            while j:
+                tokens.append(t[j - s.size[j - 1] : j])
+                j -= s.size[j - 1]
+            assert tokens[::-1] == by_rank.joined(t)
+        t = "".join(r.choice("abc") for _ in range(700))
+        whole = {m: streamed(m, t, 701)[0] for m in (by_score, by_rank)}
+        assert all(streamed(m, t, 5)[0] == ids for m, ids in whole.items())
+
+
+def test_the_window_is_bounded():
+    m = pieces.encoder(pieces.default_path()).model
+    for t in ("a" * 1_000_000, "ab" * 5000, LONG.replace(" ", pieces.SPACE)):
+        assert streamed(m, t, 1000)[1] <= 4 * pieces.STEP + 4 * m.longest
+    flat = pieces.Model.of({"aa": (-1.0, 0), "aaa": (-1.5, 1), "b": (-1.0, 2)}, False)  # odd and even paths never meet
+    ids, held = streamed(flat, "a" * 100_000 + "b" + "a" * 10, 64)
+    assert held >= 50_000 and sum(len(flat.text_of[i]) for i in ids) == 100_011
 
 
 def test_piece_query(spark):
