@@ -4,9 +4,9 @@ Largest inner product is turned into smallest distance by one more coordinate, `
 M is the largest norm of all vectors. Vectors are projected to ``DIMS`` coordinates with independent normal weights, so the squared
 projected distance over the squared true distance follows a chi-square law with ``DIMS`` degrees of freedom.
 
-Index: the top of a kd-tree over the projections is fitted on a bounded sample (``TOP_SAMPLE`` rows chosen by hash); every
-vector is put into its cell, and a cell of more than ``BLOCK`` rows (a region of copies, or a drifted sample) is
-split by hash into blocks of about that size. Each block is a kd-tree of its own with leaves of ``LEAF`` vectors.
+Index: the top of a kd-tree over the projections is fitted on a bounded sample (about ``TOP_SAMPLE`` rows chosen by hash, projected where they
+lie); every vector is put into its cell, and a cell of more than ``BLOCK`` rows (a region of copies, a drifted sample, or more than ``CELLS``
+times ``BLOCK`` rows in all) is split by hash into blocks of about that size. Each block is a kd-tree of its own with leaves of ``LEAF`` vectors.
 
 Search, in two rounds: first each query searches one block of its own cell; the k-th distance found there bounds the true one. Then it
 goes to every block whose projected box may still hold a neighbour: the stopping test must not yet hold for the box's projected
@@ -14,9 +14,10 @@ distance and that bound. Within a block the leaves are read in order of projecte
 are verified with exact inner products, until ``leaf distance**2 >= chi2_quantile(CONFIDENCE) * (k-th true distance)**2``: then a
 vector not yet seen is nearer than the k-th with a probability of at most 1 - CONFIDENCE.
 
-The queries are dealt to chunks of about ``CHUNK``, and a block is paired with each chunk, so no task holds more than one block and
-one chunk, whatever their numbers. Copies of one vector meet within a block, where only as many of the smallest ids as can be
-returned take part in the ranking: so ties are exact and a vector held by a third of all rows costs no more than any other.
+The queries that go to one block are dealt to chunks of about ``CHUNK``, and the block is copied to its own chunks alone, so no task holds more than one
+block and one chunk, whatever their numbers. Copies of one vector meet within a block, where only as many of the smallest ids as can be
+returned take part in the ranking, so a vector held by a third of all rows costs no more than any other. Among verified vectors ties are
+exact: where scores at the cut can't be told apart in a matrix product they are computed again one by one, and of equal ones the smallest ids stay.
 
 Edges: vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose length is not the most frequent
 one (ties: the shorter); a null vec_id takes no part. Rows with one vec_id are candidates and queries of their own; a query leaves
@@ -27,7 +28,7 @@ than k candidates all are returned. An empty table gives no rows. Other columns
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,11 +42,11 @@ K = 20
 #: Projected coordinates (even, so that the chi-square law has a closed form).
 DIMS = 8
 CONFIDENCE = 0.97
-TOP_SAMPLE = 20_000
+TOP_SAMPLE = 262_144
 #: Vectors of a block, of a leaf of its tree, and queries of a chunk.
 BLOCK, LEAF, CHUNK = 16_384, 128, 8192
 #: Cells of the top tree at most; beyond that cells are split into more blocks.
-CELLS = 4096
+CELLS = 65_536
 SEED = 20
 FOUND = "query_no long, query_id long, vec_id long, score double"
 
@@ -87,9 +88,10 @@ class Top:
 
 
 def fit_top(sample: np.ndarray, projection: np.ndarray, norm2: float, cells: int) -> Top:
+    """From projected vectors."""
     depth = max(0, math.ceil(math.log2(max(1, cells))))
     top = Top(projection, norm2, np.zeros(2**depth - 1, np.int64), np.zeros(2**depth - 1))
-    parts = [top.project(sample)]
+    parts = [sample]
     for node in range(2**depth - 1):
         p = parts[node]
         d = int(np.ptp(p, axis=0).argmax()) if len(p) else 0
@@ -122,6 +124,18 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def best_of(score: np.ndarray, name: np.ndarray, keep: int, unsure: np.ndarray, ask: Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Columns of the ``keep`` best of each row, by score and then id; unsure: what a score may be off; ask(row, names): exact scores and ids."""
+    pick = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
+    cut = np.take_along_axis(score, pick, 1).min(axis=1)
+    near = score >= (cut - unsure)[:, None]
+    for i in np.flatnonzero((near.sum(axis=1) > keep) & np.isfinite(cut)).tolist():
+        some = np.flatnonzero(near[i])
+        held, ids = ask(i, name[i, some])
+        pick[i] = some[np.lexsort((ids, -held))[:keep]]
+    return pick
+
+
 def search_block(top: Top, ids: np.ndarray, nos: np.ndarray, x: np.ndarray, qnos: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query number, vec_id, score) of each query's best k in a block but its own row (nos, qnos: row numbers); bound: a squared distance known to hold k others, or inf."""
     order = np.lexsort((ids, *x.T[::-1]))
@@ -138,6 +152,7 @@ def search_block(top: Top, ids: np.ndarray, nos: np.ndarray, x: np.ndarray, qnos
         away += np.maximum(gap, 0) ** 2
     visit = np.argsort(away, axis=1, kind="stable")
     qn = (q * q).sum(axis=1) + top.norm2
+    unsure = 4 * q.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1) * top.norm2)
     # k + 1 vectors, as one of the rows may be the query's own; by vector, not by row
     keep = k + 1
     best, who = np.full((len(q), keep), -np.inf), np.full((len(q), keep), -1)
@@ -148,7 +163,8 @@ def search_block(top: Top, ids: np.ndarray, nos: np.ndarray, x: np.ndarray, qnos
             rows = active[(todo == m).any(axis=1)]
             score = np.concatenate([best[rows], q[rows] @ u[leaf[m]].T], axis=1)
             name = np.concatenate([who[rows], np.broadcast_to(leaf[m], (len(rows), len(leaf[m])))], axis=1)
-            pick = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
+            ask = lambda i, v, rows=rows: (exact(np.broadcast_to(q[rows[i]], (len(v), q.shape[1])), u[v]), ids[first[v]])
+            pick = best_of(score, name, keep, unsure[rows], ask)
             best[rows], who[rows] = np.take_along_axis(score, pick, 1), np.take_along_axis(name, pick, 1)
         at, step = at + step, step * 2
         if at < len(leaf):
@@ -196,11 +212,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
     total = rows.agg(F.count("*").alias("n"), F.max(norm2).alias("m"), F.count_if("query").alias("q")).first()
     if not total["q"]:
         return spark.createDataFrame([], result)
-    share = min(1.0, TOP_SAMPLE / total["n"])
-    picked = rows.filter(F.pmod(F.xxhash64(F.col("vec_id"), F.lit(SEED)), F.lit(1_000_003)) < share * 1_000_003).select("x")
-    sample = np.array([r["x"] for r in picked.limit(2 * TOP_SAMPLE).collect()], np.float64).reshape(-1, dim)
     rng = np.random.default_rng(SEED)
-    top = fit_top(sample, rng.standard_normal((dim + 1, DIMS)), float(total["m"]), min(CELLS, -(-total["n"] // BLOCK)))
+    flat = Top(rng.standard_normal((dim + 1, DIMS)), float(total["m"]), np.zeros(0, np.int64), np.zeros(0))
+
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(flat.project(matrix(b.column("x"), dim)).ravel()), DIMS).cast(pa.list_(pa.float64()))], ["p"])
+
+    share = min(1.0, TOP_SAMPLE / total["n"])
+    picked = rows.filter(F.pmod(F.xxhash64(F.col("no"), F.lit(SEED)), F.lit(1_000_003)) < share * 1_000_003).select("x")
+    sample = matrix(picked.mapInArrow(projected, "p array<double>").limit(2 * TOP_SAMPLE).toArrow().column("p"), DIMS)
+    top = fit_top(sample, flat.projection, flat.norm2, min(CELLS, -(-total["n"] // BLOCK)))
     ratio = chi2_quantile(CONFIDENCE)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,11 +233,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
             yield pa.record_batch([*b.columns, pa.array(own), pa.array(home)], ["no", "vec_id", "x", "query", "cell", "home"])
 
     placed = rows.select("no", "vec_id", "x", "query").mapInArrow(place, "no long, vec_id long, x array<double>, query boolean, cell long, home long").checkpoint()
-    in_cell = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # at most CELLS rows
-    blocks = {c: -(-n // BLOCK) for c, n in in_cell.items()}
-    number = F.create_map(*[F.lit(v) for c in sorted(blocks) for v in (c, blocks[c])])
-    block = F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("no"), number[F.col("cell")])
-    points = placed.select("no", "vec_id", "x", block.alias("block"))
+    counts = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).checkpoint()
+    counts = F.broadcast(counts)  # at most CELLS rows of two longs
+    part = lambda cell: F.col(cell) * (1 << 32) + F.pmod(F.xxhash64("no"), F.col("blocks"))
+    points = placed.join(counts, "cell").select("no", "vec_id", "x", part("cell").alias("block"))
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,10 +248,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
     boxes = points.mapInArrow(bounds, "block long, low array<double>, high array<double>").groupBy("block").agg(*ends).collect()
     names = np.array([r["block"] for r in boxes])
     low, high = (np.array([[r[f"{c}{i}"] for i in range(DIMS)] for r in boxes]) for c in ("low", "high"))
-    chunks = -(-total["q"] // CHUNK)
-    chunk = F.pmod(F.xxhash64("no", F.lit(1)), F.lit(chunks))
-    asked = placed.filter("query").select(F.col("no").alias("query_no"), F.col("vec_id").alias("query_id"), "x", "home", chunk.alias("chunk"))
-    spread = points.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>"))) if chunks > 1 else points.withColumn("chunk", F.lit(0).cast("long"))
 
     def searched(queries: pa.Table, held: pa.Table) -> pa.Table:
         if not len(queries) or not len(held):
@@ -240,22 +257,25 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
         return pa.table({"query_no": qnos[row], "query_id": qids[row], "vec_id": name, "score": score})
 
     def search(queries: DataFrame) -> DataFrame:
-        return queries.groupBy("block", "chunk").cogroup(spread.groupBy("block", "chunk")).applyInArrow(searched, FOUND)
+        chunks = queries.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")).checkpoint()
+        asked = queries.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("query_no", F.lit(1)), F.col("chunks"))).drop("chunks")
+        spread = points.join(chunks, "block").select("no", "vec_id", "x", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
+        return asked.groupBy("block", "chunk").cogroup(spread.groupBy("block", "chunk")).applyInArrow(searched, FOUND)
 
-    # round 1: one block of the query's own cell, or the block nearest by number if that cell is empty
+    # round 1: a block of the query's own cell, or of the cell next to it in number if that is empty
     have = np.unique(names >> 32)
 
-    def first_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             home = b.column("home").to_numpy()
-            cell = have[np.minimum(np.searchsorted(have, home), len(have) - 1)]
-            yield pa.record_batch([b.column("query_no"), b.column("query_id"), b.column("x"), b.column("chunk"), pa.array(cell << 32), pa.array(np.full(len(cell), np.inf))], ["query_no", "query_id", "x", "chunk", "block", "bound"])
+            yield pa.record_batch([*(b.column(c) for c in ("no", "vec_id", "x")), pa.array(have[np.minimum(np.searchsorted(have, home), len(have) - 1)])], ["no", "vec_id", "x", "cell"])
 
-    with_block = "query_no long, query_id long, x array<double>, chunk long, block long, bound double"
-    start = asked.mapInArrow(first_block, with_block).checkpoint()
+    with_block = "query_no long, query_id long, x array<double>, block long, bound double"
+    start = placed.filter("query").mapInArrow(first_cell, "no long, vec_id long, x array<double>, cell long").join(counts, "cell")
+    start = start.select(F.col("no").alias("query_no"), F.col("vec_id").alias("query_id"), "x", part("cell").alias("block"), F.lit(math.inf).alias("bound")).checkpoint()
     one = search(start).checkpoint()
     kth = one.groupBy("query_no").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-    waiting = start.join(kth, "query_no", "left").select("query_no", "query_id", "x", "chunk", "block", F.when(F.col("n") >= k, F.col("worst")).alias("worst"))
+    waiting = start.join(kth, "query_no", "left").select("query_no", "query_id", "x", "block", F.when(F.col("n") >= k, F.col("worst")).alias("worst"))
 
     def other_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -264,14 +284,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec
             far = np.where(np.isnan(worst), np.inf, np.maximum((x * x).sum(axis=1) + top.norm2 - 2 * np.nan_to_num(worst), 0))
             p = top.project(x, query=True)
             seen = b.column("block").to_numpy()
-            for i in range(len(x)):
-                away = (np.maximum(np.maximum(low - p[i], p[i] - high), 0) ** 2).sum(axis=1)
-                go = names[(away < ratio * far[i] + 1e-12) & (names != seen[i])]
-                if len(go):
-                    take = pa.array(np.full(len(go), i))
-                    yield pa.record_batch([*[b.column(c).take(take) for c in range(4)], pa.array(go), pa.array(np.full(len(go), far[i]))], ["query_no", "query_id", "x", "chunk", "block", "bound"])
-
-    two = search(waiting.mapInArrow(other_blocks, with_block))
+            for i in range(0, len(x), step):
+                away = np.zeros((min(step, len(x) - i), len(names)))
+                for d in range(DIMS):
+                    away += np.maximum(np.maximum(low[None, :, d] - p[i : i + step, d, None], p[i : i + step, d, None] - high[None, :, d]), 0) ** 2
+                row, go = np.nonzero((away < ratio * far[i : i + step, None] + 1e-12) & (names[None, :] != seen[i : i + step, None]))
+                for a in range(0, len(row), 65_536):
+                    take = pa.array(row[a : a + 65_536] + i)
+                    yield pa.record_batch([*[b.column(c).take(take) for c in range(3)], pa.array(names[go[a : a + 65_536]]), pa.array(far[row[a : a + 65_536] + i])], ["query_no", "query_id", "x", "block", "bound"])
+
+    step = max(1, 1_000_000 // len(names))  # queries compared with all boxes at once
+    two = search(waiting.mapInArrow(other_blocks, with_block).checkpoint())
     order = Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
     ranked = one.unionByName(two).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -667,3 +667,18 @@ def test_nearest_keeps_rows_with_one_id(spark, monkeypatch):
         want += [(ids[n], rank + 1, ids[j], round(float(s[j]), 9)) for rank, j in enumerate(np.argsort(-s)[:5])]
     mine = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got]
     assert len(mine) == len(want) and len(set(mine) & set(want)) >= 0.95 * len(set(want))
+
+
+def test_nearest_ties_between_different_vectors(spark, monkeypatch):
+    """Of distinct vectors with one score the smallest ids stay, within a leaf, across leaves and across blocks."""
+    rng = np.random.default_rng(5)
+    for block, leaf in ((4096, 4096), (4096, 64), (256, 64)):
+        monkeypatch.setattr(nearest, "BLOCK", block)
+        monkeypatch.setattr(nearest, "LEAF", leaf)
+        monkeypatch.setattr(nearest, "CONFIDENCE", 1 - 1e-12)  # all is verified
+        angle = rng.random(1500) * 6.28
+        x = np.stack([np.ones(1500), np.cos(angle) * 1e-3, np.sin(angle) * 1e-3], axis=1)
+        ids = rng.permutation(np.arange(1, 1501)) * 20 + 1
+        rows = [(0, [1.0, 0.0, 0.0]), *zip(ids.tolist(), x.tolist(), strict=True)]
+        got = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+        assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(k, v, 1.0) for k, v in enumerate(sorted(ids.tolist())[:20], 1)]
