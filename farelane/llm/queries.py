@@ -19,5 +19,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_license_scan": licenses.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op8_sharding": shards.SQL,
     "op9_chat_formatting": chat.SQL,
 }

@@ -532,18 +532,50 @@ def test_shards(spark):
     assert store.manifest().agg(F.sum("n_rows")).first()[0] == 3000
     sizes = [x["bytes"] for x in store.manifest().collect()]
     assert max(sizes) < 2 * 200_000 and sorted(sizes)[len(sizes) // 2] > 100_000
-    assert store.compact() == 3 and store.vacuum() >= small and store.read().count() == 3000
+    assert store.compact() == 3 and store.vacuum() == 0 and store.read(2).count() == 3000  # superseded, but not for long
+    assert store.vacuum(0) >= small and store.read().count() == 3000
     with pytest.raises(RuntimeError):
-        store.commit([], 2)  # another writer has made version 3
+        store.commit(store.manifest(), store.schema(), 2)  # another writer has made version 3
     assert store.version() == 3
 
 
 def test_shard_query(spark):
     out = shards.placed(docs(spark, HARD, ["shard", "tier"])).collect()
-    assert sorted(str((x["doc_id"], x["text_crc32"])) for x in out) == sorted(str((i, zlib.crc32((t or "").encode()))) for i, t in HARD)
-    assert sum(1 / x["shard_rows"] for x in out) == pytest.approx(len({x["shard"] for x in out}))
+    assert sorted(str((x["doc_id"], x["text_sha256"])) for x in out) == sorted(str((i, hashlib.sha256((t or "").encode()).hexdigest())) for i, t in HARD)
+    assert sum(1 / x["shard_rows"] for x in out) == pytest.approx(len({x["shard"] for x in out})) and all(x["shard_rows"] == x["found_rows"] and not x["due"] for x in out)
     assert shards.placed(docs(spark, [])).count() == 0
-    assert shards.tier_of(64 * shards.MB) == 0 and shards.tier_of(31 * shards.MB) == 1 and shards.tier_of(5 * shards.MB) == 2
+    sizes = [64 * shards.MB, 32 * shards.MB, 31 * shards.MB, 8 * shards.MB, 5 * shards.MB, 1]
+    assert [r[0] for r in spark.createDataFrame([(x,) for x in sizes], "x long").select(shards.tier_of(F.col("x"))).collect()] == [0, 0, 1, 1, 2, 13]
+
+
+def test_shards_of_two_writers(spark, monkeypatch):
+    """vacuum leaves an open append alone; of two commits on one version the later is refused; a lost writer's empty version file is passed over."""
+    store = shards.Store(spark, common.fresh_folder(spark, "t"), target=1 << 20)
+    store.append(spark.range(10))
+    name, entries = store._write(spark.range(10, 20), 1)
+    assert store.vacuum(0) == 0
+    assert store.commit(store.manifest(1).unionByName(entries), store.schema(), 1) == 2
+    store._delete(f"writing/{name}")
+    assert store.vacuum(0) == 0 and store.read().count() == 20
+    late, others = store._write(spark.range(100, 110), 1)
+    with pytest.raises(RuntimeError):
+        store.commit(store.manifest(1).unionByName(others), store.schema(), 1)
+    assert store.read().count() == 20
+    store._delete(f"writing/{late}")
+    assert store.vacuum(0) > 0 and store.read().count() == 20
+    assert store._create("versions/v00000003", "") and store.version() == 2
+    with pytest.raises(RuntimeError):
+        store.append(spark.range(20, 30))  # someone may be writing it
+    monkeypatch.setattr(shards, "GRACE", -1.0)
+    assert store.append(spark.range(20, 30)) == 4 and store.read().count() == 30
+
+
+def test_shards_are_merged_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(shards, "STEP", 3)
+    store = shards.Store(spark, common.fresh_folder(spark, "t"), target=1 << 20)
+    store.append(spark.range(100).repartition(2), most_rows=5)
+    store.compact()
+    assert sorted(r["id"] for r in store.read().collect()) == list(range(100)) and store.manifest().count() < 20
 
 
 def test_shards_of_appends_with_other_columns(spark):
@@ -552,7 +584,7 @@ def test_shards_of_appends_with_other_columns(spark):
         rows = spark.range(k * 10, k * 10 + 10).repartition(1)
         store.append(rows.withColumn("more", F.col("id") * 2) if k >= 4 else rows)
     assert store.compact() == 9
-    store.vacuum()
+    store.vacuum(0)
     assert sorted((x["id"], x["more"]) for x in store.read().collect()) == [(i, i * 2 if i >= 40 else None) for i in range(80)]
     for wrong in (F.lit("text").alias("more"), F.lit(1).cast("long").alias("More")):
         with pytest.raises(ValueError):
