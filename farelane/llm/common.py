@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def discard(done: DataFrame) -> None:
+    """Deletes the files of a checkpointed table that nothing reads any more."""
+    plan = done._jdf.queryExecution().logical()
+    at = plan.rdd().getCheckpointFile()
+    if at.isDefined():
+        path = done.sparkSession._jvm.org.apache.hadoop.fs.Path(at.get())
+        path.getFileSystem(done.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is computed once, however often and deep in higher-order functions body names it.
 

@@ -1,15 +1,17 @@
 """Near-duplicate documents: DartMinHash signatures, banded joining, exact verification (operator 2).
 
-Documents are sets of hashed five-word shingles (words: runs of letters and digits, case folded; a document of fewer
-words is one shingle of all of them). Documents with equal sets are one node from the start. Signatures of ``K`` darts are cut into
-``BANDS`` bands of ``ROWS``; nodes that share a band's value are in a bucket.
+A document is a weighted set of hashed five-word shingles (words: runs of letters and digits, case folded; a document of fewer
+words is one shingle of all of them); a shingle's weight is the number of its occurrences. Two documents are near if their weighted Jaccard
+similarity (sum of the smaller weights over sum of the larger) is ``LEAST`` or more. Documents with equal weighted sets are one node from the
+start. Signatures of ``K`` darts are cut into ``BANDS`` bands of ``ROWS``; nodes that share a band's value are in a bucket. A pair
+of similarity 0.8 shares a bucket with probability 0.998; all pairs that share one are decided by the exact similarity of their (64-bit hashed) sets:
 
 1. In each bucket the node with the smallest number is the pivot; every other is paired with it, so the pairs grow with the
-   bucket, not with its square. Pairs are verified by the exact Jaccard similarity of their shingle sets (``LEAST``).
+   bucket, not with its square. Pairs are verified.
 2. Verified pairs give components. A bucket whose nodes lie in one component is settled.
-3. In every other bucket each node is compared with the nodes of other components, best signature first and verified exactly, until
-   a link is found or none with a similar enough signature is left. Signatures with under ``CLOSE`` equal darts aren't compared: of
-   texts that share a bucket at similarity 0.8 that misses about seven pairs in a million (binomial, 120 free darts); all others end in one class. Buckets are handled in cells of about ``2 * CELL`` nodes, whatever their size.
+3. In every other bucket the nodes outside its most common component are compared with all nodes of other components, in cells of about
+   ``2 * CELL`` nodes whatever the bucket's size. A cell counts all its common shingles in one sparse product, and gives
+   the links that join components.
 
 The class of a document is the smallest doc_id of its component.
 
@@ -28,17 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep_rows, prepare, table, text_mark
-from .dart_minhash import signatures
+from .common import discard, keep_rows, prepare, table, text_mark
+from .dart_minhash import signatures, unit_cells
 from .text import LETTER, NUMBER, chunks, classes, code_points, mixed, span_hashes
 
 WORDS, LEAST = 5, 0.8
 #: 21 bands of 6: a pair of similarity 0.8 shares a band with probability 0.998.
 BANDS, ROWS = 21, 6
 K = BANDS * ROWS
-#: Share of equal darts below which two nodes aren't compared exactly: 0.15 less than LEAST is four standard deviations.
-CLOSE = LEAST - 0.15
-CELL = 256
+#: Nodes of either side of a cell, and shingles at most (about); rows of one open bucket that a task joins.
+CELL, CELL_SHINGLES, SPLIT = 128, 1 << 20, 1024
+#: Shingles of a cell counted at a time.
+COLUMNS = 4096
 #: Candidate ids are broadcast up to this many (8 bytes each), else joined.
 BROADCAST_ROWS = 1_000_000
 
@@ -60,20 +63,21 @@ def word_hashes(texts: list[str]) -> list[np.ndarray]:
     return [p[0] if len(p) == 1 else np.concatenate(p) for p in parts]
 
 
-def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
-    """Distinct hashed shingles, sorted."""
+def shingles(words: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashed shingles, sorted, and their weights: how often each occurs."""
     if not len(words):
-        return words
+        return words, np.zeros(0)
     size = min(size, len(words))
     h = np.zeros(len(words) - size + 1, np.uint64)
     for k in range(size):
         h = h * np.uint64(0xD1342543DE82EF95) + words[k : len(words) - size + 1 + k]
-    return np.unique(mixed(h))
+    found, counts = np.unique(mixed(h), return_counts=True)
+    return found, counts.astype(np.float64)
 
 
-def short(s: np.ndarray) -> np.ndarray:
-    """A set as sorted distinct 32-bit values."""
-    return np.unique((s >> np.uint64(32)).astype(np.uint32))
+def weighted(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A weighted set as a plain one, sorted: an element of weight 3 is three; Jaccard similarity stays the same."""
+    return np.sort(unit_cells(found, weights)[0]) if len(found) else found
 
 
 def band_values(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -90,35 +94,35 @@ def set_key(s: np.ndarray, text: str) -> bytes:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, key, bands."""
+    """doc_id, mark, key, size, bands."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             sets = [shingles(w) for w in word_hashes(texts)]
-            bands = band_values(signatures([s for s in sets if len(s)], K))
-            ends = np.cumsum([0, *(BANDS * (len(s) > 0) for s in sets)]).astype(np.int32)
-            flat = bands.ravel()
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([set_key(s, t) for s, t in zip(sets, texts, strict=True)], pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "mark", "key", "bands"])
+            some = [x for x in sets if len(x[0])]
+            bands = band_values(signatures([x for x, _ in some], K, [w for _, w in some]))
+            ends = np.cumsum([0, *(BANDS * (len(x) > 0) for x, _ in sets)]).astype(np.int32)
+            keys = pa.array([set_key(weighted(*x), t) for x, t in zip(sets, texts, strict=True)], pa.binary())
+            size = pa.array([int(w.sum()) for _, w in sets], pa.int64())
+            yield pa.record_batch([batch.column(0), batch.column(1), keys, size, pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel()))], ["doc_id", "mark", "key", "size", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), "text").mapInArrow(of, "doc_id long, mark long, key binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), "text").mapInArrow(of, "doc_id long, mark long, key binary, size long, bands array<long>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """key, shingles (sorted 32-bit values), darts (32-bit) of documents."""
+    """key, shingles (the weighted set as a sorted plain one of 64-bit hashes) of documents."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for a in range(0, len(texts), 256):
                 some = texts[a : a + 256]
-                sets = [(shingles(w), t) for w, t in zip(word_hashes(some), some, strict=True)]
-                sets = [(s, t) for s, t in sets if len(s)]
-                sig = (signatures([s for s, _ in sets], K) >> np.uint64(32)).astype(np.uint32)
-                key, held, sig = [set_key(s, t) for s, t in sets], [short(s).tobytes() for s, _ in sets], [x.tobytes() for x in sig]
-                yield pa.record_batch([pa.array(x, pa.binary()) for x in (key, held, sig)], ["key", "shingles", "darts"])
+                sets = [weighted(*shingles(w)) for w in word_hashes(some)]
+                held = [(set_key(s, t), s.tobytes()) for s, t in zip(sets, some, strict=True) if len(s)]
+                yield pa.record_batch([pa.array([x[k] for x in held], pa.binary()) for k in (0, 1)], ["key", "shingles"])
 
-    return docs.select("text").mapInArrow(of, "key binary, shingles binary, darts binary")
+    return docs.select("text").mapInArrow(of, "key binary, shingles binary")
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
@@ -137,7 +141,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (b.column(k).to_pylist() for k in (2, 3))
-            fine = [alike(np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32), least) for p, q in zip(x, y, strict=True)]
+            fine = [alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), least) for p, q in zip(x, y, strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -148,41 +152,71 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of each component of (a, b); neighbours' minima with pointer jumping until nothing changes."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")).checkpoint()
+    held = labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")).checkpoint()
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("to"))
         jump = labels.select(F.col("node").alias("to"), F.col("label").alias("beyond"))
         moved = lower.join(jump, "to").select("node", F.least("to", "beyond").alias("new"), "label").checkpoint()
-        labels = moved.select("node", F.col("new").alias("label"))
+        discard(held)
+        held, labels = moved, moved.select("node", F.col("new").alias("label"))
         if moved.filter("new <> label").isEmpty():
+            discard(both)
             return labels
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common elements of each pair of sets, from the product of their 0/1 matrices over the elements that both sides have."""
+    out = np.zeros((len(left), len(right)))
+    sides = []
+    for sets in (left, right):
+        flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        sides.append((flat, np.repeat(np.arange(len(sets)), [len(s) for s in sets])))
+    both = np.intersect1d(*(np.unique(flat) for flat, _ in sides), assume_unique=True)
+    places = []
+    for flat, row in sides:
+        at = np.searchsorted(both, flat)
+        fine = at < len(both)
+        fine[fine] = both[at[fine]] == flat[fine]
+        at, row = at[fine], row[fine]
+        order = np.argsort(at, kind="stable")
+        places.append((at[order], row[order]))
+    for a in range(0, len(both), COLUMNS):
+        parts = []
+        for (at, row), sets in zip(places, (left, right), strict=True):
+            p, q = np.searchsorted(at, [a, a + COLUMNS])
+            part = np.zeros((len(sets), min(COLUMNS, len(both) - a)), np.float32)
+            part[row[p:q], at[p:q] - a] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T  # at most COLUMNS ones: exact
+    return out
+
+
 def links_across(t: pa.Table, least: float) -> list[tuple[int, int]]:
-    """Verified links of a cell: from its rare nodes to nodes of components they aren't joined to yet, most alike signatures first."""
+    """Links of a cell that join components: between its rare nodes (asks) and nodes of other components whose sets are similar enough."""
     node, label, rare, asks = (t.column(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "rare", "asks"))
-    sig = np.stack([np.frombuffer(s, np.uint32) for s in t.column("darts").to_pylist()])
-    sets = [np.frombuffer(s, np.uint32) for s in t.column("shingles").to_pylist()]
+    sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
     size = np.array([len(s) for s in sets])
-    parent = {int(x): int(x) for x in np.unique(label)}
+    left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+    common = common_counts([sets[i] for i in left], [sets[j] for j in right])
+    fine = common >= least * (size[left][:, None] + size[right][None, :] - common) - 1e-9
+    fine &= label[left][:, None] != label[right][None, :]
+    fine &= ~rare[right][None, :] | (node[right][None, :] > node[left][:, None])  # two rare nodes ask once
+    parent: dict[int, int] = {}
 
     def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
         return x
 
     out = []
-    for i in np.flatnonzero(asks).tolist():
-        fit = ~asks & (label != label[i]) & (size >= least * size[i]) & (least * size <= size[i])
-        js = np.flatnonzero(fit & (~rare | (node > node[i])))  # two rare nodes ask once
-        same = (sig[js] == sig[i]).mean(axis=1)
-        for j in js[np.argsort(-same, kind="stable")][: int((same >= CLOSE).sum())].tolist():
-            p, q = root(int(label[i])), root(int(label[j]))
-            if p != q and alike(sets[i], sets[j], least):
-                parent[max(p, q)] = min(p, q)
-                out.append((int(node[i]), int(node[j])))
+    for i, j in zip(*(x.tolist() for x in np.nonzero(fine)), strict=True):
+        i, j = left[i], right[j]
+        p, q = root(int(label[i])), root(int(label[j]))
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            out.append((int(node[i]), int(node[j])))
     return out
 
 
@@ -191,15 +225,18 @@ def cells(labelled: DataFrame) -> DataFrame:
 
     A bucket's rare nodes are those outside its most common component; of two nodes in different components at least one is rare. Chunk i
     of the rare nodes (asks) meets chunk j of all nodes in cell (i, j): about CELL of either, and where few nodes are rare
-    a bucket is dealt out about once.
+    a bucket is dealt out about once. A large bucket meets its numbers in parts of about SPLIT rows.
     """
-    parts = labelled.groupBy("h", "label").agg(F.count("*").alias("n"))
-    whole = parts.groupBy("h").agg(F.max(F.struct("n", "label")).alias("usual"), F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
-    chunks = lambda n: F.ceil(n / CELL)
-    rows = labelled.join(whole.select("h", F.col("usual.label").alias("usual"), chunks(F.col("n")).alias("all"), chunks(F.col("n") - F.col("usual.n")).alias("few")), "h")
-    rows = rows.withColumn("rare", F.col("label") != F.col("usual"))
+    parts = labelled.groupBy("h", "label").agg(F.count("*").alias("n"), F.sum("size").alias("m"), F.first("all_n").alias("all_n"))
+    whole = parts.groupBy("h").agg(F.max(F.struct("n", "label", "m")).alias("usual"), F.sum("n").alias("n"), F.sum("m").alias("m"), F.count("*").alias("parts"), F.first("all_n").alias("all_n"))
+    chunks = lambda n, m: F.ceil(F.greatest(n / CELL, m / CELL_SHINGLES))
+    few = chunks(F.col("n") - F.col("usual.n"), F.col("m") - F.col("usual.m"))
+    split = F.ceil(F.col("all_n") / SPLIT)
+    whole = whole.filter("parts > 1").select("h", F.col("usual.label").alias("usual"), chunks(F.col("n"), F.col("m")).alias("all"), few.alias("few"), split.alias("split"))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     own = lambda n: F.pmod(F.xxhash64("node", "h"), n)
+    rows = labelled.withColumn("part", F.pmod(F.xxhash64("node"), split)).join(whole.withColumn("part", each(F.col("split"))), ["h", "part"])
+    rows = rows.withColumn("rare", F.col("label") != F.col("usual"))
     told = rows.select("h", own(F.col("all")).alias("j"), "node", "label", "rare", F.lit(False).alias("asks"), each(F.col("few")).alias("i"))
     ask = rows.filter("rare").select("h", own(F.col("few")).alias("i"), "node", "label", "rare", F.lit(True).alias("asks"), each(F.col("all")).alias("j"))
     return told.unionByName(ask)
@@ -209,9 +246,9 @@ def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """A row for each document: doc_id, class_id, class_size, kept, mark."""
     prepare(docs.sparkSession)
     rows = sketches(docs).withColumn("row", F.monotonically_increasing_id()).checkpoint()
-    nodes = rows.groupBy("key").agg(F.min("row").alias("node"), F.first("bands").alias("bands")).checkpoint()
-    members = nodes.select("node", F.explode("bands").alias("h"))
-    shared = members.groupBy("h").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
+    nodes = rows.groupBy("key").agg(F.min("row").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")).checkpoint()
+    members = nodes.select("node", "size", F.explode("bands").alias("h"))
+    shared = members.groupBy("h").agg(F.min("node").alias("pivot"), F.count("*").alias("all_n")).filter("all_n > 1")
     buckets = members.join(shared, "h").checkpoint()
     pairs = buckets.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct().checkpoint()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
@@ -228,7 +265,7 @@ def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
         found = links_across(t, least)
         return pa.table({"a": pa.array([p for p, _ in found], pa.int64()), "b": pa.array([q for _, q in found], pa.int64())})
 
-    labelled = buckets.select("h", "node").join(labels, "node", "left").select("h", "node", F.coalesce("label", "node").alias("label"))
+    labelled = buckets.select("h", "node", "size", "all_n").join(labels, "node", "left").select("h", "node", "size", "all_n", F.coalesce("label", "node").alias("label"))
     left = cells(labelled)
     more = left.join(sets, "node").groupBy("h", "i", "j").applyInArrow(across, "a long, b long").distinct().checkpoint()
     if not more.isEmpty():
@@ -236,6 +273,8 @@ def classes_of(docs: DataFrame, least: float = LEAST) -> DataFrame:
     named = rows.join(nodes.select("key", "node"), "key").join(labels, "node", "left").select("doc_id", "mark", "row", F.coalesce("label", "node").alias("label"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
     heads = named.groupBy("label").agg(F.min(first).alias("first"), F.count("*").alias("n")).checkpoint()  # else the join below would share its exchange, and a large class stay in one task
+    for used in (buckets, pairs, wanted, sets, edges, more):
+        discard(used)
     return named.join(heads, "label").select("doc_id", F.col("first.doc_id").alias("class_id"), F.col("n").alias("class_size"), (F.col("row") == F.col("first.row")).alias("kept"), "mark")
 
 

@@ -8,7 +8,7 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -78,10 +78,11 @@ def words(t):
 
 
 def brute_classes(rows, least=0.8):
+    """Weights: how often a shingle of five words occurs."""
     sets = []
     for i, t in rows:
         w = words(t)
-        sets.append((i, frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset([("text", " ".join((t or "").split()))])))
+        sets.append((i, Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter([("text", " ".join((t or "").split()))])))
     parent = list(range(len(sets)))
 
     def root(x):
@@ -91,7 +92,7 @@ def brute_classes(rows, least=0.8):
 
     for a, b in itertools.combinations(range(len(sets)), 2):
         x, y = sets[a][1], sets[b][1]
-        if len(x & y) >= least * len(x | y):
+        if (x & y).total() >= least * (x | y).total():
             parent[max(root(a), root(b))] = min(root(a), root(b))
     out = defaultdict(list)
     for k, (i, _) in enumerate(sets):
@@ -116,7 +117,8 @@ def classes(rows):
 
 
 def test_near(spark):
-    for rows in (near_rows(), HARD, [(1, "only four words here"), (2, "only four words here!"), (3, "!!!"), (4, "???"), (5, "!!!")]):
+    repeats = [(k, "the same line over and over " * n + f"then another one of its own {k}") for k, n in enumerate((20, 22, 24, 40, 44, 3, 3, 90))]
+    for rows in (near_rows(), HARD, repeats, [(1, "only four words here"), (2, "only four words here!"), (3, "!!!"), (4, "???"), (5, "!!!")]):
         got = defaultdict(list)
         out = near_dup.classes_of(docs(spark, rows, ["key", "node", "label", "row", "mark", "want", "id"])).collect()
         assert len(out) == len(rows)
@@ -135,6 +137,30 @@ def test_near(spark):
     assert near_dup.classes_of(docs(spark, [])).count() == 0
 
 
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(near_dup, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (0, 1, 40, 200, 90, 40, 250)]
+    got = near_dup.common_counts(sets[:4], sets[2:])
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[2:]] for a in sets[:4]]
+
+
+def test_near_at_the_edge_of_the_threshold(spark):
+    """Pairs in one bucket are decided exactly: many of similarity just below and just above 0.8, and none of them by their darts alone."""
+    r, rows = random.Random(8), []
+    for k in range(60):
+        w = [f"b{k}x{i}" for i in range(104)]
+        v = list(w)
+        v[: r.choice([5, 6, 7, 11, 12])] = [f"c{k}y{i}" for i in range(11)][: r.choice([5, 6, 7])]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    got = defaultdict(list)
+    for x in near_dup.classes_of(docs(spark, rows)).collect():
+        got[x["class_id"]].append(x["doc_id"])
+    want = classes(brute_classes(rows).values())
+    missed = [c for c in want if c not in classes(got.values())]
+    assert len(missed) <= 1 and all(len(c) == 1 or c in want for c in classes(got.values()))
+
+
 def test_near_open_buckets(spark, monkeypatch):
     """Links that the pivots miss: a chain of texts, each near the next, with small cells so that a bucket is cut."""
     monkeypatch.setattr(near_dup, "CELL", 3)
