@@ -1,8 +1,9 @@
 """Near-duplicate documents: DartMinHash signatures, banded joining, exact verification (operator 2).
 
 A document is a weighted set of hashed five-word shingles (words: runs of letters and digits, case folded; a document of fewer
-words is one shingle of all of them); a shingle's weight is the number of its occurrences. Two documents are near if their weighted Jaccard
-similarity (sum of the smaller weights over sum of the larger) is ``LEAST`` or more. Documents with equal weighted sets are one node from the
+words is one shingle of all of them); a shingle that occurs n times weighs 1 + floor(log2(n)), so a text without repeats is a plain set, and
+one line repeated through two texts doesn't make them copies (as plain counts would). Two documents are near if their weighted Jaccard similarity (sum
+of the smaller weights over sum of the larger) is ``LEAST`` or more. Documents with equal weighted sets are one node from the
 start. Signatures of ``K`` darts are cut into ``BANDS`` bands of ``ROWS``; nodes that share a band's value are in a bucket. A pair
 of similarity 0.8 shares a bucket with probability 0.998; all pairs that share one are decided by the exact similarity of their (64-bit hashed) sets:
 
@@ -64,7 +65,7 @@ def word_hashes(texts: list[str]) -> list[np.ndarray]:
 
 
 def shingles(words: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed shingles, sorted, and their weights: how often each occurs."""
+    """Distinct hashed shingles, sorted, and their weights."""
     if not len(words):
         return words, np.zeros(0)
     size = min(size, len(words))
@@ -72,7 +73,7 @@ def shingles(words: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarr
     for k in range(size):
         h = h * np.uint64(0xD1342543DE82EF95) + words[k : len(words) - size + 1 + k]
     found, counts = np.unique(mixed(h), return_counts=True)
-    return found, counts.astype(np.float64)
+    return found, np.floor(np.log2(counts)) + 1
 
 
 def weighted(found: np.ndarray, weights: np.ndarray) -> np.ndarray:

@@ -78,11 +78,12 @@ def words(t):
 
 
 def brute_classes(rows, least=0.8):
-    """Weights: how often a shingle of five words occurs."""
+    """A shingle of five words that occurs n times weighs the length of n in bits."""
     sets = []
     for i, t in rows:
         w = words(t)
         sets.append((i, Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter([("text", " ".join((t or "").split()))])))
+    sets = [(i, Counter({k: n.bit_length() for k, n in x.items()})) for i, x in sets]
     parent = list(range(len(sets)))
 
     def root(x):
@@ -118,6 +119,7 @@ def classes(rows):
 
 def test_near(spark):
     repeats = [(k, "the same line over and over " * n + f"then another one of its own {k}") for k, n in enumerate((20, 22, 24, 40, 44, 3, 3, 90))]
+    repeats += [(10 + k, "a b c d e f " * 30 + " ".join(f"u{k}v{i}" for i in range(20))) for k in range(4)]  # much of one line, and little in common
     for rows in (near_rows(), HARD, repeats, [(1, "only four words here"), (2, "only four words here!"), (3, "!!!"), (4, "???"), (5, "!!!")]):
         got = defaultdict(list)
         out = near_dup.classes_of(docs(spark, rows, ["key", "node", "label", "row", "mark", "want", "id"])).collect()
