@@ -63,11 +63,25 @@ def test_exact(spark):
 
 
 def test_exact_levels(spark):
-    """After every round a digest has at most one row in each run that is left."""
-    rows = docs(spark, [(i, "same" if i % 3 else f"t{i}") for i in range(300)])
-    low, root = exact_dedup.merge_runs(exact_dedup.digest_rows(rows).checkpoint())
-    assert low.groupBy(*exact_dedup.KEY, "run").count().filter("count > 1").isEmpty() and low.select("run").distinct().count() > 1
-    assert root.count() == 101 and root.agg(F.max("n")).first()[0] == 200
+    """Every level: runs are sorted, a digest is in a run once, with the smallest identifier and the count of the runs merged so far."""
+    rows = docs(spark, [(i, "same" if i % 3 else f"t{i % 200}") for i in range(600)])
+    digests = exact_dedup.in_runs(exact_dedup.digest_rows(rows).checkpoint(), 3)
+    plain = [(r["sha"], r["run"], r["doc_id"]) for r in digests.collect()]
+    low, levels = exact_dedup.merge_runs(digests, 3, 2)
+    assert low.groupBy(*exact_dedup.KEY, "run").count().filter("count > 1").isEmpty()
+    for k, level in enumerate(levels):
+        held = level.collect()
+        want = defaultdict(list)
+        for sha, run, i in plain:
+            want[run >> 2 * k, bytes(sha)].append(i)
+        got = {}
+        for r in held:
+            shas = [bytes(e["sha"]) for e in r["run_part"]]
+            assert shas == sorted(set(shas)) and all(int.from_bytes(x[:4]) * 2 * 4**k >> 32 == r["range"] for x in shas)
+            got |= {(r["run"], bytes(e["sha"])): (e["first"]["doc_id"], e["n"]) for e in r["run_part"]}
+        assert got == {key: (min(ids), len(ids)) for key, ids in want.items()}
+    assert {r["run"] for r in levels[-1].collect()} == {0} and len({r["run"] for r in levels[0].collect()}) == 64
+    assert exact_dedup.rounds_for(10) == 2 and exact_dedup.rounds_for(10**9) == 4 and exact_dedup.rounds_for(5 * 10**10) == 7
 
 
 # --- near-duplicates ---
