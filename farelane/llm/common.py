@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from .. import cluster
 from ..cluster import fresh_folder as fresh_folder
 
-#: Rows of one Arrow batch sent to Python; long texts are bounded by Spark's own byte limit besides.
-ARROW_ROWS = 2000
+#: Rows and bytes of one Arrow batch sent to Python.
+ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches, name a folder for checkpoint(), and send this package to the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return cluster.prepare(spark)
 
 

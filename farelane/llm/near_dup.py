@@ -24,6 +24,7 @@ passed through by ``keep_one``.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,6 +127,16 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(of, "key binary, shingles binary")
 
 
+def views(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a binary column, in place."""
+    if not len(column):
+        return []
+    _, ends, held = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    held = np.frombuffer(held, np.uint8) if held else np.zeros(0, np.uint8)
+    return [held[a:b].view(np.uint64) for a, b in itertools.pairwise(ends)]
+
+
 def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     """Exact Jaccard similarity of two sorted sets of distinct values is at least ``least``."""
     if min(len(a), len(b)) < least * max(len(a), len(b)):
@@ -141,8 +152,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (b.column(k).to_pylist() for k in (2, 3))
-            fine = [alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), least) for p, q in zip(x, y, strict=True)]
+            fine = [alike(x, y, least) for x, y in zip(views(b.column(2)), views(b.column(3)), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -196,7 +206,7 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 def links_across(t: pa.Table, least: float) -> list[tuple[int, int]]:
     """Links of a cell that join components: between its rare nodes (asks) and nodes of other components whose sets are similar enough."""
     node, label, rare, asks = (t.column(c).to_numpy(zero_copy_only=False) for c in ("node", "label", "rare", "asks"))
-    sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
+    sets = [x for part in t.column("shingles").chunks for x in views(part)]
     size = np.array([len(s) for s in sets])
     left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
     common = common_counts([sets[i] for i in left], [sets[j] for j in right])
