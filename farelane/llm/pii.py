@@ -1,8 +1,7 @@
 """Personal data in whole texts: base rules and a semi-Markov conditional random field (operator 7).
 
-The base spans (email, ip, card, phone) are found by rule and always stay. The field segments the regions around
-runs of digits and spelled-out addresses, where it weighs whole candidate spans by their form, checksums and the
-words before them, and jointly chooses boundaries and types. It adds spans of kinds that the rules have no form
+The base spans (email, ip, card, phone) are found by rule and always stay. The field segments the whole text: it weighs whole candidate
+spans by their form, checksums and the words before them, and jointly chooses boundaries and types. It adds spans of kinds that the rules have no form
 for: ``local_phone`` (no country code), ``iban``, ``national_id`` and ``hidden_email`` (``name (at) host (dot) net``).
 Added spans never overlap a base span; spans that it types as one of the base kinds are left to the rules, so the
 number of spans of these four kinds is that of the rules.
@@ -10,17 +9,24 @@ number of spans of these four kinds is that of the rules.
 No labelled personal data exist here, so the field is trained on generated sentences (fixed seed) whose labels are
 known: every kind in several forms and contexts, and numbers that are no personal data (orders, dates, versions, sums, codes).
 
+A candidate has at least seven digits, an @ or a spelled-out one, and at most ``WIDEST`` characters. A token that no candidate can cover is no
+part of an entity on any path, so the best segmentation of a text is put together from the best ones of the stretches between
+such tokens. Only ``regions`` with candidates are therefore handed to the field, each with the tokens around it, whatever their length; this is
+the segmentation of the whole text, and a test holds it against that.
+
 Edges: null text is empty text, without spans. Repeated rows are separate rows; an empty table gives no rows. Other
-columns are ignored by ``find`` and passed through by ``redact``. A region is cut every ``REGION`` characters, far beyond
-the longest entity, so a text of digits only costs time in proportion to its length.
+columns are ignored by ``find`` and passed through by ``redact``. A text of digits only is one region; its time grows in proportion to its
+length, and what is held of it are back pointers of 45 bytes a token.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,16 +34,12 @@ from pyspark.sql import functions as F
 
 from .common import prepare, table
 from .pii_rules import BASE_KINDS, Span, base_spans, luhn, order, sha256, written
-from .semi_crf import Field
+from .semi_crf import WIDEST, Field, same_token
 
 ADDED_KINDS = ("local_phone", "iban", "national_id", "hidden_email")
 LABELS = ["O", *BASE_KINDS, *ADDED_KINDS]
-#: Where a region begins: at least seven digits close together, an account number's head, or a spelled-out @.
-ANCHOR = re.compile(r"\(?[0-9](?:[ ().-]{0,3}[0-9]){6,}|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8}(?![A-Za-z0-9])|[(\[]at[)\]]")
-#: Characters of context on each side of an anchor, and of a region at most.
-AROUND, REGION = 48, 2000
-#: Without any of these a text has no region.
-NEEDED = re.compile(r"[0-9]|[(\[]at[)\]]")
+#: What makes a candidate possible: an @, spelled out or not, or at least so many digits.
+AT, DIGIT, DIGITS = re.compile(r"@|[(\[]at[)\]]"), re.compile("[0-9]"), 7
 HINTS = {
     "phone": r"phone|tel|call|mobile|fax|cell|dial|llam|appel|anruf",
     "card": r"card|visa|credit|carte|tarjeta|karte",
@@ -73,7 +75,7 @@ def of_entity(text: str, a: int, b: int) -> list[str] | None:
     s = text[a:b]
     digits = re.sub(r"[^0-9]", "", s)
     at, mark = "@" in s, AT_MARK.search(s)
-    if len(digits) < 7 and not at and not mark or len(digits) > 34 or "\n" in s:
+    if len(digits) < DIGITS and not at and not mark or len(digits) > 34 or "\n" in s:
         return None
     shape = re.sub(r"[^\W\d_]+", "w", re.sub(r"[0-9]+", lambda m: str(len(m[0])), s))
     form = re.sub(r"[^\W\d_]+", "w", re.sub(r"[0-9]+", "0", s))
@@ -98,6 +100,7 @@ def generated(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
     """Sentences with known entities."""
     r = random.Random(seed)
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    h = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
     name = lambda: "".join(r.choice("abcdeilmnorstu") for _ in range(r.randint(3, 8)))
 
     def card() -> str:
@@ -119,12 +122,12 @@ def generated(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
         "iban": iban,
         "national_id": lambda: f"{d(3)}-{d(2)}-{d(4)}",
         "hidden_email": lambda: r.choice([f"{name()} (at) {name()} (dot) com", f"{name()}.{name()} [at] {name()} [dot] org", f"{name()} (at) {name()}.net", f"{name()}(at){name()}.com"]),
-        "O": lambda: r.choice([d(9), d(12), d(16), d(8), f"{d(4)}-{d(2)}-{d(2)} {d(2)}", f"{d(1)}.{d(2)}.{d(4)}", f"{d(3)},{d(3)},{d(3)}", f"{d(4)} {d(4)}", f"{d(3)}-{d(1)}-{d(2)}-{d(6)}-{d(1)}", f"{d(5)}-{d(4)}", f"{d(2)}.{d(6)} {d(2)}.{d(6)}", f"{d(3)} {d(4)} {d(3)}", f"AB{d(2)} {name()} {d(6)}", f"{d(7)}-{d(3)}", f"{d(4)} {d(4)} {d(4)}"]),
+        "O": lambda: r.choice([d(9), d(12), d(16), d(8), f"{d(4)}-{d(2)}-{d(2)} {d(2)}", f"{d(1)}.{d(2)}.{d(4)}", f"{d(3)},{d(3)},{d(3)}", f"{d(4)} {d(4)}", f"{d(3)}-{d(1)}-{d(2)}-{d(6)}-{d(1)}", f"{d(5)}-{d(4)}", f"{d(2)}.{d(6)} {d(2)}.{d(6)}", f"{d(3)} {d(4)} {d(3)}", f"AB{d(2)} {name()} {d(6)}", f"{d(7)}-{d(3)}", f"{d(4)} {d(4)} {d(4)}", h(32), h(40), h(12).upper(), f"{h(8)}-{h(4)}-{h(4)}-{h(4)}-{h(12)}", f"{name()}_{h(24)}"]),
     }
     before = {
         "phone": ["phone ", "tel: ", "call ", ""], "local_phone": ["phone ", "tel: ", "call me at ", "mobile ", "fax: "], "card": ["card ", "visa ", ""],
         "iban": ["IBAN ", "account ", "bank ", ""], "national_id": ["ssn ", "SSN: ", "social security ", "national id "], "email": ["mail ", ""], "hidden_email": ["mail ", "contact ", "", "write to "],
-        "ip": ["host ", "ip ", ""], "O": ["order ", "ref ", "invoice ", "", "", "on ", "version ", "no. ", "total ", "code "],
+        "ip": ["host ", "ip ", ""], "O": ["order ", "ref ", "invoice ", "", "", "on ", "version ", "no. ", "total ", "code ", "token = ", "key: "],
     }
     out = []
     for _ in range(n):
@@ -144,43 +147,65 @@ def generated(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
 
 
 @lru_cache(1)
-def trained(examples: int = 220, epochs: int = 6) -> Field:
+def trained(examples: int = 300, epochs: int = 6) -> Field:
     field = Field(LABELS, of_entity, of_token)
     field.train(generated(examples), epochs, rate=0.3, decay=1e-3)
     return field
 
 
 def regions(text: str) -> list[tuple[int, int]]:
+    """Stretches of whole tokens that hold all possible candidates, each with a token after it that none of them covers."""
+    reach = [(m.end() - WIDEST, m.start() + WIDEST) for m in AT.finditer(text)]
+    at = [m.start() for m in DIGIT.finditer(text)]
+    reach += [(q + 1 - WIDEST, p + WIDEST) for p, q in zip(at, at[DIGITS - 1 :], strict=False) if q - p < WIDEST]
     out: list[list[int]] = []
-    if not NEEDED.search(text):
-        return []
-    for m in ANCHOR.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+    for a, b in sorted(reach):
+        a, b = max(a, 0), min(b, len(text))
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
+            continue
+        if out:
+            out[-1][1] = token_after(text, out[-1][1])
+            if a <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], b)
+                continue
+        while a and same_token(text[a - 1], text[a]):
+            a -= 1
+        if out and a <= out[-1][1]:
+            out[-1][1] = b
         else:
             out.append([a, b])
-    return [(c, min(c + REGION, b)) for a, b in out for c in range(a, b, REGION)]
+    if out:
+        out[-1][1] = token_after(text, out[-1][1])
+    return [(a, b) for a, b in out]
+
+
+def token_after(text: str, at: int) -> int:
+    """The end of the token after the one that holds text[at - 1]."""
+    for _ in range(2):
+        at += at < len(text)
+        while at < len(text) and same_token(text[at - 1], text[at]):
+            at += 1
+    return at
 
 
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, base and added spans)."""
     base = base_spans(text)
-    added: list[Span] = []
-    for a, b in regions(text):
-        while a and a < b and text[a - 1].isalnum() and text[a].isalnum():
-            a += 1  # don't begin within a word
-        for s, e, kind in field.best(text, a, b):
-            if kind in ADDED_KINDS and all(e <= x or y <= s for x, y, _ in base):
-                added.append((s, e, kind))
-    return base, sorted({*base, *added}, key=order) if added else base
+    added = [(s, e, kind) for a, b in regions(text) for s, e, kind in field.best(text, a, b) if kind in ADDED_KINDS]
+    if not added:
+        return base, base
+    taken = sorted((a, b) for a, b, _ in base)
+    starts, ends = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    free = [x for x in added if (k := bisect_left(starts, x[1])) == 0 or ends[k - 1] <= x[0]]
+    return base, sorted({*base, *free}, key=order)
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_pii long"
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """A row for each document: counts of the base kinds, digest of base spans, all spans."""
+    """A row for each document: counts of the base kinds, digest of base spans, all spans and their number."""
     prepare(docs.sparkSession)
     field = trained()
 
@@ -188,7 +213,7 @@ def find(docs: DataFrame) -> DataFrame:
         for batch in batches:
             found = [all_spans(t or "", field) for t in batch.column(1).to_pylist()]
             counts = [pa.array([sum(s[2] == k for s in base) for base, _ in found], pa.int64()) for k in BASE_KINDS]
-            yield pa.record_batch([batch.column(0), *counts, pa.array([sha256(written(b)) for b, _ in found], pa.string()), pa.array([written(s) for _, s in found], pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            yield pa.record_batch([batch.column(0), *counts, pa.array([sha256(written(b)) for b, _ in found], pa.string()), pa.array([written(s) for _, s in found], pa.string()), pa.array([len(s) for _, s in found], pa.int64())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_pii"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, SCHEMA)
 

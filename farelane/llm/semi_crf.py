@@ -10,6 +10,7 @@ conditional likelihood with the forward-backward sums of the same recursion.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,7 +19,15 @@ import numpy as np
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 #: Tokens and characters of an entity at most.
 LONGEST, WIDEST = 26, 80
+#: The label of tokens outside entities; the first one.
 OUT = 0
+KINDS = re.compile(r"([0-9])|([^\W\d_])|(\s)")
+
+
+def same_token(a: str, b: str) -> bool:
+    """Two characters side by side are in one token."""
+    x, y = KINDS.match(a), KINDS.match(b)
+    return x is not None and y is not None and x.lastindex == y.lastindex
 
 
 @dataclass
@@ -75,27 +84,45 @@ class Field:
         return out
 
     def best(self, text: str, a: int = 0, b: int | None = None) -> list[tuple[int, int, str]]:
-        """Entities (start, end, label) of the best segmentation."""
-        x = self.lattice(text, a, b)
-        n = len(x.tokens)
-        if len(x.start) == n:
-            return []  # no segment can be an entity
-        s = self.scores(x)
-        top = np.full((n + 1, len(self.labels)), -np.inf)
-        top[0, OUT] = 0
-        back: list[list[tuple[int, int] | None]] = [[None] * len(self.labels) for _ in range(n + 1)]
-        for j in range(1, n + 1):
-            for k in x.by_end[j]:
-                way = top[x.start[k]][:, None] + self.t
-                value = way.max(axis=0) + s[k]
-                for y in np.flatnonzero(value > top[j]):
-                    top[j, y], back[j][y] = value[y], (k, int(way[:, y].argmax()))
-        out, j, y = [], n, int(top[n].argmax())
-        while j:
-            k, before = back[j][y]
+        """Entities (start, end, label) of the best segmentation. Segments are scored as the search comes to their end, and not held."""
+        b = len(text) if b is None else b
+        size = len(self.labels)
+        starts, ends = array("q"), array("q")
+        top = [np.full(size, -np.inf)]  # of the last LONGEST + 1 ends
+        top[0][OUT] = 0
+        way_start, way_label = array("i"), array("b")  # of each end and label: first token of the last segment, label before it
+        some = False
+        for m in TOKEN.finditer(text, a, b):
+            starts.append(m.start())
+            ends.append(m.end())
+            j, e = len(starts), m.end()
+            best = np.full(size, -np.inf)
+            start, label = [0] * size, [OUT] * size
+            for k in range(min(j, LONGEST)):  # segments of k + 1 tokens
+                i = j - k - 1
+                if e - starts[i] > WIDEST and k:
+                    break
+                before = top[-1 - k]
+                ways = [(self.of_token(text, starts[i], e) or [], slice(OUT, OUT + 1))] if not k else []
+                if e - starts[i] <= WIDEST and (names := self.of_entity(text, starts[i], e)) is not None:
+                    ways.append((names, slice(OUT + 1, size)))
+                for names, kinds in ways:
+                    ids = self.ids(names, False)
+                    way = before[:, None] + self.t[:, kinds]
+                    value = way.max(axis=0) + (self.w[ids, kinds].sum(axis=0) if ids else 0)
+                    for y in np.flatnonzero(value > best[kinds]).tolist():
+                        best[kinds.start + y], start[kinds.start + y], label[kinds.start + y] = value[y], i, int(way[:, y].argmax())
+                        some |= kinds.start > OUT
+            top = [*top[-LONGEST:], best]
+            way_start.extend(start)
+            way_label.extend(label)
+        out, j = [], len(starts)
+        y = int(top[-1].argmax()) if some else OUT
+        while j and some:
+            i, before = way_start[(j - 1) * size + y], way_label[(j - 1) * size + y]
             if y != OUT:
-                out.append((x.tokens[x.start[k]][0], x.tokens[x.end[k] - 1][1], self.labels[y]))
-            j, y = x.start[k], before
+                out.append((starts[i], ends[j - 1], self.labels[y]))
+            j, y = i, before
         return out[::-1]
 
     def train(self, examples: list[tuple[str, list[tuple[int, int, str]]]], epochs: int, rate: float, decay: float) -> None:

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -432,6 +433,31 @@ def test_field_against_all_segmentations():
                 table[at] = old
 
 
+def test_regions_give_the_segmentation_of_the_whole_text():
+    field, r = pii.trained(), random.Random(11)
+    some = [x for x, _ in pii.generated(60, seed=5)] + ["12", "3 4", "a" * 90, "@", "(at)", "\n", " ", "x.y", "٣٤", "_", "1 " * 30, "7" * 100, "é", "+", "(555) 123-4567"]
+    for _ in range(400):
+        t = "".join(r.choice(some) + r.choice(["", " ", " word and more words to stand between them, until no candidate reaches across any of it " * r.randint(0, 2)]) for _ in range(r.randint(1, 9)))
+        assert [x for a, b in pii.regions(t) for x in field.best(t, a, b)] == field.best(t), repr(t)
+
+
+def test_an_entity_far_into_a_region():
+    """No cut: a social security number after thousands of characters that all belong to one region."""
+    field = pii.trained()
+    for n in (1980, 1995, 2000, 5000):
+        t = "ab 1234567 " * (n // 11) + "x" * (n % 11) + " ssn 123-45-6789 and so on"
+        assert len(pii.regions(t)) == 1 and [t[a:b] for a, b, k in pii.all_spans(t, field)[1] if k == "national_id"] == ["123-45-6789"]
+
+
+def test_a_field_over_many_tokens_takes_time_in_proportion():
+    field, took = pii.trained(), []
+    for n in (1500, 6000):
+        began = time.process_time()
+        field.best("1 " * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0]
+
+
 def test_pii_query(spark):
     rows = [*HARD, (30, "me@x.org é a@b.co +1 (743) 555-3824, 1.2.3.4, 4111 1111 1111 1111"), (31, "1 " * 2000)]
     out = pii.find(docs(spark, rows, ["spans", "n_ip"])).collect()
@@ -441,6 +467,7 @@ def test_pii_query(spark):
     assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (2, 1, 1, 1)
     assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in base).encode()).hexdigest()
     assert set(",".join(f"{k}:{a}:{b}" for a, b, k in base).split(",")) <= set(r["spans"].split(","))
+    assert all(x["n_pii"] == len([k for k in x["spans"].split(",") if k]) for x in out)
     assert all(x["base_sha256"] == hashlib.sha256(b"").hexdigest() and x["spans"] == "" for x in out if x["doc_id"] in (2, 3))
     clean = pii.redact(docs(spark, rows, ["extra"]))
     assert clean.columns == ["doc_id", "text", "lang", "source", "n_chars", "extra"]
