@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import cluster
 from ..functions.times import epoch
 
 #: Average posted speed limit by the floor of the network level, and of any other level.
@@ -12,9 +13,20 @@ SPEED = {0: 57.5, 1: 44.9, 2: 41.6, 3: 41.7, 4: 39.5, 5: 33.5, 6: 40.8, 7: 31.9}
 OTHER_SPEED = 30.0
 
 
-def steady_round(x: Column, digits: int) -> Column:
-    """Half-up rounding that the noise of floating-point sums doesn't decide."""
-    return F.round(x + 1e-9, digits)
+#: Rows of shares of travel time that are broadcast at most (about 100 bytes each); beyond that they are joined by shuffle.
+BROADCAST_ROWS = 500_000
+WEEKDAYS = range(7)
+TRIPLE = ["shape_id", "departure_seg_idx", "arrival_seg_idx"]
+
+
+def halves_up(a: Column, b: Column) -> Column:
+    """a / b of whole numbers, rounded half up to a whole one exactly; b is positive."""
+    a, b = a.cast("decimal(38,0)"), b.cast("decimal(38,0)")
+    return F.call_function("div", 2 * a + b, 2 * b)
+
+
+def thousandths(x: Column) -> Column:
+    return F.round(x * 1000).cast("long")
 
 
 def scheduled_stops(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
@@ -75,52 +87,154 @@ def paths_of_traversals(traffic: DataFrame, shape_map: DataFrame, conflation_map
     return steps.join(segments, ["shape_id", "shape_index"])
 
 
-def synthetic_probe(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, compat: bool = False) -> DataFrame:
-    """Travel time of each trip on each map segment by the epoch in which it enters it.
+def shares(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, compat: bool = False) -> DataFrame:
+    """What each map segment takes of a traversal's time: its weight ``w`` of ``w_sum``, after ``w_before``.
 
-    A traversal's time is shared out by (length - overhangs) / speed; its segments are ordered by shape index, position and id (compat: not
-    by shape index, Q30).
+    That depends only on the stretch of the shape (TRIPLE), so it is worked out once for each distinct one, not for each traversal. Weights are
+    (length - overhangs) / speed; segments are ordered by shape index, position and id (compat: not by shape index, Q30). ``again``: the
+    shape comes over the segment more than once.
     """
-    rows = paths_of_traversals(traffic, shape_map, conflation_map)
+    often = F.count("*").over(Window.partitionBy("shape_id", "conflation_map_id")) > 1
+    shape_map = shape_map.withColumn("again", often)
+    rows = paths_of_traversals(traffic.select(*TRIPLE).distinct(), shape_map, conflation_map)
     weight = (F.col("length_km") - F.col("conf_map_pre_len") - F.col("conf_map_post_len")) / speed_limit(F.col("networklevel"))
-    one = Window.partitionBy("trip_id", "departure_time_sec", "arrival_time_sec", "departure_seg_idx", "arrival_seg_idx")
+    one = Window.partitionBy(*TRIPLE)
     along = one.orderBy(*([] if compat else ["shape_index"]), "along_idx", "conflation_map_id")
+    rows = rows.withColumn("w", weight).withColumn("w_sum", F.sum("w").over(one))
+    before = F.coalesce(F.sum("w").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    cluster.prepare(traffic.sparkSession)
+    return rows.select(*TRIPLE, "conflation_map_id", "again", "w", "w_sum", before.alias("w_before")).checkpoint()
+
+
+def observed(traversals: DataFrame, shares: DataFrame) -> DataFrame:
+    """Traversals on their map segments, a row each: all their columns but times and indices, and epoch and tt in seconds."""
+    rows = traversals.join(F.broadcast(shares) if shares.count() <= BROADCAST_ROWS else shares, TRIPLE)
     total = F.col("arrival_time_sec") - F.col("departure_time_sec")
-    rows = rows.withColumn("w", weight).withColumn("tt", total * F.try_divide(F.col("w"), F.sum("w").over(one)))
-    before = F.coalesce(F.sum("tt").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rows = rows.select("conflation_map_id", "trip_id", epoch(F.round(F.col("departure_time_sec") + before, 6)).alias("epoch"), F.round("tt", 3).alias("tt"))
+    start = F.col("departure_time_sec") + F.coalesce(F.try_divide(total * F.col("w_before"), F.col("w_sum")), F.lit(0.0))
+    rows = rows.withColumn("epoch", epoch(F.round(start, 6))).withColumn("tt", F.round(F.try_divide(total * F.col("w"), F.col("w_sum")), 3))
+    return rows.drop(*TRIPLE, "departure_time_sec", "arrival_time_sec", "w", "w_sum", "w_before")
+
+
+def with_overlaps(traffic: DataFrame) -> DataFrame:
+    """Traversals that go somewhere; ``overlaps``: one of their trip is on the same indices, so that they can meet in a map segment."""
+    rows = traffic.filter("arrival_seg_idx > departure_seg_idx").select("trip_id", *TRIPLE, "departure_time_sec", "arrival_time_sec")
+    w = Window.partitionBy("trip_id").orderBy("departure_seg_idx", "arrival_seg_idx")
+    overlap = F.col("departure_seg_idx") < F.max("arrival_seg_idx").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("overlaps", F.coalesce(overlap, F.lit(False))).withColumn("overlaps", F.max("overlaps").over(Window.partitionBy("trip_id")))
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """A4: observations of one trip on one segment in one epoch, together."""
     return rows.groupBy("conflation_map_id", "trip_id", "epoch").agg(F.sum("tt").alias("travel_time"))
 
 
-def traffic_by_route(routes: DataFrame, trips: DataFrame, dates: DataFrame, probe: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Average travel time and weekly count by map segment, route, weekday and epoch.
+def synthetic_probe(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, compat: bool = False) -> DataFrame:
+    """Travel time of each trip on each map segment by the epoch in which it enters it.
 
-    Probes are summed by service first, and service dates counted by (service, weekday), so the sums, not the probes, are multiplied
-    by weekdays, and nothing by dates. A route without a short name goes by its id (Q29).
+    Only where a shape comes over a segment again, or a trip's traversals overlap, can two observations of a trip meet; only those are grouped.
     """
-    n_dates = dates.groupBy("service_id", "dow").agg(F.count("*").alias("n"))
+    part = shares(traffic, shape_map, conflation_map, compat)
+    rows = observed(with_overlaps(traffic), part)
+    alone = rows.filter("NOT overlaps AND NOT again").select("conflation_map_id", "trip_id", "epoch", F.col("tt").alias("travel_time"))
+    return alone.unionByName(met(rows.filter("overlaps OR again")))
+
+
+def served_days(routes: DataFrame, trips: DataFrame, dates: DataFrame) -> DataFrame:
+    """trip_id, route_short_name, n0 ... n6: on how many Sundays, ..., Saturdays a trip runs. A route without a short name goes by its id (Q29)."""
+    n_dates = dates.groupBy("service_id").agg(*[F.count_if(F.col("dow") == k).alias(f"n{k}") for k in WEEKDAYS])
     named = routes.select("route_id", F.coalesce(F.col("route_short_name"), F.col("route_id").cast("string")).alias("route_short_name"))
-    served = trips.join(named, "route_id").select("trip_id", "route_short_name", "service_id")
-    sums = probe.join(served, "trip_id").groupBy("conflation_map_id", "route_short_name", "epoch", "service_id").agg(
-        F.sum("travel_time").alias("tt"), F.count("*").alias("c"), F.collect_set(F.col("trip_id").cast("string")).alias("ids")
-    )
-    rows = sums.join(n_dates, "service_id").groupBy("conflation_map_id", "route_short_name", "dow", "epoch").agg(
-        (F.sum(F.col("tt") * F.col("n")) / F.sum(F.col("c") * F.col("n"))).alias("avg_travel_time"),
-        F.sum(F.col("c") * F.col("n")).alias("n"),
-        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))), ",").alias("trip_ids"),
-    )
-    count = F.round(F.try_divide(F.col("n").cast("double"), F.col("feed_num_weeks")), 1)
-    return rows.crossJoin(F.broadcast(weeks)).select("conflation_map_id", "route_short_name", "dow", "epoch", "avg_travel_time", count.alias("avg_weekly_count"), "trip_ids")  # weeks: one row (J16)
+    return trips.join(named, "route_id").join(n_dates, "service_id").select("trip_id", "route_short_name", *[f"n{k}" for k in WEEKDAYS])
 
 
-def traffic_total(by_route: DataFrame) -> DataFrame:
-    """All routes together, travel times weighted by weekly counts."""
-    w = F.col("avg_weekly_count")
-    return by_route.groupBy("conflation_map_id", "dow", "epoch").agg(
-        steady_round(F.try_divide(F.sum(F.col("avg_travel_time") * w), F.sum(w)), 3).alias("avg_tt"),
-        F.sum(w).alias("avg_weekly_count"),
-        F.array_join(F.sort_array(F.collect_set("route_short_name")), ",").alias("routes"),
-    )
+def days_mask() -> Column:
+    """Bit k: the trip runs on weekday k."""
+    return sum((F.when(F.col(f"n{k}") > 0, 1 << k).otherwise(0) for k in WEEKDAYS), F.lit(0))
+
+
+def by_weekdays(rows: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Observations (conflation_map_id, route_short_name, epoch, tt, n0 ... n6, ids) summed by segment, route and epoch, all weekdays in one row:
+    n (dates), m (those with a time) and t (their times in thousandths), each 0 ... 6, ids with their days, and the feed's number of weeks."""
+    n, tt = lambda k: F.col(f"n{k}"), thousandths(F.col("tt"))
+    sums = [F.sum(n(k)).alias(f"n{k}") for k in WEEKDAYS] + [F.sum(F.when(F.col("tt").isNotNull(), n(k)).otherwise(0)).alias(f"m{k}") for k in WEEKDAYS] + [F.sum(n(k) * tt).alias(f"t{k}") for k in WEEKDAYS]
+    out = rows.groupBy("conflation_map_id", "route_short_name", "epoch").agg(*sums, F.flatten(F.collect_list("ids")).alias("ids"))
+    return out.crossJoin(F.broadcast(weeks))  # one row (J16)
+
+
+def weekday_sums(routes: DataFrame, trips: DataFrame, dates: DataFrame, traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, weeks: DataFrame, compat: bool = False) -> DataFrame:
+    """J15, A5 from traversals: traversals alike in stretch, times and route are summed before they are spread over map segments."""
+    part = shares(traffic, shape_map, conflation_map, compat)
+    served = served_days(routes, trips, dates)
+    rows = with_overlaps(traffic)
+    days = [f"n{k}" for k in WEEKDAYS]
+    ids = F.collect_list(F.struct(F.col("trip_id").cast("string").alias("id"), days_mask().alias("days"))).alias("ids")
+    again = part.groupBy(*TRIPLE).agg(F.max("again").alias("again"))  # of a whole stretch
+    again = F.broadcast(again) if part.count() <= BROADCAST_ROWS else again
+    rows = rows.join(again, TRIPLE).withColumn("grouped", F.col("overlaps") | F.col("again")).drop("overlaps", "again")
+    key = [*TRIPLE, "departure_time_sec", "arrival_time_sec", "route_short_name"]
+    alike = rows.filter("NOT grouped").join(served, "trip_id").groupBy(*key).agg(*[F.sum(c).alias(c) for c in days], ids)
+    # each number of dates counts for all trips of the group, and so for their common time
+    alone = observed(alike, part).select("conflation_map_id", "route_short_name", "epoch", "tt", *days, "ids")
+    single = met(observed(rows.filter("grouped"), part)).join(served, "trip_id").withColumn("ids", F.array(F.struct(F.col("trip_id").cast("string").alias("id"), days_mask().alias("days"))))
+    single = single.select("conflation_map_id", "route_short_name", "epoch", F.col("travel_time").alias("tt"), *days, "ids")
+    return by_weekdays(alone.unionByName(single), weeks)
+
+
+def of_days(each: list[Column]) -> Column:
+    """An array of structs, one a weekday, without those on which nothing runs (n is 0)."""
+    return F.filter(F.array(*each), lambda x: x["n"] > 0)
+
+
+def weekly(n: Column) -> Column:
+    return F.round(F.try_divide(n.cast("double"), F.col("feed_num_weeks")), 1)
+
+
+def by_route(sums: DataFrame) -> DataFrame:
+    """A5: average travel time and weekly count by map segment, route, weekday and epoch, and the trips."""
+
+    def day(k: int) -> Column:
+        some = F.transform(F.filter("ids", lambda x: F.getbit(x["days"], F.lit(k)) == 1), lambda x: x["id"])
+        avg = F.try_divide(F.col(f"t{k}"), F.col(f"m{k}")) / 1000
+        return F.struct(F.lit(k).alias("dow"), F.col(f"n{k}").alias("n"), avg.alias("avg_travel_time"), weekly(F.col(f"n{k}")).alias("avg_weekly_count"), F.array_join(F.sort_array(F.array_distinct(some)), ",").alias("trip_ids"))
+
+    rows = sums.select("conflation_map_id", "route_short_name", "epoch", F.inline(of_days([day(k) for k in WEEKDAYS])))
+    return rows.select("conflation_map_id", "route_short_name", "dow", "epoch", "avg_travel_time", "avg_weekly_count", "trip_ids")
+
+
+def sums_of_probe(served: DataFrame, probe: DataFrame, weeks: DataFrame) -> DataFrame:
+    """J15, A5 from a table of probes."""
+    rows = probe.join(served, "trip_id").withColumn("ids", F.array(F.struct(F.col("trip_id").cast("string").alias("id"), days_mask().alias("days"))))
+    return by_weekdays(rows.withColumnRenamed("travel_time", "tt"), weeks)
+
+
+def traffic_by_route(routes: DataFrame, trips: DataFrame, dates: DataFrame, probe: DataFrame, weeks: DataFrame) -> DataFrame:
+    return by_route(sums_of_probe(served_days(routes, trips, dates), probe, weeks))
+
+
+def tenths(n: Column) -> Column:
+    """Weekly count of n dates in tenths, to which it is rounded."""
+    return F.round(weekly(n) * 10).cast("long")
+
+
+def billionths(t: Column, m: Column) -> Column:
+    """Average of t thousandths of m observations, in billionths of a second."""
+    return F.when(m > 0, halves_up(t.cast("decimal(38,0)") * 1_000_000, m))
+
+
+def traffic_total(sums: DataFrame) -> DataFrame:
+    """All routes together, travel times weighted by weekly counts. Averages are taken to billionths and sums are of whole numbers, so their order doesn't matter."""
+    w = lambda k: tenths(F.col(f"n{k}"))
+    avg = lambda k: billionths(F.col(f"t{k}"), F.col(f"m{k}"))
+    each = [f(k) for k in WEEKDAYS for f in (lambda k: F.sum(F.col(f"n{k}")).alias(f"n{k}"), lambda k: F.sum(w(k)).alias(f"w{k}"), lambda k: F.sum(avg(k) * w(k)).alias(f"a{k}"))]
+    routes = F.collect_list(F.struct("route_short_name", days_mask().alias("days"))).alias("names")
+    rows = sums.groupBy("conflation_map_id", "epoch").agg(*each, routes)
+
+    def day(k: int) -> Column:
+        names = F.transform(F.filter("names", lambda x: F.getbit(x["days"], F.lit(k)) == 1), lambda x: x["route_short_name"])
+        tt = F.when(F.col(f"w{k}") > 0, halves_up(F.col(f"a{k}"), F.col(f"w{k}").cast("decimal(38,0)") * 1_000_000)) / 1000
+        return F.struct(F.lit(k).alias("dow"), F.col(f"n{k}").alias("n"), tt.cast("double").alias("avg_tt"), (F.col(f"w{k}") / 10).alias("avg_weekly_count"), F.array_join(F.sort_array(F.array_distinct(names)), ",").alias("routes"))
+
+    rows = rows.select("conflation_map_id", "epoch", F.inline(of_days([day(k) for k in WEEKDAYS])))
+    return rows.select("conflation_map_id", "dow", "epoch", "avg_tt", "avg_weekly_count", "routes")
 
 
 def peak(epoch: Column, dow: Column) -> Column:
@@ -129,15 +243,21 @@ def peak(epoch: Column, dow: Column) -> Column:
     return F.when(epoch.between(72, 239), F.when(dow.between(1, 5), weekday).otherwise("WE")).otherwise("OVN")
 
 
-def aadt_by_route_and_peak(by_route: DataFrame) -> DataFrame:
-    """A7."""
-    rows = by_route.withColumn("peak", peak(F.col("epoch"), F.col("dow")))
-    return rows.groupBy("conflation_map_id", "peak", "route_short_name").agg(steady_round(F.sum("avg_weekly_count") / 7, 0).cast("long").alias("aadt"))
+def aadt_by_route_and_peak(sums: DataFrame) -> DataFrame:
+    """A seventh of the weekly counts of a peak's weekdays and epochs, rounded half up."""
+    names = ["AMP", "MIDD", "PMP", "WE", "OVN"]
+    # the rule asks for epoch and weekday; a row has all weekdays, so it is asked for each
+    inside = lambda name, k: peak(F.col("epoch"), F.lit(k)) == name
+    of = lambda name, x: sum((F.when(inside(name, k), x(k)).otherwise(0) for k in WEEKDAYS), F.lit(0))
+    parts = [f(name) for name in names for f in (lambda p: F.sum(of(p, lambda k: F.coalesce(tenths(F.col(f"n{k}")), F.lit(0)))).alias(p), lambda p: F.sum(of(p, lambda k: F.col(f"n{k}"))).alias(f"n_{p}"))]
+    rows = sums.groupBy("conflation_map_id", "route_short_name").agg(*parts, F.first("feed_num_weeks").alias("feed_num_weeks"))
+    known = F.col("feed_num_weeks") != 0  # Q5: else there is no count
+    each = [F.struct(F.lit(p).alias("peak"), F.col(f"n_{p}").alias("n"), F.when(known, halves_up(F.col(p), F.lit(70))).cast("long").alias("aadt")) for p in names]
+    return rows.select("conflation_map_id", "route_short_name", F.inline(of_days(each))).select("conflation_map_id", "peak", "route_short_name", "aadt")
 
 
-def aadt_breakdown(by_route: DataFrame) -> DataFrame:
-    """Total, map by peak and nested map by route, of the rounded parts (Q26); one shuffle by map segment."""
-    parts = aadt_by_route_and_peak(by_route)
+def aadt_breakdown(parts: DataFrame) -> DataFrame:
+    """Total, map by peak and nested map by route, of the rounded parts of A7 (Q26)."""
     by_peak = F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "aadt"))))
     peaks = parts.groupBy("conflation_map_id", F.col("peak").alias("key")).agg(F.sum("aadt").alias("aadt")).groupBy("conflation_map_id").agg(F.sum("aadt").alias("aadt"), by_peak.alias("aadt_by_peak"))
     inner = parts.groupBy("conflation_map_id", "route_short_name").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("peak", "aadt")))).alias("m"))

@@ -95,10 +95,11 @@ class Pipeline:
         probe = schedule.synthetic_probe(t.read("gtfs_scheduled_traffic.scheduled_transit_traffic"), t.read("gtfs_conflation_map_join.gtfs_matches_conflation_map_join"), t.read("conflation_map.conflation_map"), self.compat)
         probe = t.write("gtfs_conflation_schedule_join.gtfs_synthetic_probe_data", probe, sort=["conflation_map_id", "trip_id", "epoch"])
         weeks = calendar.feed_weeks(t.read("gtfs_scheduled_traffic.feed_date_extent"))
-        by_route = schedule.traffic_by_route(self.raw("routes"), self.raw("trips"), t.read("gtfs_scheduled_traffic.service_dates"), probe, weeks)
-        by_route = t.write("gtfs_conflation_schedule_join.gtfs_scheduled_traffic_by_route", by_route)
-        t.write("gtfs_conflation_schedule_join.gtfs_scheduled_traffic", schedule.traffic_total(by_route))
-        t.write("gtfs_conflation_schedule_join.conflation_map_aadt_breakdown", schedule.aadt_breakdown(by_route))
+        served = schedule.served_days(self.raw("routes"), self.raw("trips"), t.read("gtfs_scheduled_traffic.service_dates"))
+        sums = t.write("gtfs_conflation_schedule_join.tmp_weekday_sums", schedule.sums_of_probe(served, probe, weeks))
+        t.write("gtfs_conflation_schedule_join.gtfs_scheduled_traffic_by_route", schedule.by_route(sums))
+        t.write("gtfs_conflation_schedule_join.gtfs_scheduled_traffic", schedule.traffic_total(sums))
+        t.write("gtfs_conflation_schedule_join.conflation_map_aadt_breakdown", schedule.aadt_breakdown(schedule.aadt_by_route_and_peak(sums)))
 
     def output_shapefile(self, output_file: str) -> dict[str, int]:
         t = self.tables

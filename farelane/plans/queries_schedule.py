@@ -245,8 +245,8 @@ def probe_of(t, compat: bool = False) -> DataFrame:
     return schedule.synthetic_probe(traffic_of(t), t("tx_shape_map_join"), t("tx_conflation_map"), compat)
 
 
-def by_route_of(t) -> DataFrame:
-    return schedule.traffic_by_route(t("tx_routes"), t("tx_trips"), dates_of(t), probe_of(t), calendar.feed_weeks(extent_of(t)))
+def sums_of(t) -> DataFrame:
+    return schedule.weekday_sums(t("tx_routes"), t("tx_trips"), dates_of(t), traffic_of(t), t("tx_shape_map_join"), t("tx_conflation_map"), calendar.feed_weeks(extent_of(t)))
 
 
 @query(f"WITH {TRAFFIC}, {PROBE} SELECT conflation_map_id, trip_id, epoch, round(travel_time, 3) AS travel_time FROM probe")
@@ -271,7 +271,7 @@ def speed_lookup(t):
 
 
 BY_ROUTE = f"""{EXTENT}, {INCLUDED}, service AS ({REMOVED}), {TRAFFIC}, {PROBE}, by_route AS (
-  SELECT p.conflation_map_id, coalesce(r.route_short_name, CAST(r.route_id AS VARCHAR)) AS route_short_name, s.dow, p.epoch, avg(p.travel_time) AS avg_travel_time,
+  SELECT p.conflation_map_id, coalesce(r.route_short_name, CAST(r.route_id AS VARCHAR)) AS route_short_name, s.dow, p.epoch, CAST(sum(CAST(round(p.travel_time * 1000) AS BIGINT)) AS BIGINT) AS ms, count(p.travel_time) AS n,
          round(count(*) / nullif(max((SELECT datediff('day', strptime(feed_start_date, '%Y%m%d'), strptime(feed_end_date, '%Y%m%d')) FROM extent)) / 7.0, 0), 1) AS avg_weekly_count,
          array_to_string(list_sort(list(DISTINCT CAST(t.trip_id AS VARCHAR))), ',') AS trip_ids
   FROM tx_routes r JOIN tx_trips t USING (route_id) JOIN service s USING (service_id) JOIN probe p USING (trip_id)
@@ -280,40 +280,46 @@ BY_ROUTE = f"""{EXTENT}, {INCLUDED}, service AS ({REMOVED}), {TRAFFIC}, {PROBE},
 AADT = BY_ROUTE + """, aadt AS (
   SELECT conflation_map_id, route_short_name,
          CASE WHEN epoch BETWEEN 72 AND 239 THEN CASE WHEN dow BETWEEN 1 AND 5 THEN CASE WHEN epoch < 120 THEN 'AMP' WHEN epoch < 192 THEN 'MIDD' ELSE 'PMP' END ELSE 'WE' END ELSE 'OVN' END AS peak,
-         CAST(round(sum(avg_weekly_count) / 7 + 1e-9) AS BIGINT) AS aadt
+         CAST(round(sum(CAST(avg_weekly_count AS DECIMAL(18, 1))) / 7.0) AS BIGINT) AS aadt
   FROM by_route GROUP BY 1, 2, 3
 )"""
 
 
-@query(f"WITH {BY_ROUTE} SELECT conflation_map_id, route_short_name, dow, epoch, round(avg_travel_time + 1e-9, 6) AS avg_travel_time, avg_weekly_count, trip_ids FROM by_route")
+@query(f"""WITH {BY_ROUTE}
+SELECT conflation_map_id, route_short_name, dow, epoch, avg_weekly_count, trip_ids, CAST((2000 * ms + n) // (2 * n) AS BIGINT) AS avg_travel_time_us FROM by_route""")
 def traffic_by_route(t):
-    return by_route_of(t).withColumn("avg_travel_time", schedule.steady_round(F.col("avg_travel_time"), 6))
+    """The average in whole microseconds, halves up, which both sides work out in whole numbers."""
+    sums = sums_of(t)
+    rows = schedule.by_route(sums)
+    return rows.withColumn("avg_travel_time_us", F.round(F.col("avg_travel_time").cast("decimal(30,15)") * 1_000_000).cast("long")).drop("avg_travel_time")
 
 
-@query(f"""WITH {BY_ROUTE}
-SELECT conflation_map_id, dow, epoch, round(sum(avg_travel_time * avg_weekly_count) / nullif(sum(avg_weekly_count), 0) + 1e-9, 3) AS avg_tt, round(sum(avg_weekly_count), 6) AS avg_weekly_count,
+@query(f"""WITH {BY_ROUTE}, whole AS (
+  SELECT *, (2000000 * CAST(ms AS HUGEINT) + n) // (2 * n) AS nano, CAST(round(avg_weekly_count * 10) AS HUGEINT) AS w FROM by_route
+)
+SELECT conflation_map_id, dow, epoch, CAST((2 * sum(nano * w) + 1000000 * sum(w)) // nullif(2000000 * sum(w), 0) AS DOUBLE) / 1000 AS avg_tt, CAST(sum(w) AS DOUBLE) / 10 AS avg_weekly_count,
        array_to_string(list_sort(list(DISTINCT route_short_name)), ',') AS routes
-FROM by_route GROUP BY 1, 2, 3""")
+FROM whole GROUP BY 1, 2, 3""")
 def traffic_total(t):
-    return schedule.traffic_total(by_route_of(t)).withColumn("avg_weekly_count", F.round("avg_weekly_count", 6))
+    return schedule.traffic_total(sums_of(t))
 
 
 @query(f"WITH {AADT} SELECT conflation_map_id, peak, route_short_name, aadt FROM aadt")
 def aadt_peak(t):
-    return schedule.aadt_by_route_and_peak(by_route_of(t))
+    return schedule.aadt_by_route_and_peak(sums_of(t))
 
 
 @query(f"WITH {AADT} SELECT conflation_map_id, CAST(sum(aadt) AS BIGINT) AS aadt FROM aadt GROUP BY 1")
 def aadt_total(t):
-    return schedule.aadt_breakdown(by_route_of(t)).select("conflation_map_id", "aadt")
+    return schedule.aadt_breakdown(schedule.aadt_by_route_and_peak(sums_of(t))).select("conflation_map_id", "aadt")
 
 
 @query(f"WITH {AADT} SELECT conflation_map_id, peak, CAST(sum(aadt) AS BIGINT) AS aadt FROM aadt GROUP BY 1, 2")
 def aadt_by_peak(t):
-    return schedule.aadt_breakdown(by_route_of(t)).select("conflation_map_id", F.explode("aadt_by_peak").alias("peak", "aadt"))
+    return schedule.aadt_breakdown(schedule.aadt_by_route_and_peak(sums_of(t))).select("conflation_map_id", F.explode("aadt_by_peak").alias("peak", "aadt"))
 
 
 @query(f"WITH {AADT} SELECT conflation_map_id, route_short_name, peak, aadt FROM aadt")
 def aadt_by_route(t):
-    rows = schedule.aadt_breakdown(by_route_of(t)).select("conflation_map_id", F.explode("aadt_by_route").alias("route_short_name", "m"))
+    rows = schedule.aadt_breakdown(schedule.aadt_by_route_and_peak(sums_of(t))).select("conflation_map_id", F.explode("aadt_by_route").alias("route_short_name", "m"))
     return rows.select("conflation_map_id", "route_short_name", F.explode("m").alias("peak", "aadt"))
