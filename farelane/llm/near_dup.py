@@ -296,3 +296,31 @@ def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes_of(table(spark, sf_dir, "documents")).drop("mark")
+
+
+#: All pairs that share a shingle, compared exactly, and their components.
+SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS no, doc_id, coalesce(text, '') AS t, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+), grams AS (
+  SELECT no, unnest(CASE WHEN len(w) = 0 THEN ['text ' || trim(regexp_replace(t, '\s+', ' ', 'g'))]
+                         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g, len(w) > 0 AS worded FROM docs
+), weights AS (
+  SELECT no, hash(g, worded) AS g, 1 + floor(log2(count(*))) AS x FROM grams GROUP BY 1, 2
+), sizes AS (
+  SELECT no, sum(x) AS n FROM weights GROUP BY 1
+), common AS (
+  SELECT a.no AS a, b.no AS b, sum(least(a.x, b.x)) AS c FROM weights a JOIN weights b ON a.g = b.g AND a.no < b.no GROUP BY 1, 2
+), edges AS (
+  SELECT a, b FROM common JOIN sizes x ON x.no = a JOIN sizes y ON y.no = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9
+), links AS (
+  SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges
+), reach AS (
+  SELECT no AS a, no AS b FROM docs UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), label AS (
+  SELECT a AS no, min(b) AS first FROM reach GROUP BY 1
+)
+SELECT d.doc_id, h.doc_id AS class_id, count(*) OVER (PARTITION BY first) AS class_size, d.no = first AS kept
+FROM docs d JOIN label USING (no) JOIN docs h ON h.no = first
+"""

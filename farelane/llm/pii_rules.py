@@ -69,3 +69,40 @@ def written(spans: list[Span]) -> str:
 
 def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _matches(kind: str, rank: int, pattern: str, fine: str) -> str:
+    """SQL for the matches of one kind and their places: after the text's parts between matches, and the matches before."""
+    return rf"""
+  SELECT no, '{kind}' AS kind, {rank} AS rank, start, start + length(m) AS stop FROM (
+    SELECT no, unnest(ms) AS m, unnest(list_transform(range(1, len(ms) + 1), lambda i: CAST(list_sum([length(x) FOR x IN parts[1:i]]) + coalesce(list_sum([length(x) FOR x IN ms[1:i - 1]]), 0) AS BIGINT))) AS start
+    FROM (SELECT no, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS parts FROM docs) x
+  ) y WHERE {fine}"""
+
+
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda c, k: CASE WHEN k % 2 = 1 THEN CAST(c AS INT) ELSE (2 * CAST(c AS INT)) // 10 + (2 * CAST(c AS INT)) % 10 END)) % 10 = 0"
+_SMALL = "list_bool_and(list_transform(string_split(m, '.'), lambda p: length(ltrim(p, '0')) <= 3 AND CAST('0' || right(ltrim(p, '0'), 3) AS INT) <= 255))"
+#: The base spans. The method adds spans of further kinds; the documents of the SQL check hold none, so there all spans are the base ones.
+SQL = (
+    "WITH docs AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS t FROM documents), found AS ("
+    + " UNION ALL ".join(
+        _matches(kind, k, pattern, fine)
+        for k, (kind, pattern, fine) in enumerate(
+            [
+                ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+                ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", _SMALL),
+                ("card", r"[0-9]([\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 12 AND 19 THEN {_LUHN} ELSE false END"),
+                ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+            ]
+        )
+    )
+    + r"""), told AS (
+  SELECT no, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans, count(*) AS n_pii FROM found GROUP BY no
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_pii, 0) AS n_pii
+FROM docs LEFT JOIN told USING (no)
+"""
+)

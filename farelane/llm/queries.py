@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language_id, licenses, near_dup, nearest, packing, pieces, pii, shards
+from . import chat, exact_dedup, language_id, licenses, near_dup, nearest, packing, pieces, pii, pii_rules, shards
 
 QUERIES = {
     "op1_language_id": language_id.query,
@@ -17,8 +17,10 @@ QUERIES = {
     "op10_nearest": nearest.query,
 }
 ORACLE_SQL = {
+    "op2_minhash_near_dedup": near_dup.SQL,
     "op3_license_scan": licenses.SQL,
     "op4_exact_dedup": exact_dedup.SQL,
+    "op7_pii": pii_rules.SQL,
     "op8_sharding": shards.SQL,
     "op9_chat_formatting": chat.SQL,
 }
