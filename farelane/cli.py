@@ -21,7 +21,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_parser("gtfs_as_geojson", help="stops and shapes as features")
     sub.add_parser("gtfs_network", help="shapes cut at their stops")
     osm = sub.add_parser("gtfs_osm_network", help="choose among the matches of each segment")
-    osm.add_argument("--matches", required=True, help="Parquet of matches made by a map matcher")
+    osm.add_argument("--matches", help="Parquet of matches made by another map matcher; without it the loaded road map is matched")
     sub.add_parser("scheduled_bus_traffic", help="trips along the network, and service dates")
     road = sub.add_parser("load_conflation_map", help="the road map from a SQLite file")
     road.add_argument("--conflation_map_sqlite_db", required=True)
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if a.command in ("load_raw_gtfs_into_sqlite", "load_raw_gtfs"):
         timed(p.load_raw_gtfs, a.agency_name, a.gtfs_zip)
     elif a.command == "gtfs_osm_network":
-        timed(p.gtfs_osm_network, spark.read.parquet(a.matches))
+        timed(p.gtfs_osm_network, spark.read.parquet(a.matches) if a.matches else None)
     elif a.command == "load_conflation_map":
         timed(p.load_conflation_map, a.conflation_map_sqlite_db)
     elif a.command == "output_shapefile":

@@ -56,6 +56,13 @@ def rounded(coords: Column, digits: int = 6) -> Column:
     return F.transform(coords, lambda c: F.struct(F.round(c["lon"], digits).alias("lon"), F.round(c["lat"], digits).alias("lat")))
 
 
+def denser(coords: Column) -> Column:
+    """A midpoint between all neighbours."""
+    middle = lambda a, b: F.struct(((a["lon"] + b["lon"]) / 2).alias("lon"), ((a["lat"] + b["lat"]) / 2).alias("lat"))
+    pair = lambda c, i: F.when(i + 1 < F.size(coords), F.array(c, middle(c, F.get(coords, i + 1)))).otherwise(F.array(c))
+    return F.flatten(F.transform(coords, pair))
+
+
 def without_repeats(coords: Column) -> Column:
     """Neighbours that are equal become one."""
     return F.filter(coords, lambda c, i: (i == 0) | (c != F.get(coords, i - 1)))

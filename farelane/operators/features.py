@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -20,12 +20,26 @@ def stop_features(stops: DataFrame) -> DataFrame:
 
 def shape_lines(shapes: DataFrame) -> DataFrame:
     """id, coords, geoprox_key: each shape's points in order of their sequence, shapes of one point dropped."""
+    shapes = checked_sequences(shapes)
     points = F.sort_array(F.collect_list(F.struct("shape_pt_sequence", F.col("shape_pt_lon").cast("double").alias("lon"), F.col("shape_pt_lat").cast("double").alias("lat"))))
     lines = shapes.groupBy(F.col("shape_id").alias("id")).agg(points.alias("p")).filter(F.size("p") > 1)
     lines = lines.select("id", geo.rounded(F.transform("p", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat")))).alias("coords"))
     return lines.withColumn("geoprox_key", geo.proximity_key(F.col("coords")))
 
 
+def checked_sequences(shapes: DataFrame) -> DataFrame:
+    """Raises where a shape has points with a sequence number and points without, as their order is then unknown."""
+    without = F.max(F.col("shape_pt_sequence").isNull()).over(Window.partitionBy("shape_id"))
+    wrong = F.raise_error(F.concat(F.lit("points with and without a sequence number in shape "), F.col("shape_id").cast("string")))
+    mixed = without & F.col("shape_pt_sequence").isNotNull()
+    return shapes.withColumn("shape_pt_sequence", F.when(mixed, wrong.cast("int")).otherwise(F.col("shape_pt_sequence")))
+
+
+def segments_of_shape(segments: DataFrame, shape_id) -> DataFrame:
+    """One shape's segments in order; the filter reaches the scan of a stored table."""
+    return segments.filter(F.col("shape_id") == shape_id).orderBy("shape_index")
+
+
 def in_geo_order(features: DataFrame) -> DataFrame:
     """Near features are near each other; range partitions keep that at any size."""
     return features.repartitionByRange("geoprox_key").sortWithinPartitions("geoprox_key")

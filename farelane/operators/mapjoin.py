@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..cluster import prepare
 from ..functions import geo, kernels
 from .matches import candidates, shape_map_path
-from .network import COORDS, as_coords, as_line
+from .network import COORDS, as_coords, as_line, flat, line_of, zipped
 
 LEAST_KM = 0.001
 COSPATIAL = "conflation_map_id long, gtfs_matches_id long, intersection_len double, conf_map_seg_len double, conf_map_pre_len double, conf_map_post_len double, gtfs_map_seg_len double, gtfs_map_pre_len double, gtfs_map_post_len double"
@@ -21,21 +21,21 @@ def cospatiality(conflation_map: DataFrame, matches: DataFrame, paths: DataFrame
     Pairs are made distinct before the kernel (Q23) and spread evenly, so a reference with many matches doesn't stay in one task.
     """
     pairs = candidates(paths, matches, conflation_map).select("conflation_map_id", "gtfs_matches_id")
-    rows = pairs.join(conflation_map.select(F.col("id").alias("conflation_map_id"), F.col("coords").alias("s")), "conflation_map_id")
-    rows = rows.join(matches.select(F.col("id").alias("gtfs_matches_id"), F.col("coords").alias("t")), "gtfs_matches_id")
+    rows = pairs.join(conflation_map.select(F.col("id").alias("conflation_map_id"), *flat("s")), "conflation_map_id")
+    rows = rows.join(matches.select(F.col("id").alias("gtfs_matches_id"), *flat("t")), "gtfs_matches_id")
 
     prepare(rows.sparkSession)
 
     def overlap(batches):
         for b in batches:
             out = []
-            for i, j, s, t in zip(b["conflation_map_id"], b["gtfs_matches_id"], b["s"], b["t"], strict=True):
-                x = kernels.overlap_offsets(as_line(s), as_line(t))
+            for i, j, sx, sy, tx, ty in zip(b["conflation_map_id"], b["gtfs_matches_id"], b["s_x"], b["s_y"], b["t_x"], b["t_y"], strict=True):
+                x = kernels.overlap_offsets(line_of(sx, sy), line_of(tx, ty))
                 if x and x[0] > LEAST_KM:
                     out.append((i, j, *x))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in COSPATIAL.split(", ")])
 
-    return rows.select("conflation_map_id", "gtfs_matches_id", "s", "t").hint("rebalance").mapInPandas(overlap, COSPATIAL)
+    return rows.select("conflation_map_id", "gtfs_matches_id", "s_x", "s_y", "t_x", "t_y").hint("rebalance").mapInPandas(overlap, COSPATIAL)
 
 
 def conflation_join(conflation_map: DataFrame, matches: DataFrame, paths: DataFrame) -> DataFrame:
@@ -61,33 +61,47 @@ def sliced(join: DataFrame, conflation_map: DataFrame) -> DataFrame:
     return rows.mapInPandas(cut, rows.schema)
 
 
+def slices(lines: DataFrame, key: str, start: float, stop: float) -> DataFrame:
+    """Of each line the part between two shares of its length: key, coords."""
+    prepare(lines.sparkSession)
+
+    def cut(batches):
+        for b in batches:
+            rows = []
+            for k, x, y in zip(b["key"], b["c_x"], b["c_y"], strict=True):
+                line = line_of(x, y)
+                part = kernels.slice_along(line, kernels.length(line) * start, kernels.length(line) * stop)
+                rows.append((k, part[:, 0], part[:, 1]))
+            yield pd.DataFrame(rows, columns=["key", "x", "y"])
+
+    kind = lines.schema[key].dataType.simpleString()
+    out = lines.select(F.col(key).alias("key"), *flat("c")).mapInPandas(cut, f"key {kind}, x array<double>, y array<double>")
+    return out.select(F.col("key").alias(key), zipped("x", "y").alias("coords"))
+
+
 def within(conflation_map: DataFrame, areas: DataFrame, pad_km: float = 0.005) -> DataFrame:
-    """Ids of map segments that come within pad_km of an area's line: equi-join on grid cells, then the exact distance."""
-    a = conflation_map.select("id", "coords", F.explode(geo.cells(F.col("coords"), 0.0)).alias("cell"))
-    b = areas.select(F.col("coords").alias("area"), F.explode(geo.cells(F.col("coords"), pad_km)).alias("cell"))
-    rows = a.join(b, "cell").select("id", "coords", "area").distinct()
+    """Ids of map segments that come within pad_km of an area: equi-join on grid cells, then the exact distance.
+
+    An area whose first and last coordinates are equal is a polygon, and what lies within it is near it; another one is a line.
+    """
+    areas = areas.select(F.xxhash64("coords").alias("area"), "coords").dropDuplicates(["area"])
+    a = conflation_map.select("id", F.explode(geo.cells(F.col("coords"), 0.0)).alias("cell"))
+    b = areas.select("area", F.explode(geo.cells(F.col("coords"), pad_km)).alias("cell"))
+    rows = a.join(b, "cell").select("id", "area").distinct()
+    rows = rows.join(conflation_map.select("id", *flat("s")), "id").join(areas.select("area", *flat("t")), "area")
 
     prepare(rows.sparkSession)
 
     def near(batches):
         for x in batches:
             keep = []
-            for s, t in zip(x["coords"], x["area"], strict=True):
-                line, other = as_line(s), as_line(t)
-                keep.append(bool(kernels.projections(other, line)[1].min() <= pad_km or kernels.projections(line, other)[1].min() <= pad_km or crosses(line, other)))
+            for sx, sy, tx, ty in zip(x["s_x"], x["s_y"], x["t_x"], x["t_y"], strict=True):
+                line, area = line_of(sx, sy), line_of(tx, ty)
+                ring = len(area) > 3 and (area[0] == area[-1]).all()
+                keep.append(bool(ring and kernels.inside(area, line[:1])[0]) or kernels.gap_km(line, area) <= pad_km)
             yield x.loc[keep, ["id"]]
 
     return rows.mapInPandas(near, "id long").distinct()
 
 
-def crosses(s, t) -> bool:
-    """Two lines share a point between their vertices."""
-    for a, b in zip(s[:-1], s[1:], strict=True):
-        for c, d in zip(t[:-1], t[1:], strict=True):
-            side = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
-            if side(a, b, c) * side(a, b, d) <= 0 and side(c, d, a) * side(c, d, b) <= 0:
-                return True
-    return False
-
-
 __all__ = ["COORDS", "conflation_join", "cospatiality", "sliced", "within"]

@@ -1,13 +1,14 @@
-"""A geometric matcher (H1 stand-in): road pieces that run along a network segment.
+"""A geometric matcher (H1, H2, H4-H6): road pieces that run along a network segment, and routed stand-ins for segments it can't match.
 
-The relation of matches comes from an external map matcher and is an input (see pipeline.gtfs_osm_network). Where none is at
-hand, this deterministic one makes matches from the road map itself: roads that share a grid cell with a segment are cut to the parts
-within ``TUBE_M`` of it that run in its direction.
+Matches made by another matcher can be given instead (see pipeline.gtfs_osm_network). This deterministic one makes them from the road map
+itself: roads that share a grid cell with a segment are cut to the parts within ``TUBE_M`` of it that run in its direction. Segments
+that stay unmatched are led along the roads near them (functions/routes) and matched again, pass by pass.
 """
 
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -15,11 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import prepare
-from ..functions import geo, kernels
-from .network import COORDS, as_coords, as_line
+from ..functions import geo, kernels, routes
+from . import matches
+from .network import flat, line_of, zipped
 
 TUBE_M, LEAST_KM, MOST_DEGREES = 20.0, 0.01, 60.0
-MATCHES = f"shape_id string, shape_index int, shst_reference string, section_start double, section_end double, feature_len_km double, coords {COORDS}"
+#: Roads this near a segment are there for routes in its stead.
+AROUND_KM = 0.3
+KEY = ["shape_id", "shape_index"]
+MATCHES = "shape_id string, shape_index int, shst_reference string, section_start double, section_end double, feature_len_km double, x array<double>, y array<double>"
 
 
 def heading(line: np.ndarray) -> np.ndarray:
@@ -41,23 +46,111 @@ def pieces(segment: np.ndarray, road: np.ndarray, tube_m: float = TUBE_M) -> lis
     return out
 
 
+def near(features: DataFrame, roads: DataFrame, pad_km: float) -> DataFrame:
+    """Pairs of rows (number n of features, road of roads) that share a grid cell."""
+    a = features.select("n", F.explode(geo.cells(F.col("coords"), pad_km)).alias("cell"))
+    b = roads.select("road", F.explode(geo.cells(F.col("coords"), 0.0)).alias("cell"))
+    return a.join(b, "cell").select("n", "road").distinct()
+
+
+def numbered_roads(roads: DataFrame) -> DataFrame:
+    """A reference may have several map segments; each is a road of its own."""
+    return roads.select(F.xxhash64("shst_reference", "coords").alias("road"), F.col("shst_reference").cast("string").alias("shst_reference"), "coords").dropDuplicates(["road"])
+
+
+def preprocessed(segments: DataFrame, compat: bool = False) -> DataFrame:
+    """H2: segments beyond two kilometres in equal parts that meet; parts of few points get midpoints. compat: the whole segment once for each part (Q16)."""
+    prepare(segments.sparkSession)
+
+    def cut(batches):
+        for b in batches:
+            rows = []
+            for i, k, x, y in zip(b["shape_id"], b["shape_index"], b["c_x"], b["c_y"], strict=True):
+                line = line_of(x, y)
+                for part in parts_of(line, compat):
+                    rows.append((i, k, part[:, 0], part[:, 1]))
+            yield pd.DataFrame(rows, columns=[*KEY, "x", "y"])
+
+    out = segments.select(F.col("shape_id").cast("string").alias("shape_id"), F.col("shape_index").cast("int").alias("shape_index"), *flat("c")).mapInPandas(cut, "shape_id string, shape_index int, x array<double>, y array<double>")
+    return out.select(*KEY, zipped("x", "y").alias("coords"))
+
+
+def parts_of(line: np.ndarray, compat: bool = False) -> list[np.ndarray]:
+    total = kernels.length(line)
+    n = math.ceil(total / matches.PRESPLIT_KM)
+    if n < 2:
+        return [line]
+    out: list[np.ndarray] = []
+    for i in range(n):
+        part = kernels.slice_along(line, total * i / n, total * (i + 1) / n)
+        if out and not compat:
+            part[0] = out[-1][-1]
+        whole = line if compat else part
+        out.append(kernels.denser(whole) if len(part) < matches.FEW_POINTS else whole)
+    return out
+
+
 def match(segments: DataFrame, roads: DataFrame) -> DataFrame:
-    """Matches of segments (shape_id, shape_index, coords) and roads (shst_reference, coords); ids follow the key's hash."""
+    """Matches of segments (shape_id, shape_index, coords; several lines for one segment are matched each) and roads (shst_reference, coords); ids follow the key's hash."""
     prepare(segments.sparkSession)
-    near = segments.select("shape_id", "shape_index", F.explode(geo.cells(F.col("coords"), TUBE_M / 1000)).alias("cell"))
-    on = roads.select("shst_reference", F.explode(geo.cells(F.col("coords"), 0.0)).alias("cell"))
-    pairs = near.join(on, "cell").select("shape_id", "shape_index", "shst_reference").distinct()
-    rows = pairs.join(segments.select("shape_id", "shape_index", F.col("coords").alias("s")), ["shape_id", "shape_index"]).join(roads.select("shst_reference", F.col("coords").alias("r")), "shst_reference")
+    lines = segments.select(F.col("shape_id").cast("string").alias("shape_id"), F.col("shape_index").cast("int").alias("shape_index"), "coords", F.xxhash64("shape_id", "shape_index", "coords").alias("n")).dropDuplicates(["n"])
+    roads = numbered_roads(roads)
+    rows = near(lines, roads, TUBE_M / 1000).join(lines.select("n", *KEY, *flat("s")), "n").join(roads.select("road", "shst_reference", *flat("r")), "road")
 
     def cut(batches):
-        for x in batches:
+        for b in batches:
             out = [
-                (i, k, ref, a * 1000, b * 1000, b - a, as_coords(part))
-                for i, k, ref, s, r in zip(x["shape_id"], x["shape_index"], x["shst_reference"], x["s"], x["r"], strict=True)
-                for a, b, part in pieces(as_line(s), as_line(r))
+                (i, k, ref, p * 1000, q * 1000, q - p, part[:, 0], part[:, 1])
+                for i, k, ref, sx, sy, rx, ry in zip(b["shape_id"], b["shape_index"], b["shst_reference"], b["s_x"], b["s_y"], b["r_x"], b["r_y"], strict=True)
+                for p, q, part in pieces(line_of(sx, sy), line_of(rx, ry))
             ]
-            yield pd.DataFrame(out, columns=["shape_id", "shape_index", "shst_reference", "section_start", "section_end", "feature_len_km", "coords"])
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in MATCHES.split(", ")])
 
-    found = rows.select(F.col("shape_id").cast("string").alias("shape_id"), F.col("shape_index").cast("int").alias("shape_index"), F.col("shst_reference").cast("string").alias("shst_reference"), "s", "r").mapInPandas(cut, MATCHES)
-    number = F.xxhash64("shape_id", "shape_index", "shst_reference", "section_start").bitwiseAND(2**53 - 1)
+    found = rows.select(*KEY, "shst_reference", "s_x", "s_y", "r_x", "r_y").mapInPandas(cut, MATCHES).withColumn("coords", zipped("x", "y")).drop("x", "y")
+    found = found.dropDuplicates([*KEY, "shst_reference", "section_start", "section_end"])
+    number = F.xxhash64(*KEY, "shst_reference", "section_start", "section_end").bitwiseAND(2**53 - 1)
     return found.select(number.alias("id"), "*", F.lit(False).alias("osrm_assisted"))
+
+
+def led_along_roads(segments: DataFrame, roads: DataFrame, method: str, slicing: str, compat: bool = False) -> DataFrame:
+    """H5, H6: shape_id, shape_index, coords: lines along the roads near each segment that stand in for it."""
+    prepare(segments.sparkSession)
+    lines = segments.select(F.col("shape_id").cast("string").alias("shape_id"), F.col("shape_index").cast("int").alias("shape_index"), "coords", F.xxhash64("shape_id", "shape_index").alias("n"))
+    roads = numbered_roads(roads)
+    around = near(lines, roads, AROUND_KM).join(roads.select("road", *flat("r")), "road")
+    around = around.groupBy("n").agg(F.sort_array(F.collect_list(F.struct("road", "r_x", "r_y"))).alias("roads"))  # of one segment's surroundings
+    rows = lines.join(around, "n").select(*KEY, *flat("c"), F.transform("roads", lambda r: r["r_x"]).alias("r_x"), F.transform("roads", lambda r: r["r_y"]).alias("r_y"))
+
+    def lead(batches):
+        for b in batches:
+            out = []
+            for i, k, x, y, rx, ry in zip(b["shape_id"], b["shape_index"], b["c_x"], b["c_y"], b["r_x"], b["r_y"], strict=True):
+                out += [(i, k, way[:, 0], way[:, 1]) for way in routes.assisted(line_of(x, y), [line_of(p, q) for p, q in zip(rx, ry, strict=True)], method, slicing, compat)]
+            yield pd.DataFrame(out, columns=[*KEY, "x", "y"])
+
+    return rows.mapInPandas(lead, "shape_id string, shape_index int, x array<double>, y array<double>").select(*KEY, zipped("x", "y").alias("coords"))
+
+
+def assisted(segments: DataFrame, roads: DataFrame, method: str, slicing: str, compat: bool = False) -> DataFrame:
+    """Matches of the lines that stand in for segments, tagged with how they came about."""
+    found = match(preprocessed(led_along_roads(segments, roads, method, slicing, compat), compat), roads)
+    return found.withColumn("osrm_assisted", F.lit(True)).withColumn("osrm_method", F.lit(method)).withColumn("line_slice_method", F.lit(slicing))
+
+
+def passes(roads: DataFrame, compat: bool = False) -> list:
+    """H4: the plain matcher, then the four kinds of assistance (compat, Q16: two of them, each twice)."""
+    kinds = [(m, s) for m in (routes.ROUTE, routes.MATCH) for s in (routes.DISTANCE, routes.BEARING)]
+    if compat:
+        kinds = [(routes.ROUTE, routes.DISTANCE)] * 2 + [(routes.MATCH, routes.BEARING)] * 2
+    none = F.lit(None).cast("string")
+
+    def plain(left: DataFrame) -> DataFrame:
+        return match(preprocessed(left, compat), roads).withColumn("osrm_method", none).withColumn("line_slice_method", none)
+
+    return [("plain", plain), *((f"{m} {s}", partial(assisted, roads=roads, method=m, slicing=s, compat=compat)) for m, s in kinds)]
+
+
+def matched(segments: DataFrame, roads: DataFrame, compat: bool = False) -> DataFrame:
+    """H1-H6: all matches of segments (shape_id, shape_index, coords, len_km)."""
+    found = matches.ladder(matches.matchable(segments), passes(roads, compat), [*KEY, "shst_reference", "section_start", "section_end"])
+    return matches.without_redundant(found.withColumn("vertices", F.col("coords"))).drop("vertices")

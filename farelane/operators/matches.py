@@ -9,6 +9,7 @@ from ..cluster import prepare
 from ..functions import geo
 
 UNMATCHED, PRESPLIT_KM, FEW_POINTS = 0.1, 2.0, 10
+SPREAD = 8
 
 
 def insert_or_ignore(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -52,9 +53,15 @@ def matches_with_choice(segments: DataFrame, matches: DataFrame, paths: DataFram
 
 
 def candidates(paths: DataFrame, matches: DataFrame, conflation_map: DataFrame) -> DataFrame:
-    """Distinct pairs of a map segment and a match in a chosen path that share a reference. Matches are made distinct first."""
-    chosen = chosen_matches(matches, paths).select(F.col("id").alias("gtfs_matches_id"), "shst_reference")
-    return conflation_map.select(F.col("id").alias("conflation_map_id"), "shst_reference").join(chosen, "shst_reference")
+    """Distinct pairs of a map segment and a match in a chosen path that share a reference. Both sides are made distinct first.
+
+    A reference that many matches have is spread over ``SPREAD`` tasks: its map segments, which are few, are copied to each.
+    """
+    chosen = chosen_matches(matches, paths).select(F.col("id").alias("gtfs_matches_id"), "shst_reference").distinct()
+    chosen = chosen.withColumn("__part", F.pmod(F.xxhash64("gtfs_matches_id"), F.lit(SPREAD)))
+    road = conflation_map.select(F.col("id").alias("conflation_map_id"), "shst_reference").distinct()
+    road = road.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    return road.join(chosen, ["shst_reference", "__part"]).drop("__part")
 
 
 def shape_map_path(paths: DataFrame, cospatiality: DataFrame) -> DataFrame:
@@ -88,6 +95,13 @@ def union_matches(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return insert_or_ignore(both, key, ["__new", "id"]).drop("__new")
 
 
+def matchable(segments: DataFrame) -> DataFrame:
+    """segments with coordinates; raises where a key is missing."""
+    wrong = F.raise_error(F.lit("a feature to be matched has no id"))
+    keyed = segments.withColumn("shape_index", F.when(F.col("shape_id").isNull() | F.col("shape_index").isNull(), wrong.cast("int")).otherwise(F.col("shape_index")))
+    return keyed.filter(F.size("coords") > 0)
+
+
 def ladder(segments: DataFrame, matchers: list, key: list[str]) -> DataFrame:
     """Each matcher (DataFrame of unmatched segments to matches) gets what the ones before it left unmatched.
 
@@ -95,7 +109,7 @@ def ladder(segments: DataFrame, matchers: list, key: list[str]) -> DataFrame:
     """
     prepare(segments.sparkSession)
     found = None
-    left = segments
+    left = segments = segments.checkpoint()
     for name, matcher in matchers:
         new = matcher(left).withColumn("matcher", F.lit(name))
         found = (new if found is None else union_matches(found, new, key)).checkpoint()
@@ -118,6 +132,8 @@ def redundant(matches: DataFrame) -> DataFrame:
 
 
 def without_redundant(matches: DataFrame) -> DataFrame:
+    """Matches of a point or none go too."""
+    matches = matches.filter(F.size("vertices") > 1)
     return matches.join(redundant(matches).select("id"), "id", "left_anti")
 
 

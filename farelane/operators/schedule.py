@@ -87,6 +87,13 @@ def paths_of_traversals(traffic: DataFrame, shape_map: DataFrame, conflation_map
     return steps.join(segments, ["shape_id", "shape_index"])
 
 
+def path_arrays(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame) -> DataFrame:
+    """The map segments of each traversal in order, as an array of structs (compare ``paths_of_traversals``, a row each)."""
+    rows = paths_of_traversals(traffic, shape_map, conflation_map)
+    entry = F.struct("shape_index", "along_idx", "conflation_map_id")
+    return rows.groupBy("trip_id", "departure_seg_idx", "arrival_seg_idx").agg(F.sort_array(F.collect_list(entry)).alias("path"))
+
+
 def shares(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, compat: bool = False) -> DataFrame:
     """What each map segment takes of a traversal's time: its weight ``w`` of ``w_sum``, after ``w_before``.
 

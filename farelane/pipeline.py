@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import times
-from .operators import calendar, choose, features, mapjoin, matches, network, schedule, tracking
+from .operators import calendar, choose, features, mapjoin, matcher, matches, network, schedule, tracking
 from .sources import gtfs, roadmap, shapefile
 from .sources.warehouse import Warehouse
 
@@ -55,9 +55,12 @@ class Pipeline:
         segments = network.shape_segments(whole).withColumn("id", F.xxhash64("shape_id", "shape_index"))
         self.tables.write("gtfs_network.shape_segments", features.in_geo_order(segments))
 
-    def gtfs_osm_network(self, found: DataFrame) -> None:
-        """found: matches of segments (the matcher is outside): id, shape_id, shape_index, shst_reference, section_start, section_end, feature_len_km, coords, osrm_assisted."""
+    def gtfs_osm_network(self, found: DataFrame | None = None) -> None:
+        """found: matches of segments made elsewhere: id, shape_id, shape_index, shst_reference, section_start, section_end, feature_len_km, coords, osrm_assisted.
+        Without them the road map that has been loaded is matched."""
         segments = self.tables.read("gtfs_network.shape_segments")
+        if found is None:
+            found = matcher.matched(segments, self.tables.read("conflation_map.conflation_map"), self.compat)
         key = ["shape_id", "shape_index", "shst_reference", "section_start", "section_end"]
         vertices = found.withColumn("vertices", F.col("coords"))
         kept = matches.insert_or_ignore(matches.without_redundant(vertices).drop("vertices"), key, ["id"])

@@ -85,17 +85,22 @@ def bearings(t):
 
 @query(f"""
 WITH {LINES}, km AS (SELECT shape_id, sum({KM}) AS len FROM steps GROUP BY 1), ends AS (
-  SELECT shape_id, arg_min(a_lon, seg) AS s_lon, arg_min(a_lat, seg) AS s_lat, arg_max(b_lon, seg) AS e_lon, arg_max(b_lat, seg) AS e_lat FROM steps GROUP BY 1
+  SELECT shape_id, arg_min(a_lon, seg) AS s_lon, arg_min(a_lat, seg) AS s_lat, arg_max(b_lon, seg) AS e_lon, arg_max(b_lat, seg) AS e_lat,
+         arg_max(a_lon, seg) AS l_lon, arg_max(a_lat, seg) AS l_lat, arg_min(b_lon, seg) AS f_lon, arg_min(b_lat, seg) AS f_lat FROM steps GROUP BY 1
 )
-SELECT a.shape_id AS a, b.shape_id AS b, round(ka.len, 6) AS s_len, round(kb.len, 6) AS t_len,
-       round({sql_km('a.e_lon', 'a.e_lat', 'b.s_lon', 'b.s_lat')}, 6) AS gap_dist
-FROM ends a JOIN ends b ON b.shape_id = a.shape_id + 1 JOIN km ka ON ka.shape_id = a.shape_id JOIN km kb ON kb.shape_id = b.shape_id
+SELECT a, b, round(ka.len, 6) AS s_len, round(kb.len, 6) AS t_len, round(gap, 6) AS gap_dist,
+       round(CASE WHEN next - own < -180 THEN next - own + 360 ELSE next - own END, 4) AS segs_rel_brng, round(CASE WHEN over_gap - own < -180 THEN over_gap - own + 360 ELSE over_gap - own END, 4) AS gap_rel_brng
+FROM (
+  SELECT a.shape_id AS a, b.shape_id AS b, {sql_km('a.e_lon', 'a.e_lat', 'b.s_lon', 'b.s_lat')} AS gap, {sql_bearing('a.l_lon', 'a.l_lat', 'a.e_lon', 'a.e_lat')} AS own,
+         {sql_bearing('b.s_lon', 'b.s_lat', 'b.f_lon', 'b.f_lat')} AS next, {sql_bearing('a.e_lon', 'a.e_lat', 'b.s_lon', 'b.s_lat')} AS over_gap
+  FROM ends a JOIN ends b ON b.shape_id = a.shape_id + 1
+) x JOIN km ka ON ka.shape_id = a JOIN km kb ON kb.shape_id = b
 """)
 def sequentiality(t):
     a = lines_of(t).select(F.col("id").alias("a"), F.col("coords").alias("s"))
     b = lines_of(t).select(F.col("id").alias("b"), F.col("coords").alias("t"))
     rows = a.join(b, F.col("b") == F.col("a") + 1).select("a", "b", geo.sequentiality(F.col("s"), F.col("t")).alias("x"))
-    return rows.select("a", "b", *[F.round(f"x.{c}", 6).alias(c) for c in ("s_len", "t_len", "gap_dist")])
+    return rows.select("a", "b", *[F.round(f"x.{c}", 6).alias(c) for c in ("s_len", "t_len", "gap_dist")], *[F.round(f"x.{c}", 4).alias(c) for c in ("segs_rel_brng", "gap_rel_brng")])
 
 
 @query("""
@@ -164,9 +169,10 @@ def sequences_of(t, check: bool = True) -> DataFrame:
     return features.stop_sequences(schedule.with_shape(schedule.scheduled_stops(t("tx_trips"), t("tx_stop_times"))), check)
 
 
-@query(f"WITH {PATTERNS} SELECT shape_id, count(*) AS n_patterns, max(length(stops) - length(replace(stops, ',', '')) + 1) AS n_stops, arg_max(stops, lpad(CAST(length(stops) - length(replace(stops, ',', '')) AS VARCHAR), 6, '0') || stops) AS stops FROM patterns GROUP BY 1")
+@query(f"WITH {PATTERNS} SELECT shape_id, count(*) AS n_patterns, max(length(stops) - length(replace(stops, ',', '')) + 1) AS n_stops, arg_max(stops, lpad(CAST(length(stops) - length(replace(stops, ',', '')) AS VARCHAR), 6, '0') || stops) AS stops, any_value(n_conflicts) AS n_conflicts FROM patterns JOIN (SELECT shape_id, count(*) FILTER (NOT held LIKE part) AS n_conflicts FROM (SELECT shape_id, '<' || replace(first_value(stops) OVER (PARTITION BY shape_id ORDER BY lpad(CAST(length(stops) - length(replace(stops, ',', '')) AS VARCHAR), 6, '0') || stops DESC), ',', '><') || '>' AS held, '%<' || replace(stops, ',', '>%<') || '>%' AS part FROM patterns) x GROUP BY 1) c USING (shape_id) GROUP BY 1")
 def stop_sequences(t):
-    return sequences_of(t, check=False).select("shape_id", "n_patterns", F.size("stops").cast("long").alias("n_stops"), F.array_join(F.transform("stops", lambda s: s["stop_id"].cast("string")), ",").alias("stops"))
+    """A pattern conflicts if its stops don't occur in the longest one in their order."""
+    return sequences_of(t, check=False).select("shape_id", "n_patterns", "n_conflicts", F.size("stops").cast("long").alias("n_stops"), F.array_join(F.transform("stops", lambda s: s["stop_id"].cast("string")), ",").alias("stops"))
 
 
 @query(f"""WITH {PATTERNS}, longest AS (SELECT shape_id, arg_max(stops, lpad(CAST(length(stops) - length(replace(stops, ',', '')) AS VARCHAR), 6, '0') || stops) AS l FROM patterns GROUP BY 1)
@@ -397,6 +403,82 @@ def grouped_properties(t):
     return counts.groupBy("grp").agg(properties.grouped(F.col("kind"), F.col("n")).alias("m")).select("grp", F.explode("m").alias("kind", "n"))
 
 
+@query(f"WITH {LINES} SELECT shape_id AS id, CAST(2 * k AS INT) AS k, round(lon, 6) AS lon, round(lat, 6) AS lat FROM pts WHERE n > 1 UNION ALL SELECT shape_id, CAST(2 * seg + 1 AS INT), round((a_lon + b_lon) / 2, 6), round((a_lat + b_lat) / 2, 6) FROM steps")
+def dense_lines(t):
+    """H2."""
+    rows = lines_of(t).select("id", F.posexplode(geo.denser(F.col("coords"))).alias("k", "c"))
+    return rows.select("id", "k", F.round("c.lon", 6).alias("lon"), F.round("c.lat", 6).alias("lat"))
+
+
+@query(f"WITH {LINES} SELECT shape_id, CAST(k AS BIGINT) AS shape_index, n FROM pts WHERE k % 4 <> 1")
+def matchable_segments(t):
+    """features of which some have no coordinates."""
+    rows = lines_of(t).select(F.col("id").alias("shape_id"), F.posexplode("coords").alias("shape_index", "c"), "coords")
+    some = F.when(F.col("shape_index") % 4 == 1, F.slice("coords", 1, 0)).otherwise(F.col("coords"))
+    return matches.matchable(rows.withColumn("coords", some).withColumn("shape_index", F.col("shape_index").cast("long"))).select("shape_id", F.col("shape_index").cast("long").alias("shape_index"), F.size("coords").cast("long").alias("n"))
+
+
+@query("SELECT shape_id, shape_pt_sequence, lag(shape_pt_sequence) OVER (PARTITION BY shape_id ORDER BY shape_pt_sequence) AS before FROM tx_shapes")
+def checked_sequences(t):
+    """W9."""
+    w = Window.partitionBy("shape_id").orderBy("shape_pt_sequence")
+    return features.checked_sequences(t("tx_shapes")).select("shape_id", "shape_pt_sequence", F.lag("shape_pt_sequence").over(w).alias("before"))
+
+
+@query(f"WITH {SEGMENTS} SELECT shape_id, shape_index, round(len_km, 6) AS len_km FROM segments WHERE shape_id = 7")
+def segments_of_shape(t):
+    """S9."""
+    return features.segments_of_shape(segments_of(t), 7).withColumn("len_km", F.round("len_km", 6))
+
+
+@query("SELECT event_id, event_type AS kind FROM events")
+def properties_without(t):
+    """P4."""
+    p = properties.without(F.create_map(F.lit("kind"), F.col("event_type"), F.lit("gis_x"), F.lit("1")), ["gis_x"])
+    return t("events").select("event_id", p.alias("p")).select("event_id", F.explode("p").alias("key", "kind")).filter("key = 'kind'").drop("key").select("event_id", "kind")
+
+
+@query(f"""WITH {LINES} SELECT 'stop' AS kind, CAST(stop_id AS VARCHAR) AS id, CAST(1 AS BIGINT) AS n, round(CAST(stop_lon AS DOUBLE), 6) AS lon FROM tx_stops
+UNION ALL SELECT 'shape', CAST(shape_id AS VARCHAR), count(*), arg_min(lon, k) FROM pts WHERE n > 1 GROUP BY shape_id""")
+def all_features(t):
+    """S13."""
+    rows = features.all_features(features.stop_features(t("tx_stops")), lines_of(t))
+    return rows.select("kind", "id", F.size("coords").cast("long").alias("n"), F.get("coords", F.lit(0))["lon"].alias("lon"))
+
+
+@query(f"""WITH {LINES}, km AS (SELECT shape_id, sum({KM}) AS len FROM steps GROUP BY 1), seq AS (
+  SELECT DISTINCT s_suppkey % 40 AS shape_id, s_suppkey AS stop_id, s_suppkey / 500.0E0 AS dist FROM supplier
+), visits AS (SELECT *, CAST(row_number() OVER (PARTITION BY shape_id ORDER BY stop_id) - 1 AS INT) AS k FROM seq)
+SELECT v.shape_id, v.k, v.stop_id, round(CAST(s.stop_lon AS DOUBLE), 6) AS lon, round(CASE WHEN v.dist <> 0 THEN least(v.dist, len) ELSE v.dist END, 6) AS dist
+FROM visits v JOIN km USING (shape_id) JOIN tx_stops s ON s.stop_id = v.stop_id""")
+def shapes_with_stops(t):
+    """J3, J5, A10, P10."""
+    visit = F.struct("s_suppkey", F.struct(F.col("s_suppkey").alias("stop_id"), (F.col("s_suppkey") / 500.0).alias("shape_dist_traveled")).alias("s"))
+    sequences = t("supplier").groupBy((F.col("s_suppkey") % 40).alias("shape_id")).agg(F.sort_array(F.collect_list(visit)).alias("v")).select("shape_id", F.transform("v", lambda v: v["s"]).alias("stops"))
+    rows = features.shapes_with_stops(sequences, lines_of(t), features.stop_features(t("tx_stops"))).select("shape_id", F.explode("stops").alias("s"))
+    return rows.select("shape_id", "s.k", "s.stop_id", "s.lon", F.round("s.dist", 6).alias("dist"))
+
+
+@query(f"WITH {SNAPPED}, nearest AS (SELECT shape_id, k, min(dev) AS dev FROM cells GROUP BY 1, 2) SELECT shape_id, round(sqrt(avg(pow(dev * 1000, 2))), 4) AS rms_m FROM nearest GROUP BY 1")
+def deviation_of_stops(t):
+    """Root mean square of the stops' distances from their shape, in metres."""
+    return network.rms_deviation_m(projected(t)).withColumn("rms_m", F.round("rms_m", 4))
+
+
+@query(f"""WITH {LINES}, along AS (
+  SELECT *, sum({KM}) OVER (PARTITION BY shape_id ORDER BY seg) AS stop, {KM} AS km FROM steps
+), whole AS (SELECT shape_id, max(stop) AS len FROM along GROUP BY 1), cut AS (
+  SELECT shape_id, e, len * e / 4 AS cut_km FROM whole, (SELECT unnest([1, 3]) AS e) x
+)
+SELECT c.shape_id AS id, CAST(e AS INT) AS quarter, round(a_lon + (b_lon - a_lon) * (cut_km - (stop - km)) / km, 5) AS lon, round(a_lat + (b_lat - a_lat) * (cut_km - (stop - km)) / km, 5) AS lat
+FROM cut c JOIN along a ON a.shape_id = c.shape_id AND a.stop - a.km < c.cut_km AND a.stop >= c.cut_km""")
+def line_slices(t):
+    """Ends of the middle half of each line."""
+    rows = mapjoin.slices(lines_of(t), "id", 0.25, 0.75)
+    ends = rows.select("id", F.explode(F.array(F.struct(F.lit(1).alias("quarter"), F.get("coords", F.lit(0)).alias("c")), F.struct(F.lit(3).alias("quarter"), F.element_at("coords", -1).alias("c")))).alias("e"))
+    return ends.select("id", "e.quarter", F.round("e.c.lon", 5).alias("lon"), F.round("e.c.lat", 5).alias("lat"))
+
+
 # --- kernels; tests hold them against brute force ---
 
 
@@ -406,47 +488,73 @@ def shaped(t) -> DataFrame:
     return lines_of(t).select(F.col("id").alias("shape_id"), "coords").join(stops, "shape_id")
 
 
-@query()
-def shape_segments(t):
-    return network.shape_segments(shaped(t))
+def network_of(t) -> DataFrame:
+    """The network's segments, made once for all that a query does with them."""
+    return network.shape_segments(shaped(t)).checkpoint()
 
 
-def matched(t) -> DataFrame:
+def matched(segments: DataFrame) -> DataFrame:
     """The matches of each network segment: its two halves and, for some, the whole of it again."""
-    s = network.shape_segments(shaped(t)).select("shape_id", "shape_index", "coords").filter(F.size("coords") > 2)
+    s = segments.select("shape_id", "shape_index", "coords").filter(F.size("coords") > 2)
     n, half = F.size("coords"), F.ceil(F.size("coords") / 2).cast("int")
     parts = F.array(F.slice("coords", F.lit(1), half), F.slice("coords", half, n), F.col("coords"))
     rows = s.select("shape_id", "shape_index", F.posexplode(parts).alias("part", "coords")).filter("part < 2 OR shape_index % 2 = 0")
     return rows.select((F.xxhash64("shape_id", "shape_index", "part").bitwiseAND(2**53 - 1)).alias("id"), "shape_id", "shape_index", F.concat_ws("/", "shape_id", "shape_index").alias("shst_reference"), F.lit(0.0).alias("section_start"), geo.length_km(F.col("coords")).alias("section_end"), "coords")
 
 
+@query()
+def shape_segments(t):
+    return network.shape_segments(shaped(t))
+
+
 @query()
 def chosen_paths(t):
-    return choose.chosen_paths(network.shape_segments(shaped(t)), matched(t))
+    s = network_of(t)
+    return choose.chosen_paths(s, matched(s))
 
 
 @query()
 def path_scores(t):
-    m, s = matched(t), network.shape_segments(shaped(t))
-    return choose.scores(s, m, choose.chosen_paths(s, m))
+    s = network_of(t)
+    return choose.scores(s, matched(s), choose.chosen_paths(s, matched(s)))
 
 
 @query()
 def cospatial_join(t):
-    m, s = matched(t), network.shape_segments(shaped(t))
+    s = network_of(t)
     road = s.select(F.xxhash64("shape_id", "shape_index").bitwiseAND(2**53 - 1).alias("id"), F.concat_ws("/", "shape_id", "shape_index").alias("shst_reference"), "coords")
-    return mapjoin.conflation_join(road, m, choose.chosen_paths(s, m))
+    return mapjoin.conflation_join(road, matched(s), choose.chosen_paths(s, matched(s)).checkpoint())
+
+
+def roads_of(t) -> DataFrame:
+    return lines_of(t).select(F.col("id").cast("string").alias("shst_reference"), "coords")
 
 
 @query()
 def segment_matches(t):
     """The built-in matcher between the network and its own lines as roads."""
-    roads = lines_of(t).select(F.col("id").cast("string").alias("shst_reference"), "coords")
-    return matcher.match(network.shape_segments(shaped(t)), roads)
+    return matcher.match(network.shape_segments(shaped(t)), roads_of(t))
 
 
 @query()
+def assisted_matches(t):
+    """H1-H6: the ladder of passes over segments moved off the roads by 50 m, so that most of them need a route."""
+    s = network_of(t).withColumn("coords", F.transform("coords", lambda c: F.struct((c["lon"] + 0.0006).alias("lon"), c["lat"].alias("lat"))))
+    return matcher.matched(s, roads_of(t))
+
+
+@query(f"""WITH {LINES}, area AS (SELECT stop_id, stop_lon AS c_lon, stop_lat AS c_lat, stop_lon + 0.0007 AS d_lon, stop_lat + 0.0011 AS d_lat FROM tx_stops), flat AS (
+  SELECT s.shape_id, {DEGREE_KM} * cos(radians(a.c_lat)) AS fx, {DEGREE_KM} AS fy, (s.a_lon - a.c_lon) AS ax, (s.a_lat - a.c_lat) AS ay, (s.b_lon - a.c_lon) AS bx, (s.b_lat - a.c_lat) AS by_, a.d_lon - a.c_lon AS dx, a.d_lat - a.c_lat AS dy
+  FROM steps s JOIN area a ON s.a_lon BETWEEN a.c_lon - 0.05 AND a.c_lon + 0.05 AND s.a_lat BETWEEN a.c_lat - 0.05 AND a.c_lat + 0.05
+), km AS (SELECT shape_id, ax * fx AS ax, ay * fy AS ay, bx * fx AS bx, by_ * fy AS by_, dx * fx AS dx, dy * fy AS dy FROM flat), ends AS (
+  SELECT *, least(greatest((ax * dx + ay * dy) / (dx * dx + dy * dy), 0), 1) AS ta, least(greatest((bx * dx + by_ * dy) / (dx * dx + dy * dy), 0), 1) AS tb,
+         least(greatest((-ax * (bx - ax) - ay * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)), 0), 1) AS tc,
+         least(greatest(((dx - ax) * (bx - ax) + (dy - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)), 0), 1) AS td,
+         (dx * ay - dy * ax) * (dx * by_ - dy * bx) <= 0 AND ((bx - ax) * (-ay) - (by_ - ay) * (-ax)) * ((bx - ax) * (dy - ay) - (by_ - ay) * (dx - ax)) <= 0 AS meet FROM km
+)
+SELECT DISTINCT CAST(shape_id AS BIGINT) AS id FROM ends WHERE meet OR least(pow(ax - ta * dx, 2) + pow(ay - ta * dy, 2), pow(bx - tb * dx, 2) + pow(by_ - tb * dy, 2),
+  pow(ax + tc * (bx - ax), 2) + pow(ay + tc * (by_ - ay), 2), pow(ax + td * (bx - ax) - dx, 2) + pow(ay + td * (by_ - ay) - dy, 2)) <= 0.3 * 0.3""")
 def map_within(t):
-    """Shapes near the first three of them."""
-    lines = lines_of(t)
-    return mapjoin.within(lines.select(F.col("id").cast("long").alias("id"), "coords"), lines.filter("id < 3").select("coords"))
+    """Shapes within 300 m of any stop's short line."""
+    ends = F.array(geo.point(F.col("stop_lon"), F.col("stop_lat")), geo.point(F.col("stop_lon") + 0.0007, F.col("stop_lat") + 0.0011))
+    return mapjoin.within(lines_of(t).select(F.col("id").cast("long").alias("id"), "coords"), t("tx_stops").select(ends.alias("coords")), 0.3)

@@ -192,9 +192,7 @@ CROSS JOIN (SELECT unnest(range(7)) AS dow) d
 WHERE [c.sunday, c.monday, c.tuesday, c.wednesday, c.thursday, c.friday, c.saturday][d.dow + 1] = 1
 """)
 def trip_weekdays(t):
-    """J2."""
-    runs = t("tx_calendar").select("service_id", F.posexplode(F.array(*calendar.DAYS)).alias("dow", "runs")).filter("runs = 1")
-    return t("tx_trips").join(runs, "service_id").select("trip_id", F.col("dow").cast("long").alias("dow")).distinct()
+    return calendar.trip_weekdays(t("tx_trips"), t("tx_calendar"))
 
 
 # --- probes and traffic ---
@@ -265,6 +263,14 @@ def traversal_paths(t):
     return rows.select("trip_id", "departure_seg_idx", "arrival_seg_idx", "shape_index", "conflation_map_id", "along_idx")
 
 
+@query(f"""WITH {TRAFFIC}, {PATHS} SELECT trip_id, departure_seg_idx, arrival_seg_idx, count(*) AS n,
+       array_to_string(list(conflation_map_id ORDER BY shape_index, along_idx, conflation_map_id), ',') AS ids FROM paths GROUP BY 1, 2, 3""")
+def traversal_path_arrays(t):
+    rows = schedule.path_arrays(traffic_of(t), t("tx_shape_map_join"), t("tx_conflation_map"))
+    ids = F.array_join(F.transform("path", lambda x: x["conflation_map_id"].cast("string")), ",")
+    return rows.select("trip_id", "departure_seg_idx", "arrival_seg_idx", F.size("path").cast("long").alias("n"), ids.alias("ids"))
+
+
 @query(f"SELECT m.id, m.networklevel, CAST({SPEED} AS DOUBLE) AS speed FROM tx_conflation_map m")
 def speed_lookup(t):
     return t("tx_conflation_map").select("id", "networklevel", schedule.speed_limit(F.col("networklevel")).cast("double").alias("speed"))

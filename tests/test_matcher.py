@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from farelane.functions import kernels
 from farelane.operators import mapjoin, matcher, matches
@@ -46,3 +47,37 @@ def test_presplit(spark):
     rows = matches.presplit(frame(spark, [("s", as_coords(long)), ("t", as_coords(long / 10))], "shape_id string")).collect()
     parts = [r for r in rows if r["shape_id"] == "s"]
     assert len(parts) == 3 and abs(max(r["stop_km"] for r in parts) - kernels.length(long)) < 1e-6 and len(rows) == 4 and all(r["make_dense"] for r in rows)
+
+
+def test_parts_meet_and_get_midpoints():
+    line = np.array([(0, 0), (0.03, 0), (0.05, 0)])
+    parts = matcher.parts_of(line)
+    assert len(parts) == 3 and all((a[-1] == b[0]).all() for a, b in zip(parts[:-1], parts[1:], strict=True)) and all(len(p) in (3, 5) for p in parts)
+    assert matcher.parts_of(line / 10)[0] is not None and len(matcher.parts_of(line / 10)) == 1
+    assert [len(p) for p in matcher.parts_of(line, compat=True)] == [5, 5, 5]  # Q16
+
+
+def test_matchable(spark):
+    rows = [("s", 0, as_coords(ROAD)), ("s", 1, [])]
+    assert matches.matchable(frame(spark, rows, "shape_id string, shape_index int")).count() == 1
+    import pytest
+
+    with pytest.raises(Exception, match="no id"):
+        matches.matchable(frame(spark, [*rows, (None, 2, as_coords(ROAD))], "shape_id string, shape_index int")).collect()
+
+
+def test_polygons(spark):
+    ring = np.array([(0, 0), (0.02, 0), (0.02, 0.02), (0, 0.02), (0, 0)])
+    areas = frame(spark, [("a", as_coords(ring))], "name string")
+    roads = frame(spark, [(1, as_coords(np.array([(0.009, 0.009), (0.0091, 0.0092)]))), (2, as_coords(np.array([(0.03, 0.03), (0.04, 0.03)]))), (3, as_coords(np.array([(-0.01, 0.01), (0.03, 0.01)])))], "id long")
+    assert {r["id"] for r in mapjoin.within(roads, areas).collect()} == {1, 3}
+
+
+def test_matches_of_a_segment_off_the_roads_come_from_routes(spark):
+    """A street 30 m beside the segment is out of the plain matcher's reach; the route along it is matched in the segment's stead."""
+    near, far = ROAD + [0, 0.0001], ROAD + [0, 0.00027]
+    seg = frame(spark, [("s", 0, as_coords(near[:2])), ("s", 1, as_coords(far[:2] + [0, 0.2]))], "shape_id string, shape_index int").withColumn("len_km", F.lit(kernels.length(near[:2])))
+    roads = frame(spark, [("r0", as_coords(ROAD[:2])), ("r1", as_coords(ROAD[:2] + [0, 0.2]))], "shst_reference string")
+    got = {r["shape_index"]: r for r in matcher.matched(seg, roads).collect()}
+    assert not got[0]["osrm_assisted"] and got[0]["matcher"] == "plain" and got[0]["shst_reference"] == "r0"
+    assert got[1]["osrm_assisted"] and got[1]["osrm_method"] == "ROUTE" and got[1]["line_slice_method"] == "DISTANCE_SLICE_METHOD" and got[1]["shst_reference"] == "r1"
