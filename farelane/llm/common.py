@@ -11,7 +11,7 @@ from .. import cluster
 from ..cluster import fresh_folder as fresh_folder
 
 #: Rows and bytes of one Arrow batch sent to Python.
-ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 2000, 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
