@@ -112,18 +112,19 @@ def merged(paths: list[Path], matches: dict[int, np.ndarray]) -> list[Path]:
     """
     held = {p.ids: p for p in paths}
     made = set(held)
-    new = True
-    while new:
-        new = False
-        for p in sorted(held.values(), key=lambda x: x.ids):
-            for q in sorted(held.values(), key=lambda x: x.ids):
-                ids = union_of(p, q)
-                if ids and ids not in made:
-                    made.add(ids)
-                    held[ids] = as_path(list(ids), matches)
-                    new = True
+    fresh = sorted(held)
+    while fresh:  # each pair is looked at once, when the later of the two comes up
+        new = []
+        for p in fresh:
+            for q in sorted(held):
+                for ids in (union_of(held[p], held[q]), union_of(held[q], held[p])) if p in held else ():
+                    if ids and ids not in made:
+                        made.add(ids)
+                        held[ids] = as_path(list(ids), matches)
+                        new.append(ids)
         drop_subsets(held)
-    return sorted(held.values(), key=lambda x: x.ids)
+        fresh = sorted(x for x in new if x in held)
+    return [held[ids] for ids in sorted(held)]
 
 
 def union_of(p: Path, q: Path) -> tuple[int, ...] | None:
@@ -174,28 +175,54 @@ def conflict(p: Path, q: Path) -> bool:
 
 
 def longest_compatible(paths: list[Path]) -> list[Path]:
-    """Paths without conflicts of the greatest total length: branch and bound; the first found wins ties."""
+    """Paths without conflicts of the greatest total length; the first found wins ties.
+
+    Paths that no chain of conflicts joins are decided apart, so the search is exponential only in the largest such group.
+    """
     n = len(paths)
-    against = [{j for j in range(n) if j != i and conflict(paths[i], paths[j])} for i in range(n)]
-    km = [p.km for p in paths]
-    rest = np.append(np.cumsum(km[::-1])[::-1], 0.0)
+    against: list[set[int]] = [set() for _ in range(n)]
+    for i in range(n):
+        for j in range(i + 1, n):
+            if conflict(paths[i], paths[j]):
+                against[i].add(j)
+                against[j].add(i)
+    km, left, out = [p.km for p in paths], set(range(n)), []
+    while left:
+        group, todo = set(), [min(left)]
+        while todo:
+            if (i := todo.pop()) not in group:
+                group.add(i)
+                todo += against[i] - group
+        left -= group
+        out += heaviest(sorted(group), km, against)
+    return [paths[i] for i in sorted(out)]
+
+
+def heaviest(group: list[int], km: list[float], against: list[set[int]]) -> list[int]:
+    """Of a group of paths those without conflicts of the greatest total length: branch and bound with a stack."""
+    rest = np.append(np.cumsum([km[i] for i in group][::-1])[::-1], 0.0)
     best: tuple[float, list[int]] = (-math.inf, [])
-
-    def walk(i: int, total: float, taken: list[int], barred: set[int]) -> None:
-        nonlocal best
-        if total + rest[i] <= best[0]:
-            return
-        if i == n:
-            best = (total, taken)
-            return
+    stack: list[tuple[int, float, tuple, frozenset]] = [(0, 0.0, (), frozenset())]  # next place, total, taken, barred
+    while stack:
+        at, total, taken, barred = stack.pop()
+        if total + rest[at] <= best[0]:
+            continue
+        if at == len(group):
+            best = (total, unwound(taken))
+            continue
+        i = group[at]
+        stack.append((at + 1, total, taken, barred))
         if i not in barred:
-            walk(i + 1, total + km[i], [*taken, i], barred | against[i])
-            if not against[i]:
-                return  # nothing is gained by leaving it out
-        walk(i + 1, total, taken, barred)
+            stack.append((at + 1, total + km[i], (i, taken), barred | against[i]))  # looked at first
+    return best[1]
+
 
-    walk(0, 0.0, [], set())
-    return [paths[i] for i in best[1]]
+def unwound(taken: tuple) -> list[int]:
+    out = []
+    while taken:
+        i, taken = taken
+        out.append(i)
+    return out[::-1]
 
 
 def choose(segments: list[np.ndarray], matches: list[dict[int, np.ndarray]]) -> list[list[Path]]:

@@ -39,7 +39,7 @@ class Pipeline:
         counts = schedule.shapeless_trip_counts(self.raw("trips")).first()
         if counts["n_shapeless"]:
             log.warning("%d of %d trips have no shape", counts["n_shapeless"], counts["n_trips"])
-        gtfs.keep_origin(gtfs_zip, agency_name, self.output_dir)
+        gtfs.keep_origin(self.spark, gtfs_zip, agency_name, self.output_dir)
 
     def gtfs_as_geojson(self) -> None:
         self.tables.write("geojson_gtfs.stops", features.in_geo_order(features.stop_features(self.raw("stops"))))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import shutil
+import tempfile
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import fetched, put
 from ..schemas import CHECKS, KEYS, NOT_NULL, TABLES, columns
 
 
@@ -22,25 +24,34 @@ def table_of(file_name: str) -> str | None:
     return name if name in TABLES else None
 
 
-def unpack(gtfs_zip: str, folder: str) -> tuple[dict[str, str], list[str]]:
-    """Extracts the tables' files to a folder that executors can read: paths by table, and the entries that fill no table."""
+def unpack(spark: SparkSession, gtfs_zip: str, folder: str) -> tuple[dict[str, str], list[str]]:
+    """Extracts the tables' files to a folder that executors can read (of any file system): paths by table, and the entries that fill no table."""
     paths, others = {}, []
-    with zipfile.ZipFile(gtfs_zip) as z:
+    with fetched(spark, gtfs_zip) as local, zipfile.ZipFile(local) as z, tempfile.TemporaryDirectory(prefix="farelane-") as aside:
         for entry in z.namelist():
             if (table := table_of(entry)) is None:
                 others.append(entry)
                 continue
-            at = Path(folder) / f"{table}.txt"
-            at.parent.mkdir(parents=True, exist_ok=True)
+            at = Path(aside) / f"{table}.txt"
             with z.open(entry) as source, at.open("wb") as target:
                 shutil.copyfileobj(source, target)
-            paths[table] = str(at)
+            paths[table] = f"{folder}/{table}.txt"
+            put(spark, str(at), paths[table])
     return paths, others
 
 
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """A line with an odd number of quotes: a quoted value goes on in the next one."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """S3: the table's columns in any order of the header, missing ones null, extra ones dropped, empty strings null."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
+    """S3: the table's columns in any order of the header, missing ones null, extra ones dropped, empty strings null.
+
+    A file is split among tasks unless a quoted value in it holds a line break.
+    """
+    raw = spark.read.csv(path, header=True, multiLine=has_broken_lines(spark, path), escape='"', encoding="UTF-8")
     by_name = {c.strip().lstrip("﻿"): c for c in raw.columns}
 
     def column(name: str, kind: str) -> Column:
@@ -83,14 +94,15 @@ def checked(df: DataFrame, table: str) -> DataFrame:
 
 def read_feed(spark: SparkSession, gtfs_zip: str, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
     """All tables of a feed, checked; raises FeedError at the first that breaks a rule, before anything is written."""
-    paths, others = unpack(gtfs_zip, folder)
+    paths, others = unpack(spark, gtfs_zip, folder)
     return {t: checked(read_csv(spark, p, t), t) for t, p in sorted(paths.items())}, others
 
 
-def keep_origin(gtfs_zip: str, agency_name: str, output_dir: str) -> None:
+def keep_origin(spark: SparkSession, gtfs_zip: str, agency_name: str, output_dir: str) -> None:
     """K6."""
-    out = Path(output_dir)
-    out.mkdir(parents=True, exist_ok=True)
-    if Path(gtfs_zip).resolve() != (out / "gtfs.zip").resolve():
-        shutil.copy(gtfs_zip, out / "gtfs.zip")
-    (out / "AGENCY_NAME").write_text(agency_name.lower())
+    with fetched(spark, gtfs_zip) as local, tempfile.TemporaryDirectory(prefix="farelane-") as aside:
+        copy = Path(aside) / "gtfs.zip"  # the feed may be the very file that is replaced
+        shutil.copy(local, copy)
+        put(spark, str(copy), f"{output_dir}/gtfs.zip")
+        (Path(aside) / "AGENCY_NAME").write_text(agency_name.lower())
+        put(spark, f"{aside}/AGENCY_NAME", f"{output_dir}/AGENCY_NAME")

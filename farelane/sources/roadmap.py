@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import sqlite3
+import tempfile
 from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import fetched, put
 from ..functions import geo
 
 #: Target maps and the properties kept of each.
@@ -35,11 +37,14 @@ def sqlite_to_parquet(spark: SparkSession, path: str, folder: str) -> DataFrame:
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    Path(folder).mkdir(parents=True, exist_ok=True)
     n = -1
-    for n, block in enumerate(rows_of(path)):
-        ids, features = zip(*block, strict=True)
-        pq.write_table(pa.table({"id": pa.array(ids, pa.int64()), "feature": pa.array(features, pa.string())}), f"{folder}/part-{n:06}.parquet")
+    with fetched(spark, path) as local, tempfile.TemporaryDirectory(prefix="farelane-") as aside:
+        for n, block in enumerate(rows_of(local)):
+            ids, features = zip(*block, strict=True)
+            part = f"{aside}/part-{n:06}.parquet"
+            pq.write_table(pa.table({"id": pa.array(ids, pa.int64()), "feature": pa.array(features, pa.string())}), part)
+            put(spark, part, f"{folder}/part-{n:06}.parquet")
+            Path(part).unlink()
     return spark.read.schema("id long, feature string").parquet(folder) if n >= 0 else spark.createDataFrame([], "id long, feature string")
 
 

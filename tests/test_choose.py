@@ -72,6 +72,11 @@ def test_longest_compatible_against_all_subsets():
         assert abs(sum(p.km for p in got) - brute(paths)) < 1e-9
 
 
+def test_groups_without_conflicts_are_decided_apart():
+    paths = [c.Path((i,), line(2 * i, 2 * i + 3)) for i in range(12)] + [c.Path((100 + i,), line(0, 1, y=10.0 + i)) for i in range(60)]
+    assert len(c.longest_compatible(paths)) == 6 + 60
+
+
 def test_neighbours_limit_later_choices():
     """The second segment has two candidates of its length; only one starts where the first segment's path ends."""
     first, second = line(0, 1, 2), line(2, 3, 4)

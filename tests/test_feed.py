@@ -244,7 +244,34 @@ def test_warehouse_replaces_whole_tables(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         w.read("a.b")
     w.write("a.b", spark.range(3))
-    assert w.write("a.b", w.read("a.b").filter("id > 0")).count() == 2
+    before = w.read("a.b")
+    assert w.write("a.b", before.filter("id > 0")).count() == 2 and before.count() == 3  # who reads the old one isn't disturbed
+    w.write("a.b", spark.range(7), sort=["id"])
+    assert w.versions("a.b") == [2, 3] and [r["id"] for r in w.read("a.b").collect()] == list(range(7))
+    w.versions = lambda table: [2]  # another writer's view from before
+    with pytest.raises(RuntimeError):
+        w.write("a.b", spark.range(1))
+
+
+def test_a_quoted_line_break(spark, tmp_path):
+    for text, n in (('stop_id,stop_name\nA,"one\ntwo"\nB,x\n', True), ('stop_id,stop_name\nA,"one, ""two"""\nB,x\n', False)):
+        (tmp_path / "stops.txt").write_text(text)
+        path = str(tmp_path / "stops.txt")
+        assert gtfs.has_broken_lines(spark, path) == n and [r["stop_id"] for r in gtfs.read_csv(spark, path, "stops").collect()] == ["A", "B"]
+
+
+def test_stages_without_matches_from_elsewhere(spark, done, tmp_path):
+    """The same feed and map, matched by the built-in matcher: feed and map to AADT by the command line alone."""
+    run = lambda *a: cli.main(["--output_dir", str(tmp_path), *a], spark)
+    run("load_raw_gtfs", "--agency_name", "TestBus", "--gtfs_zip", f"{done.output_dir}/gtfs.zip")
+    for stage in ("gtfs_as_geojson", "gtfs_network", "scheduled_bus_traffic"):
+        run(stage)
+    run("load_conflation_map", "--conflation_map_sqlite_db", f"{done.output_dir}/map.sqlite")
+    for stage in ("gtfs_osm_network", "gtfs_conflation_map_join", "gtfs_conflation_schedule_join"):
+        run(stage)
+    aadt = lambda p: {r["conflation_map_id"]: r["aadt"] for r in p.tables.read("gtfs_conflation_schedule_join.conflation_map_aadt_breakdown").collect()}
+    mine = aadt(Pipeline(spark, str(tmp_path)))
+    assert mine == aadt(done) and mine
 
 
 def test_stream(spark, tmp_path):
