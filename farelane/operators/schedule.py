@@ -19,14 +19,20 @@ WEEKDAYS = range(7)
 TRIPLE = ["shape_id", "departure_seg_idx", "arrival_seg_idx"]
 
 
-def halves_up(a: Column, b: Column) -> Column:
-    """a / b of whole numbers, rounded half up to a whole one exactly; b is positive."""
-    a, b = a.cast("decimal(38,0)"), b.cast("decimal(38,0)")
-    return F.call_function("div", 2 * a + b, 2 * b)
+def div(a: Column, b) -> Column:
+    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
+
+
+def halves_up(a: Column, b: Column, scale: int = 1) -> Column:
+    """a * scale / b of whole numbers that aren't negative, rounded half up to a whole one exactly; b is positive.
+
+    The remainder is scaled apart, so that no product is much larger than the result.
+    """
+    return div(a, b) * scale + div(2 * scale * (a % b) + b, 2 * b)
 
 
 def thousandths(x: Column) -> Column:
-    return F.round(x * 1000).cast("long")
+    return F.floor(x * 1000 + 0.5)
 
 
 def scheduled_stops(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
@@ -114,11 +120,12 @@ def shares(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame,
 
 
 def observed(traversals: DataFrame, shares: DataFrame) -> DataFrame:
-    """Traversals on their map segments, a row each: all their columns but times and indices, and epoch and tt in seconds."""
+    """Traversals on their map segments, a row each: all their columns but times and indices, and epoch and ms, the travel time in thousandths of a second."""
     rows = traversals.join(F.broadcast(shares) if shares.count() <= BROADCAST_ROWS else shares, TRIPLE)
     total = F.col("arrival_time_sec") - F.col("departure_time_sec")
     start = F.col("departure_time_sec") + F.coalesce(F.try_divide(total * F.col("w_before"), F.col("w_sum")), F.lit(0.0))
-    rows = rows.withColumn("epoch", epoch(F.round(start, 6))).withColumn("tt", F.round(F.try_divide(total * F.col("w"), F.col("w_sum")), 3))
+    # half a millionth of a second more: a start that the noise of sums puts just before an epoch is in it
+    rows = rows.withColumn("epoch", epoch(start + 5e-7)).withColumn("ms", thousandths(F.try_divide(total * F.col("w"), F.col("w_sum"))))
     return rows.drop(*TRIPLE, "departure_time_sec", "arrival_time_sec", "w", "w_sum", "w_before")
 
 
@@ -132,7 +139,7 @@ def with_overlaps(traffic: DataFrame) -> DataFrame:
 
 def met(rows: DataFrame) -> DataFrame:
     """A4: observations of one trip on one segment in one epoch, together."""
-    return rows.groupBy("conflation_map_id", "trip_id", "epoch").agg(F.sum("tt").alias("travel_time"))
+    return rows.groupBy("conflation_map_id", "trip_id", "epoch").agg(F.sum("ms").alias("ms"))
 
 
 def synthetic_probe(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, compat: bool = False) -> DataFrame:
@@ -142,8 +149,8 @@ def synthetic_probe(traffic: DataFrame, shape_map: DataFrame, conflation_map: Da
     """
     part = shares(traffic, shape_map, conflation_map, compat)
     rows = observed(with_overlaps(traffic), part)
-    alone = rows.filter("NOT overlaps AND NOT again").select("conflation_map_id", "trip_id", "epoch", F.col("tt").alias("travel_time"))
-    return alone.unionByName(met(rows.filter("overlaps OR again")))
+    alone = rows.filter("NOT overlaps AND NOT again").select("conflation_map_id", "trip_id", "epoch", "ms")
+    return alone.unionByName(met(rows.filter("overlaps OR again"))).withColumn("travel_time", F.col("ms") / 1000).drop("ms")
 
 
 def served_days(routes: DataFrame, trips: DataFrame, dates: DataFrame) -> DataFrame:
@@ -159,12 +166,13 @@ def days_mask() -> Column:
 
 
 def by_weekdays(rows: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Observations (conflation_map_id, route_short_name, epoch, tt, n0 ... n6, ids) summed by segment, route and epoch, all weekdays in one row:
-    n (dates), m (those with a time) and t (their times in thousandths), each 0 ... 6, ids with their days, and the feed's number of weeks."""
-    n, tt = lambda k: F.col(f"n{k}"), thousandths(F.col("tt"))
-    sums = [F.sum(n(k)).alias(f"n{k}") for k in WEEKDAYS] + [F.sum(F.when(F.col("tt").isNotNull(), n(k)).otherwise(0)).alias(f"m{k}") for k in WEEKDAYS] + [F.sum(n(k) * tt).alias(f"t{k}") for k in WEEKDAYS]
+    """Observations (conflation_map_id, route_short_name, epoch, ms, n0 ... n6, ids) summed by segment, route and epoch, all weekdays in one row:
+    n (dates), m (those with a time) and t (their times in thousandths), each 0 ... 6, ids with their days, and the feed's number of days."""
+    n, ms = lambda k: F.col(f"n{k}"), F.col("ms")
+    sums = [F.sum(n(k)).alias(f"n{k}") for k in WEEKDAYS] + [F.sum(F.when(ms.isNotNull(), n(k)).otherwise(0)).alias(f"m{k}") for k in WEEKDAYS] + [F.sum(n(k) * ms).alias(f"t{k}") for k in WEEKDAYS]
     out = rows.groupBy("conflation_map_id", "route_short_name", "epoch").agg(*sums, F.flatten(F.collect_list("ids")).alias("ids"))
-    return out.crossJoin(F.broadcast(weeks))  # one row (J16)
+    # weeks are days over 7; one row
+    return out.crossJoin(F.broadcast(weeks.select(F.round(F.col("feed_num_weeks") * 7).cast("long").alias("feed_days"))))
 
 
 def weekday_sums(routes: DataFrame, trips: DataFrame, dates: DataFrame, traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, weeks: DataFrame, compat: bool = False) -> DataFrame:
@@ -180,9 +188,9 @@ def weekday_sums(routes: DataFrame, trips: DataFrame, dates: DataFrame, traffic:
     key = [*TRIPLE, "departure_time_sec", "arrival_time_sec", "route_short_name"]
     alike = rows.filter("NOT grouped").join(served, "trip_id").groupBy(*key).agg(*[F.sum(c).alias(c) for c in days], ids)
     # each number of dates counts for all trips of the group, and so for their common time
-    alone = observed(alike, part).select("conflation_map_id", "route_short_name", "epoch", "tt", *days, "ids")
+    alone = observed(alike, part).select("conflation_map_id", "route_short_name", "epoch", "ms", *days, "ids")
     single = met(observed(rows.filter("grouped"), part)).join(served, "trip_id").withColumn("ids", F.array(F.struct(F.col("trip_id").cast("string").alias("id"), days_mask().alias("days"))))
-    single = single.select("conflation_map_id", "route_short_name", "epoch", F.col("travel_time").alias("tt"), *days, "ids")
+    single = single.select("conflation_map_id", "route_short_name", "epoch", "ms", *days, "ids")
     return by_weekdays(alone.unionByName(single), weeks)
 
 
@@ -191,8 +199,13 @@ def of_days(each: list[Column]) -> Column:
     return F.filter(F.array(*each), lambda x: x["n"] > 0)
 
 
+def tenths(n: Column) -> Column:
+    """n dates over the feed's weeks, in tenths, halves up; null for a feed of a day (Q5)."""
+    return F.when(F.col("feed_days") > 0, halves_up(70 * n, F.col("feed_days")))
+
+
 def weekly(n: Column) -> Column:
-    return F.round(F.try_divide(n.cast("double"), F.col("feed_num_weeks")), 1)
+    return tenths(n) / 10
 
 
 def by_route(sums: DataFrame) -> DataFrame:
@@ -210,34 +223,36 @@ def by_route(sums: DataFrame) -> DataFrame:
 def sums_of_probe(served: DataFrame, probe: DataFrame, weeks: DataFrame) -> DataFrame:
     """J15, A5 from a table of probes."""
     rows = probe.join(served, "trip_id").withColumn("ids", F.array(F.struct(F.col("trip_id").cast("string").alias("id"), days_mask().alias("days"))))
-    return by_weekdays(rows.withColumnRenamed("travel_time", "tt"), weeks)
+    return by_weekdays(rows.withColumn("ms", thousandths(F.col("travel_time"))), weeks)
 
 
 def traffic_by_route(routes: DataFrame, trips: DataFrame, dates: DataFrame, probe: DataFrame, weeks: DataFrame) -> DataFrame:
     return by_route(sums_of_probe(served_days(routes, trips, dates), probe, weeks))
 
 
-def tenths(n: Column) -> Column:
-    """Weekly count of n dates in tenths, to which it is rounded."""
-    return F.round(weekly(n) * 10).cast("long")
-
-
 def billionths(t: Column, m: Column) -> Column:
     """Average of t thousandths of m observations, in billionths of a second."""
-    return F.when(m > 0, halves_up(t.cast("decimal(38,0)") * 1_000_000, m))
+    return F.when(m > 0, halves_up(t, m, 1_000_000))
 
 
 def traffic_total(sums: DataFrame) -> DataFrame:
     """All routes together, travel times weighted by weekly counts. Averages are taken to billionths and sums are of whole numbers, so their order doesn't matter."""
     w = lambda k: tenths(F.col(f"n{k}"))
     avg = lambda k: billionths(F.col(f"t{k}"), F.col(f"m{k}"))
-    each = [f(k) for k in WEEKDAYS for f in (lambda k: F.sum(F.col(f"n{k}")).alias(f"n{k}"), lambda k: F.sum(w(k)).alias(f"w{k}"), lambda k: F.sum(avg(k) * w(k)).alias(f"a{k}"))]
+    # the sum of avg * w in two parts, either of which fits a long
+    each = [
+        f(k)
+        for k in WEEKDAYS
+        for f in (lambda k: F.sum(F.col(f"n{k}")).alias(f"n{k}"), lambda k: F.sum(w(k)).alias(f"w{k}"), lambda k: F.sum(div(avg(k), 1_000_000) * w(k)).alias(f"a{k}"), lambda k: F.sum(avg(k) % 1_000_000 * w(k)).alias(f"b{k}"))
+    ]
     routes = F.collect_list(F.struct("route_short_name", days_mask().alias("days"))).alias("names")
     rows = sums.groupBy("conflation_map_id", "epoch").agg(*each, routes)
 
     def day(k: int) -> Column:
         names = F.transform(F.filter("names", lambda x: F.getbit(x["days"], F.lit(k)) == 1), lambda x: x["route_short_name"])
-        tt = F.when(F.col(f"w{k}") > 0, halves_up(F.col(f"a{k}"), F.col(f"w{k}").cast("decimal(38,0)") * 1_000_000)) / 1000
+        whole, part = F.col(f"a{k}") + div(F.col(f"b{k}"), 1_000_000), F.col(f"b{k}") % 1_000_000  # thousandths times w, and what is left in billionths
+        rest = whole % F.col(f"w{k}") * 1_000_000 + part
+        tt = F.when(F.col(f"w{k}") > 0, div(whole, F.col(f"w{k}")) + div(2 * rest + 1_000_000 * F.col(f"w{k}"), 2_000_000 * F.col(f"w{k}"))) / 1000
         return F.struct(F.lit(k).alias("dow"), F.col(f"n{k}").alias("n"), tt.cast("double").alias("avg_tt"), (F.col(f"w{k}") / 10).alias("avg_weekly_count"), F.array_join(F.sort_array(F.array_distinct(names)), ",").alias("routes"))
 
     rows = rows.select("conflation_map_id", "epoch", F.inline(of_days([day(k) for k in WEEKDAYS])))
@@ -251,15 +266,18 @@ def peak(epoch: Column, dow: Column) -> Column:
 
 
 def aadt_by_route_and_peak(sums: DataFrame) -> DataFrame:
-    """A seventh of the weekly counts of a peak's weekdays and epochs, rounded half up."""
+    """A seventh of the weekly counts of a peak's weekdays and epochs, rounded half up.
+
+    A row of sums has all weekdays: of Monday to Friday (week) and of the weekend it is asked once in which peak its epoch lies.
+    """
+    both = lambda name, f: (sum((f(k) for k in range(2, 6)), f(1)).alias(f"{name}_week"), (f(0) + f(6)).alias(f"{name}_end"))
+    rows = sums.select("conflation_map_id", "route_short_name", "epoch", *[F.coalesce(tenths(F.col(f"n{k}")), F.lit(0)).alias(f"w{k}") for k in WEEKDAYS], *[f"n{k}" for k in WEEKDAYS], (F.col("feed_days") > 0).alias("known"))
+    named = [peak(F.col("epoch"), F.lit(k)).alias(x) for k, x in ((1, "week"), (0, "weekend"))]
+    rows = rows.select("conflation_map_id", "route_short_name", "known", *named, *both("w", lambda k: F.col(f"w{k}")), *both("n", lambda k: F.col(f"n{k}")))
     names = ["AMP", "MIDD", "PMP", "WE", "OVN"]
-    # the rule asks for epoch and weekday; a row has all weekdays, so it is asked for each
-    inside = lambda name, k: peak(F.col("epoch"), F.lit(k)) == name
-    of = lambda name, x: sum((F.when(inside(name, k), x(k)).otherwise(0) for k in WEEKDAYS), F.lit(0))
-    parts = [f(name) for name in names for f in (lambda p: F.sum(of(p, lambda k: F.coalesce(tenths(F.col(f"n{k}")), F.lit(0)))).alias(p), lambda p: F.sum(of(p, lambda k: F.col(f"n{k}"))).alias(f"n_{p}"))]
-    rows = sums.groupBy("conflation_map_id", "route_short_name").agg(*parts, F.first("feed_num_weeks").alias("feed_num_weeks"))
-    known = F.col("feed_num_weeks") != 0  # Q5: else there is no count
-    each = [F.struct(F.lit(p).alias("peak"), F.col(f"n_{p}").alias("n"), F.when(known, halves_up(F.col(p), F.lit(70))).cast("long").alias("aadt")) for p in names]
+    of = lambda x, p: F.sum(F.when(F.col("week") == p, F.col(f"{x}_week")).otherwise(0) + F.when(F.col("weekend") == p, F.col(f"{x}_end")).otherwise(0)).alias(f"{x}_{p}")
+    rows = rows.groupBy("conflation_map_id", "route_short_name").agg(*[of(x, p) for x in "wn" for p in names], F.first("known").alias("known"))
+    each = [F.struct(F.lit(p).alias("peak"), F.col(f"n_{p}").alias("n"), F.when(F.col("known"), halves_up(F.col(f"w_{p}"), F.lit(70))).alias("aadt")) for p in names]  # Q5: unknown
     return rows.select("conflation_map_id", "route_short_name", F.inline(of_days(each))).select("conflation_map_id", "peak", "route_short_name", "aadt")
 
 

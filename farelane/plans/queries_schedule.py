@@ -249,12 +249,12 @@ def sums_of(t) -> DataFrame:
 
 @query(f"WITH {TRAFFIC}, {PROBE} SELECT conflation_map_id, trip_id, epoch, round(travel_time, 3) AS travel_time FROM probe")
 def synthetic_probe(t):
-    return probe_of(t).withColumn("travel_time", F.round("travel_time", 3))
+    return probe_of(t)
 
 
 @query(f"WITH {TRAFFIC}, {probe_cte('along_idx, conflation_map_id')} SELECT conflation_map_id, trip_id, epoch, round(travel_time, 3) AS travel_time FROM probe")
 def synthetic_probe_compat(t):
-    return probe_of(t, compat=True).withColumn("travel_time", F.round("travel_time", 3))
+    return probe_of(t, compat=True)
 
 
 @query(f"WITH {TRAFFIC}, {PATHS} SELECT trip_id, departure_seg_idx, arrival_seg_idx, shape_index, conflation_map_id, along_idx FROM paths")
@@ -278,9 +278,10 @@ def speed_lookup(t):
 
 BY_ROUTE = f"""{EXTENT}, {INCLUDED}, service AS ({REMOVED}), {TRAFFIC}, {PROBE}, by_route AS (
   SELECT p.conflation_map_id, coalesce(r.route_short_name, CAST(r.route_id AS VARCHAR)) AS route_short_name, s.dow, p.epoch, CAST(sum(CAST(round(p.travel_time * 1000) AS BIGINT)) AS BIGINT) AS ms, count(p.travel_time) AS n,
-         round(count(*) / nullif(max((SELECT datediff('day', strptime(feed_start_date, '%Y%m%d'), strptime(feed_end_date, '%Y%m%d')) FROM extent)) / 7.0, 0), 1) AS avg_weekly_count,
+         CAST((140 * count(*) + max(days)) // nullif(2 * max(days), 0) AS DOUBLE) / 10 AS avg_weekly_count,
          array_to_string(list_sort(list(DISTINCT CAST(t.trip_id AS VARCHAR))), ',') AS trip_ids
   FROM tx_routes r JOIN tx_trips t USING (route_id) JOIN service s USING (service_id) JOIN probe p USING (trip_id)
+  CROSS JOIN (SELECT datediff('day', strptime(feed_start_date, '%Y%m%d'), strptime(feed_end_date, '%Y%m%d')) AS days FROM extent) e
   GROUP BY 1, 2, 3, 4
 )"""
 AADT = BY_ROUTE + """, aadt AS (
