@@ -36,6 +36,8 @@ SIZE = 1 << BITS
 SAMPLE = 2048
 #: Centroids of a language.
 CENTROIDS = 4
+#: Labels learned at most, the most frequent ones.
+LANGUAGES = 200
 #: Share of the low quantile of the sample's cosines below which a text is rejected.
 REJECT = 0.6
 QUANTILE = 0.01
@@ -128,20 +130,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
+def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, languages: int = LANGUAGES) -> Model:
+    """From a sample by hash, equal rows once; of the labels only the most frequent ``languages`` are learned."""
     spark = prepare(docs.sparkSession)
     rows = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not by_lang:
         return Model(np.ones(SIZE, np.float32), [], np.zeros((SIZE, 0), np.float32), np.zeros((0, LENGTHS)))
     each = -(-sample // len(by_lang))
     share = F.create_map(*[F.lit(x) for k, n in sorted(by_lang.items()) for x in (k, min(1.0, each / n))])
-    chosen = (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003) < share[F.col("lang")]
+    mark = F.xxhash64("doc_id", "text")
+    chosen = F.coalesce((F.pmod(mark, F.lit(1_000_003)) / 1_000_003) < F.try_element_at(share, F.col("lang")), F.lit(False))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, texts_seen, name = np.zeros(SIZE, np.int64), 0, ["lang", "feature", "n"]
+        seen, texts_seen, name = np.zeros(SIZE, np.int64), 0, ["lang", "mark", "feature", "n"]
         for batch in batches:
-            texts, langs, take = (batch.column(k).to_pylist() for k in range(3))
+            texts, langs, take, marks = (batch.column(k).to_pylist() for k in range(4))
             for a in range(0, len(texts), ROWS):
                 c = ngram_counts(texts[a : a + ROWS])
                 seen += (c > 0).sum(axis=0)
@@ -149,18 +153,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
                 for i in [i for i in range(len(c)) if take[a + i]]:
                     f = np.flatnonzero(c[i])
                     if len(f):
-                        yield pa.record_batch([pa.array([langs[a + i]]), pa.array([f.tolist()], pa.list_(pa.int32())), pa.array([c[i, f].tolist()], pa.list_(pa.int64()))], name)
+                        yield pa.record_batch([pa.array([langs[a + i]]), pa.array([marks[a + i]]), pa.array([f.tolist()], pa.list_(pa.int32())), pa.array([c[i, f].tolist()], pa.list_(pa.int64()))], name)
         f = np.flatnonzero(seen)
-        yield pa.record_batch([pa.array([None], pa.string()), pa.array([[*f.tolist(), SIZE]], pa.list_(pa.int32())), pa.array([[*seen[f].tolist(), texts_seen]], pa.list_(pa.int64()))], name)
+        yield pa.record_batch([pa.array([None], pa.string()), pa.array([None], pa.int64()), pa.array([[*f.tolist(), SIZE]], pa.list_(pa.int32())), pa.array([[*seen[f].tolist(), texts_seen]], pa.list_(pa.int64()))], name)
 
-    counted = rows.select("text", "lang", chosen.alias("take")).mapInArrow(count, "lang string, feature array<int>, n array<long>").checkpoint()
+    counted = rows.select("text", "lang", chosen.alias("take"), mark.alias("mark")).mapInArrow(count, "lang string, mark long, feature array<int>, n array<long>").checkpoint()
     totals = counted.filter("lang IS NULL").select(F.explode(F.arrays_zip("feature", "n")).alias("x")).groupBy("x.feature").agg(F.sum("x.n").alias("n"))
     seen = np.zeros(SIZE + 1)
     for r in totals.collect():  # at most SIZE + 1 rows
         seen[r["feature"]] = r["n"]
     model = Model(np.log((1 + seen[SIZE]) / (1 + seen[:SIZE])).astype(np.float32) + 1, [], np.zeros((SIZE, 0), np.float32), np.zeros((0, LENGTHS)))
     by: dict[str, list[np.ndarray]] = {}
-    for r in counted.filter("lang IS NOT NULL").toLocalIterator():  # about `sample` rows
+    for r in counted.filter("lang IS NOT NULL").dropDuplicates(["lang", "mark"]).toLocalIterator():  # about `sample` rows
         x = np.zeros(SIZE, np.int32)
         x[r["feature"]] = r["n"]
         by.setdefault(r["lang"], []).append(x)

@@ -235,6 +235,9 @@ def test_language(spark):
     assert all(r["lang_pred"] == "und" and r["score"] == 0 and r["rejected"] for r in none)
     kept = language_id.keep_known(rows.withColumn("score", F.lit(1)), model)
     assert kept.columns == [*rows.columns, "score"] and kept.count() >= 0.98 * rows.count()
+    hot = rows.filter("lang = 'en'").limit(1).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("k")
+    many = language_id.fit(rows.unionByName(hot).unionByName(rows.select("doc_id", "text", F.concat(F.lit("zz"), F.col("doc_id")).alias("lang"), "source", "n_chars")), languages=4)
+    assert sorted(set(many.languages)) == sorted(set(model.languages))  # a repeated row is one of the sample; rare labels are beyond the bound
     empty = language_id.fit(docs(spark, []))
     assert language_id.predict(docs(spark, [(1, "word")]), empty).first()["lang_pred"] == "und"
     assert language_id.predict(docs(spark, []), model).count() == 0
@@ -502,6 +505,20 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_licenses_in_scattered_pieces(spark):
+    """A template's shingles one by one, in any order, among foreign words: 0.8 to all of them, against plain containment."""
+    r, rows = random.Random(9), []
+    for k, v in sorted(licenses.TEMPLATES.items()):
+        w = re.findall(r"[^\W_]+", v)
+        grams = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)]
+        for _ in range(6):
+            some = r.sample(grams, math.ceil(r.uniform(0.8, 1.0) * len(grams)))
+            rows.append((len(rows), " ".join(f"{g} {' '.join(f'q{r.randint(0, 10**6)}' for _ in range(r.randint(1, 9)))}" for g in some)))
+    out = {x["doc_id"]: x["licenses"] for x in licenses.scan(docs(spark, rows)).collect()}
+    assert all(out[i] == brute_licenses(t, licenses.TEMPLATES) for i, t in rows)
+    assert licenses.missed(16) == 0 and max(licenses.missed(m) for m in range(17, 1000)) < 0.0005
+
+
 # --- pieces ---
 
 
