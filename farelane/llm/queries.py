@@ -23,4 +23,5 @@ ORACLE_SQL = {
     "op7_pii": pii_rules.SQL,
     "op8_sharding": shards.SQL,
     "op9_chat_formatting": chat.SQL,
+    "op10_nearest": nearest.SQL,
 }
