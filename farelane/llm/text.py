@@ -10,7 +10,7 @@ import numpy as np
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Code points handled at a time; a longer text is cut after a letter that white space follows.
-CHUNK = 1_000_000
+CHUNK = 1 << 18
 #: Odd multiplier of the polynomial word hash modulo 2**64, and its inverse.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
