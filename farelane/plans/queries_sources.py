@@ -11,13 +11,13 @@ import sqlite3
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import fresh_folder, prepare, put
 from ..functions import geo
 from ..operators import features
-from ..sources import gtfs, roadmap
+from ..sources import gtfs, roadmap, shapefile
 from ..sources.warehouse import Warehouse
 from .fixtures import relation
 from .queries_map import LINES, sql_km
@@ -122,3 +122,43 @@ def stage_table(spark, t):
     inside = table.select("id", "n", F.col("_metadata.file_name").alias("file"), (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).alias("row"))
     first = inside.groupBy("file").agg(F.min("row").alias("first"))
     return inside.join(first, "file").join(before, "file").select("id", "n", (F.col("row") - F.col("first") + F.col("before")).alias("place"))
+
+
+TWO_POINTS = "-73.9E0 - id % 30 * 0.001E0"
+
+
+def two_points(i: Column) -> Column:
+    """A line that starts at a place of its own."""
+    lon = -73.9 - (i % 30) * 0.001
+    return F.array(geo.point(lon, F.lit(42.6)), geo.point(lon + 0.0005, F.lit(42.61)))
+
+
+@query(f"""WITH {LINES}, m AS (SELECT *, {TWO_POINTS} AS lon FROM tx_matches), j AS (SELECT shape_id, shape_index, conflation_map_id AS id, along_idx FROM tx_shape_map_join)
+SELECT 'geojson_gtfs_stops' AS layer, CAST(stop_id AS VARCHAR) AS key, stop_name AS text, CAST(1 AS BIGINT) AS parts, CAST(1 AS BIGINT) AS points, round(CAST(stop_lon AS DOUBLE), 6) AS lon FROM tx_stops
+UNION ALL SELECT 'geojson_gtfs_shapes', CAST(shape_id AS VARCHAR), NULL, 1, count(*), arg_min(lon, k) FROM pts WHERE n > 1 GROUP BY shape_id
+UNION ALL SELECT 'gtfs_network_shape_segments', CAST(shape_id AS VARCHAR) || '/' || CAST(shape_index AS VARCHAR), '["' || CAST(shape_id AS VARCHAR) || '"]', 1, 2, round(-73.9E0 - shape_id % 30 * 0.001E0, 6) FROM (SELECT DISTINCT shape_id, shape_index FROM j) x
+UNION ALL SELECT 'shst_matches', CAST(id AS VARCHAR), CAST(shst_reference AS VARCHAR), 1, 2, round(lon, 6) FROM m
+UNION ALL SELECT 'chosen_shst_matches', CAST(id AS VARCHAR), CAST(shst_reference AS VARCHAR), 1, 2, round(lon, 6) FROM m WHERE id IN (SELECT shst_match_id FROM tx_match_paths)
+UNION ALL SELECT 'gtfs_conflation_map_join', CAST(shape_id AS VARCHAR) || '/' || CAST(shape_index AS VARCHAR), CAST(arg_min(id, (along_idx, id)) AS VARCHAR), count(*), 2 * count(*), round(arg_min({TWO_POINTS}, (along_idx, id)), 6)
+FROM j GROUP BY shape_id, shape_index
+""")
+def shapefile_layers(spark, t):
+    """K7, K7a-K7f, C4: the six layers as shapefiles and back (as wide as a field of text, so a layer's list of ids is looked at by its first)."""
+    pairs = t("tx_shape_map_join").select("shape_id", "shape_index").distinct()
+    ends = F.array(F.col("shape_id").cast("string"))
+    segments = pairs.select("shape_id", "shape_index", ends.alias("from_stop_ids"), ends.alias("to_stop_ids"), F.lit(0.0).alias("start_dist"), F.lit(1.0).alias("stop_dist"), two_points(F.col("shape_id")).alias("coords"))
+    matches = t("tx_matches").withColumn("coords", two_points(F.col("id")))
+    join = t("tx_shape_map_join").withColumn("coords", two_points(F.col("conflation_map_id")))
+    named = shapefile.layers(features.stop_features(t("tx_stops")), features.shape_lines(t("tx_shapes")), segments, matches, t("tx_match_paths"), join)
+    rows = []
+    with tempfile.TemporaryDirectory(prefix="farelane-") as folder:
+        written = shapefile.write_all(named, f"{folder}/layers")
+        for name in named:
+            before = len(rows)
+            for v, parts in shapefile.read(f"{folder}/layers/{name}.shp"):
+                key = v["stop_id"] if name.endswith("stops") else v["shape_id"] if name.endswith("shapes") else v["id"] if name.endswith("matches") else f"{v['shape_id']}/{v['shape_idx']}"
+                text = (v.get("map_ids") or "").lstrip("[").split(",")[0].rstrip("]") or v.get("stop_name") or v.get("from_stops") or v.get("shst_ref")
+                rows.append((name, key, text, len(parts), sum(map(len, parts)), round(float(parts[0][0, 0]), 6)))
+            if written[name] != len(rows) - before:
+                raise ValueError(f"{name}: {written[name]} rows written")
+    return spark.createDataFrame(rows, "layer string, key string, text string, parts long, points long, lon double")

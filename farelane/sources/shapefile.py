@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -107,6 +107,26 @@ def _head(f, words: int, kind: int, box: list[float]) -> None:
     f.write(struct.pack(">i20xi", 9994, words) + struct.pack("<2i8d", 1000, kind, *box, 0, 0, 0, 0))
 
 
+def read(path: str) -> Iterator[tuple[dict[str, str | None], list[np.ndarray]]]:
+    """Rows of a shapefile: fields as text (None if blank), and the parts of the geometry."""
+    base = Path(path).with_suffix("")
+    with base.with_suffix(".shp").open("rb") as shp, base.with_suffix(".dbf").open("rb") as dbf:
+        n, head, _ = struct.unpack("<4xIHH20x", dbf.read(32))
+        fields = [(f[:11].rstrip(b"\0").decode(), f[16]) for f in (dbf.read(32) for _ in range((head - 33) // 32))]
+        dbf.read(1)
+        shp.read(100)
+        for _ in range(n):
+            dbf.read(1)
+            values = {name: dbf.read(width).decode().strip() or None for name, width in fields}
+            body = shp.read(2 * struct.unpack(">4xi", shp.read(8))[0])
+            if struct.unpack("<i", body[:4])[0] == POINT:
+                yield values, [np.frombuffer(body, "<f8", 2, 4).reshape(1, 2)]
+                continue
+            n_parts, n_points = struct.unpack("<2i", body[36:44])
+            starts = np.frombuffer(body, "<i4", n_parts, 44)
+            yield values, np.split(np.frombuffer(body, "<f8", 2 * n_points, 44 + 4 * n_parts).reshape(-1, 2), starts[1:])
+
+
 def write_all(named: dict[str, DataFrame], output_file: str) -> dict[str, int]:
     """K7: a file for each layer in a folder that must not exist."""
     if Path(output_file).exists():
