@@ -46,6 +46,8 @@ STEP = 64
 LONG = 64
 #: Stretches, and pairs of pieces, that an encoder remembers before it starts anew.
 WORDS, PAIRS = 1_000_000, 4_000_000
+#: Stands for the token before a text's first one; more than there are ids and code points.
+START = 1 << 22
 
 
 def default_path() -> str:
@@ -91,13 +93,14 @@ class Model:
         self.longest = max(map(len, score))
         self.unknown = min(s for s, _ in score.values()) - 10.0
         self.text_of = {i: p for p, (_, i) in score.items()}
-        self.ending: dict = {}  # pieces from their last character backwards; "" holds (score, id)
+        self.ending: dict = {}  # pieces from their last character backwards: [(score, id) or None, what may stand before]
         for piece, held in score.items():
-            node = self.ending
+            node, at = [None, self.ending], self.ending
             for c in reversed(piece):
-                node = node.setdefault(c, {})
-            node[""] = held
-        self.pairs: dict[tuple[int, int], bool] = {}
+                node = at.setdefault(c, [None, {}])
+                at = node[1]
+            node[0] = held
+        self.pairs: dict[int, bool] = {}
         joined = [p for p in score if len(p) > 1]
         self.spans_space = any(p[k] == SPACE and p[k - 1] != SPACE for p in joined for k in range(1, len(p)))
         self.solo = np.ones(0x110000, bool)
@@ -117,14 +120,12 @@ class Model:
         """The text of a token: a piece's id, or -1 - code point for a character that no piece covers."""
         return chr(-1 - token) if token < 0 else self.text_of[token]
 
-    def fits(self, a: int | None, b: int) -> bool:
-        """Merging the text of tokens a and b (a None: of b alone) gives these tokens."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            want = [self.named(b)] if a is None else [self.named(a), self.named(b)]
-            known = self.pairs[a, b] = self.joined("".join(want)) == want
+    def fits(self, a: int, b: int) -> bool:
+        """Merging the text of tokens a and b (a START: of b alone) gives these tokens."""
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
+        want = [self.named(b)] if a == START else [self.named(a), self.named(b)]
+        known = self.pairs[a * START + b] = self.joined("".join(want)) == want
         return known
 
     def ids(self, tokens: list[int]) -> list[int]:
@@ -145,7 +146,7 @@ class Stream:
         self.tail = ""  # of the text, as far as a piece can reach back; top: the scores of its positions (first the one before it)
         self.top = [0.0]
         self.size, self.token = array("H"), array("i")  # last step of the path to each position since the last commit
-        self.last: int | None = None  # token before them
+        self.last = START  # token before them
         self.next = STEP
         self.most = 0  # positions held at once
 
@@ -168,10 +169,11 @@ class Stream:
         """Best steps to the positions of text after the first ``known``."""
         m, top = self.model, self.top
         for j in range(known + 1, len(text) + 1):
-            node, i, held, size, token = m.ending, j, -1e300, 1, -1 - ord(text[j - 1])
-            while i and (node := node.get(text[i - 1])) is not None:
+            before, i, held, size, token = m.ending, j, -1e300, 1, -1 - ord(text[j - 1])
+            while i and (node := before.get(text[i - 1])) is not None:
                 i -= 1
-                if (p := node.get("")) is not None and top[i] + p[0] >= held:
+                p, before = node
+                if p is not None and top[i] + p[0] >= held:
                     held, size, token = top[i] + p[0], j - i, p[1]
             if text[j - 1] not in m.score and top[j - 1] + m.unknown > held:
                 held, size, token = top[j - 1] + m.unknown, 1, -1 - ord(text[j - 1])
@@ -185,20 +187,24 @@ class Stream:
     def by_merges(self, text: str, known: int) -> None:
         """The only possible steps to the positions of text after the first ``known``."""
         m, size, token = self.model, self.size, self.token
-        fits, pairs, gone = m.fits, m.pairs, len(self.size) - known  # position i of text is the end of step gone + i - 1
+        pairs, gone = m.pairs, len(self.size) - known  # position i of text is the end of step gone + i - 1
         for j in range(known + 1, len(text) + 1):
-            node, i, ways = m.ending, j, [] if text[j - 1] in m.score else [(1, -1 - ord(text[j - 1]))]
-            while i and (node := node.get(text[i - 1])) is not None:
+            before, i, ways = m.ending, j, []
+            while i and (node := before.get(text[i - 1])) is not None:
                 i -= 1
-                if (p := node.get("")) is not None:
-                    ways.append((j - i, p[1]))
-            for n, t in reversed(ways):
-                at = gone + j - n - 1
-                before = token[at] if at >= 0 else self.last
-                fine = pairs.get((before, t))
-                if fits(before, t) if fine is None else fine:
+                p, before = node
+                if p is not None:
+                    ways.append((i, p[1]))
+            if not ways or ways[0][0] != j - 1:
+                ways.insert(0, (j - 1, -1 - ord(text[j - 1])))
+            while True:  # the longest first; one of them fits
+                i, t = ways.pop()
+                at = gone + i - 1
+                a = token[at] if at >= 0 else self.last
+                fine = pairs.get(a * START + t)
+                if m.fits(a, t) if fine is None else fine:
                     break
-            size.append(n)
+            size.append(j - i)
             token.append(t)
 
     def commit(self) -> list[int]:
