@@ -113,7 +113,9 @@ def ladder(segments: DataFrame, matchers: list, key: list[str]) -> DataFrame:
     for name, matcher in matchers:
         new = matcher(left).withColumn("matcher", F.lit(name))
         found = (new if found is None else union_matches(found, new, key)).checkpoint()
-        left = unmatched(segments, found).select(*segments.columns)
+        left = unmatched(segments, found).select(*segments.columns).checkpoint()
+        if left.isEmpty():
+            break
     return found
 
 
