@@ -23,6 +23,8 @@ from .network import flat, line_of, zipped
 TUBE_M, LEAST_KM, MOST_DEGREES = 20.0, 0.01, 60.0
 #: Roads this near a segment are there for routes in its stead.
 AROUND_KM = 0.3
+#: Segments that go with a road at once.
+AT_A_ROAD = 1000
 KEY = ["shape_id", "shape_index"]
 MATCHES = "shape_id string, shape_index int, shst_reference string, section_start double, section_end double, feature_len_km double, x array<double>, y array<double>"
 
@@ -32,11 +34,12 @@ def heading(line: np.ndarray) -> np.ndarray:
     return d / max(math.hypot(*d), 1e-12)
 
 
-def pieces(segment: np.ndarray, road: np.ndarray, tube_m: float = TUBE_M) -> list[tuple[float, float, np.ndarray]]:
+def pieces(segment: np.ndarray, road: np.ndarray | kernels.Located, tube_m: float = TUBE_M) -> list[tuple[float, float, np.ndarray]]:
     """(start km, end km, line) of the road's parts along the segment."""
     out = []
+    road = road if isinstance(road, kernels.Located) else kernels.Located(road)
     for a, b in kernels.covered(road, segment, tube_m / 1000 / kernels.DEGREE_KM):
-        part = kernels.slice_along(road, a, b)
+        part = kernels.slice_along(road.line, a, b, road.km)
         if b - a < LEAST_KM or len(part) < 2:
             continue
         at = sorted(kernels.nearest_on_line(segment, p)[1] for p in (part[0], part[-1]))
@@ -95,18 +98,25 @@ def match(segments: DataFrame, roads: DataFrame) -> DataFrame:
     prepare(segments.sparkSession)
     lines = segments.select(F.col("shape_id").cast("string").alias("shape_id"), F.col("shape_index").cast("int").alias("shape_index"), "coords", F.xxhash64("shape_id", "shape_index", "coords").alias("n")).dropDuplicates(["n"])
     roads = numbered_roads(roads)
-    rows = near(lines, roads, TUBE_M / 1000).join(lines.select("n", *KEY, *flat("s")), "n").join(roads.select("road", "shst_reference", *flat("r")), "road")
+    pairs = near(lines, roads, TUBE_M / 1000)
+    # a long road is near many segments: it goes to Python once with many of them, not once with each
+    parts = pairs.groupBy("road").agg(F.ceil(F.count("*") / AT_A_ROAD).alias("parts"))
+    rows = pairs.join(lines.select("n", *KEY, *flat("s")), "n").join(parts, "road")
+    rows = rows.groupBy("road", F.pmod(F.xxhash64("n"), F.col("parts")).alias("part")).agg(F.collect_list(F.struct(*KEY, "s_x", "s_y")).alias("beside"))
+    rows = rows.join(roads.select("road", "shst_reference", *flat("r")), "road")
 
     def cut(batches):
         for b in batches:
-            out = [
-                (i, k, ref, p * 1000, q * 1000, q - p, part[:, 0], part[:, 1])
-                for i, k, ref, sx, sy, rx, ry in zip(b["shape_id"], b["shape_index"], b["shst_reference"], b["s_x"], b["s_y"], b["r_x"], b["r_y"], strict=True)
-                for p, q, part in pieces(line_of(sx, sy), line_of(rx, ry))
-            ]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in MATCHES.split(", ")])
-
-    found = rows.select(*KEY, "shst_reference", "s_x", "s_y", "r_x", "r_y").mapInPandas(cut, MATCHES).withColumn("coords", zipped("x", "y")).drop("x", "y")
+            for ref, rx, ry, beside in zip(b["shst_reference"], b["r_x"], b["r_y"], b["beside"], strict=True):
+                road = kernels.Located(line_of(rx, ry))
+                out = [
+                    (s["shape_id"], s["shape_index"], ref, p * 1000, q * 1000, q - p, part[:, 0], part[:, 1])
+                    for s in beside
+                    for p, q, part in pieces(line_of(s["s_x"], s["s_y"]), road)
+                ]
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in MATCHES.split(", ")])
+
+    found = rows.select("shst_reference", "r_x", "r_y", "beside").mapInPandas(cut, MATCHES).withColumn("coords", zipped("x", "y")).drop("x", "y")
     found = found.dropDuplicates([*KEY, "shst_reference", "section_start", "section_end"])
     number = F.xxhash64(*KEY, "shst_reference", "section_start", "section_end").bitwiseAND(2**53 - 1)
     return found.select(number.alias("id"), "*", F.lit(False).alias("osrm_assisted"))

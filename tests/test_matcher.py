@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -81,3 +83,21 @@ def test_matches_of_a_segment_off_the_roads_come_from_routes(spark):
     got = {r["shape_index"]: r for r in matcher.matched(seg, roads).collect()}
     assert not got[0]["osrm_assisted"] and got[0]["matcher"] == "plain" and got[0]["shst_reference"] == "r0"
     assert got[1]["osrm_assisted"] and got[1]["osrm_method"] == "ROUTE" and got[1]["line_slice_method"] == "DISTANCE_SLICE_METHOD" and got[1]["shst_reference"] == "r1"
+
+
+def test_a_long_road_beside_many_segments(spark):
+    """Before, each segment's row held the road, and the road's cells took the square of its points."""
+    line = np.array([(-73.9 + i * 2e-3, 42.6 + i % 5 * 3e-4) for i in range(20_000)])
+    s = frame(spark, [("a", i, as_coords(line[3 * i : 3 * i + 4])) for i in range(6000)], "shape_id string, shape_index int")
+    began = time.time()
+    got = {(r["shape_index"], round(r["section_start"]), round(r["section_end"])) for r in matcher.match(s, frame(spark, [("r", as_coords(line))], "shst_reference string")).collect()}
+    assert time.time() - began < 100
+    want = {(i, round(p * 1000), round(q * 1000)) for i in range(0, 6000, 600) for p, q, _ in matcher.pieces(line[3 * i : 3 * i + 4], line)}
+    assert {x for x in got if x[0] % 600 == 0} == want and len({x[0] for x in got}) == 6000
+
+
+def test_pieces_of_a_located_road():
+    road = np.array([(-73.9 + i * 1e-3, 42.6 + i % 3 * 1e-3) for i in range(500)])
+    for i in (0, 100, 400):
+        a, b = (matcher.pieces(road[i : i + 4] + [1e-5, 5e-5], r) for r in (road, kernels.Located(road)))
+        assert len(a) == len(b) > 0 and all(x[:2] == y[:2] and (x[2] == y[2]).all() for x, y in zip(a, b, strict=True))
