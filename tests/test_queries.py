@@ -2,13 +2,14 @@
 
 import itertools
 import math
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from farelane.functions import kernels
+from farelane.functions import geo, kernels
 from farelane.operators import choose, mapjoin, matcher, network
 from farelane.operators.network import as_line
 from farelane.plans import queries_map, registry
@@ -134,3 +135,25 @@ def test_network_lines_go_both_ways(spark):
     rows = queries_map.lines_of(tables(spark)).select("id", "coords", *network.flat("c"))
     assert all((network.line_of(r["c_x"], r["c_y"]) == as_line(r["coords"])).all() for r in rows.collect())
     assert rows.filter(network.zipped("c_x", "c_y") != F.col("coords")).isEmpty()
+
+
+def test_turns_of_a_long_line(spark):
+    """Time in proportion to the length, where each step was worked out again for each other one."""
+    x = F.sequence(F.lit(0), F.lit(9999))
+    line = F.transform(x, lambda i: F.struct((-73.9 + i * 0.002).alias("lon"), (42.6 + F.when(i % 10 < 5, 0.001).otherwise(0.0)).alias("lat")))
+    began = time.time()
+    (r,) = spark.range(1).select(line.alias("c")).select(geo.split_at_turns(F.col("c"), 20.0).alias("p")).collect()
+    assert time.time() - began < 60
+    want, part = [], 0
+    for i in range(9999):
+        before, now = ((i - 1) % 10 in (4, 9)), (i % 10 in (4, 9))  # the steps that go up or down
+        part += i > 0 and before != now
+        want.append(part)
+    assert r["p"] == want
+
+
+def test_turns_of_short_lines(spark):
+    coords = "array<struct<lon:double,lat:double>>"
+    rows = spark.createDataFrame([(n, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)][:n]) for n in (1, 2, 3)], f"n int, c {coords}")
+    got = {r["n"]: r["p"] for r in rows.select("n", geo.split_at_turns(F.col("c")).alias("p")).collect()}
+    assert got == {1: [], 2: [0], 3: [0, 1]}
