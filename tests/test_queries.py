@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelane.functions import geo, kernels
-from farelane.operators import choose, mapjoin, matcher, network
+from farelane.operators import choose, mapjoin, matcher, matches, network, schedule
 from farelane.operators.network import as_line
 from farelane.plans import queries_map, registry
 from farelane.plans.fixtures import relation
@@ -157,3 +157,56 @@ def test_turns_of_short_lines(spark):
     rows = spark.createDataFrame([(n, [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)][:n]) for n in (1, 2, 3)], f"n int, c {coords}")
     got = {r["n"]: r["p"] for r in rows.select("n", geo.split_at_turns(F.col("c")).alias("p")).collect()}
     assert got == {1: [], 2: [0], 3: [0, 1]}
+
+
+def test_nearest_segments_are_the_least_of_all_projections(spark):
+    """Before, all stops on all segments were rows."""
+    t = tables(spark)
+    lines = queries_map.lines_of(t).withColumnRenamed("id", "shape_id")
+    got = network.nearest_segments(queries_map.shape_points(t), lines)
+    least = queries_map.projected(t).groupBy("shape_id", "k").agg(F.min("dev").alias("want"))
+    rows = got.join(least, ["shape_id", "k"]).select(F.abs(F.col("dev") - F.col("want")) < 1e-9).collect()
+    assert len(rows) == least.count() > 0 and all(r[0] for r in rows)
+
+
+def test_redundant_matches_of_a_large_group(spark):
+    """Sets of vertices are compared, not all pairs of a group's matches."""
+    i = F.col("id")
+    few = [F.array(), F.array(i % 2), F.array(i % 2, i % 2), F.array(i % 2, F.lit(5)), F.array(F.lit(None).cast("long"), i % 2), F.array(i % 2, i % 3, F.lit(5))]
+    v = F.element_at(F.array(*[x.cast("array<long>") for x in few]), (i % 6 + 1).cast("int"))
+    rows = spark.range(300).select("id", (i % 4).alias("shape_id"), F.lit(0).alias("shape_index"), F.when(i % 7 > 0, i % 3).alias("shst_reference"), (i % 5 % 2).alias("osrm_assisted"), v.alias("vertices"))
+    data = rows.collect()
+    key = lambda r: (r["shape_id"], r["shst_reference"])
+    rank = lambda r: (-len(r["vertices"]), r["osrm_assisted"], r["id"])
+    want = {a["id"] for a in data if a["shst_reference"] is not None and any(key(a) == key(b) and set(a["vertices"]) <= set(b["vertices"]) and rank(b) < rank(a) for b in data)}
+    assert {r["id"] for r in matches.redundant(rows).collect()} == want and want
+    one = spark.range(20_000).select("id", F.lit(1).alias("shape_id"), F.lit(0).alias("shape_index"), F.lit(1).alias("shst_reference"), F.lit(0).alias("osrm_assisted"), F.array(i % 3, i % 5).alias("vertices"))
+    out = matches.redundant(one)
+    began = time.time()
+    assert out.count() == 20_000 - 12 and time.time() - began < 20
+
+
+def test_pairs_of_a_large_group_come_from_many_tasks(spark):
+    rows = spark.range(3000).select(F.lit(1).alias("g"), "id").unionByName(spark.createDataFrame([(2, 1), (2, 2), (None, 1), (None, 2)], "g int, id long"))
+    out = matches.pairs(rows, ["g"], "id")
+    assert out.count() == 3000 * 2999 // 2 + 1 and out.distinct().count() == 3000 * 2999 // 2 + 1
+    assert out.filter("g = 1").select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_path_arrays_of_repeated_trips(spark):
+    traffic = spark.createDataFrame([(1, 7, 0, 2), (1, 7, 0, 2), (2, 7, 0, 2), (2, 8, 0, 2), (3, 7, 1, 2), (4, 7, 1, 1), (5, 9, 0, 1), (6, None, 0, 1)], "trip_id int, shape_id int, departure_seg_idx int, arrival_seg_idx int")
+    shape_map = spark.createDataFrame([(7, 0, 1, 0), (7, 1, 2, 1), (8, 0, 3, 0)], "shape_id int, shape_index int, conflation_map_id int, along_idx int")
+    road = spark.createDataFrame([(i, 1, 1.0) for i in (1, 2, 3)], "id int, networklevel int, length_km double")
+    got = {r["trip_id"]: [x["conflation_map_id"] for x in r["path"]] for r in schedule.path_arrays(traffic, shape_map, road).collect()}
+    assert got == {1: [1, 1, 2, 2], 2: [1, 3, 2], 3: [2]}
+
+
+def test_path_arrays_are_made_once_for_a_stretch(spark):
+    """Before, each traversal was spread over its segments and gathered again, by shuffle."""
+    traffic = spark.range(20_000).select(F.col("id").alias("trip_id"), F.lit(7).alias("shape_id"), F.lit(0).alias("departure_seg_idx"), F.lit(1).alias("arrival_seg_idx"))
+    shape_map = spark.range(300).select(F.lit(7).alias("shape_id"), F.lit(0).alias("shape_index"), F.col("id").alias("conflation_map_id"), F.col("id").alias("along_idx"))
+    road = spark.range(300).select("id", F.lit(1).alias("networklevel"), F.lit(1.0).alias("length_km"))
+    out = schedule.path_arrays(traffic, shape_map, road)
+    began = time.time()
+    got = out.select(F.size("path").alias("n")).distinct().collect()
+    assert [r["n"] for r in got] == [300] and out.count() == 20_000 and time.time() - began < 20
