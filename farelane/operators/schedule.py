@@ -94,10 +94,20 @@ def paths_of_traversals(traffic: DataFrame, shape_map: DataFrame, conflation_map
 
 
 def path_arrays(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame) -> DataFrame:
-    """The map segments of each traversal in order, as an array of structs (compare ``paths_of_traversals``, a row each)."""
-    rows = paths_of_traversals(traffic, shape_map, conflation_map)
+    """The map segments of each traversal in order, as an array of structs (compare ``paths_of_traversals``, a row each).
+
+    A path depends only on the stretch of the shape, so it is made once for each distinct one.
+    """
     entry = F.struct("shape_index", "along_idx", "conflation_map_id")
-    return rows.groupBy("trip_id", "departure_seg_idx", "arrival_seg_idx").agg(F.sort_array(F.collect_list(entry)).alias("path"))
+    cluster.prepare(traffic.sparkSession)
+    paths = paths_of_traversals(traffic.select(*TRIPLE).distinct(), shape_map, conflation_map).groupBy(*TRIPLE).agg(F.sort_array(F.collect_list(entry)).alias("path")).checkpoint()
+    paths = F.broadcast(paths) if (paths.agg(F.sum(F.size("path"))).first()[0] or 0) <= BROADCAST_ROWS else paths
+    one = ["trip_id", "departure_seg_idx", "arrival_seg_idx"]
+    rows = traffic.filter("arrival_seg_idx > departure_seg_idx").groupBy(*one).agg(F.collect_list("shape_id").alias("shapes"))
+    alone = rows.filter("size(shapes) = 1").withColumn("shape_id", F.get("shapes", F.lit(0))).join(paths, TRIPLE).select(*one, "path")
+    # a trip that is there more than once has all of its paths in one
+    again = rows.filter("size(shapes) > 1").withColumn("shape_id", F.explode("shapes")).join(paths, TRIPLE)
+    return alone.unionByName(again.groupBy(*one).agg(F.sort_array(F.flatten(F.collect_list("path"))).alias("path")))
 
 
 def shares(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, compat: bool = False) -> DataFrame:
