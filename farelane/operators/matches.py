@@ -10,6 +10,8 @@ from ..functions import geo
 
 UNMATCHED, PRESPLIT_KM, FEW_POINTS = 0.1, 2.0, 10
 SPREAD = 8
+#: Rows of a group that meet all of the group in one place.
+AT_A_PLACE = 512
 
 
 def insert_or_ignore(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -122,15 +124,19 @@ def ladder(segments: DataFrame, matchers: list, key: list[str]) -> DataFrame:
 def redundant(matches: DataFrame) -> DataFrame:
     """Matches whose vertices all occur in a longer one of the same segment and reference (unassisted, then smaller id first among equals).
 
-    Inclusion is transitive, so any including match that is itself dropped is included in one that stays. Groups are the matches of
-    one segment and reference, a handful.
+    Inclusion is transitive, so any including match that is itself dropped is included in one that stays. Of the matches with one set of
+    vertices only the first counts for others, and a set is held only against those that have its first vertex.
     """
-    m = matches.select("shape_id", "shape_index", "shst_reference", "id", "osrm_assisted", "vertices")
-    a, b = m.alias("a"), m.alias("b")
-    same = (F.col("a.shape_id") == F.col("b.shape_id")) & (F.col("a.shape_index") == F.col("b.shape_index")) & (F.col("a.shst_reference") == F.col("b.shst_reference"))
-    rank = lambda x: F.struct(-F.size(f"{x}.vertices"), F.col(f"{x}.osrm_assisted"), F.col(f"{x}.id"))
-    inside = (F.size(F.array_except("a.vertices", "b.vertices")) == 0) & (rank("b") < rank("a"))
-    return a.join(b, same & inside, "left_semi")
+    key = ["shape_id", "shape_index", "shst_reference"]
+    m = matches.select(*key, "id", "osrm_assisted", "vertices")
+    ranked = m.withColumn("__set", F.sort_array(F.array_distinct("vertices"))).withColumn("__rank", F.struct((-F.size("vertices")).alias("n"), "osrm_assisted", "id"))
+    sets = ranked.groupBy(*key, "__set").agg(F.min("__rank").alias("__best"))
+    vertex = lambda v: F.xxhash64(v)
+    none = F.lit(None).cast(m.schema["vertices"].dataType.elementType)  # by which an empty set finds all
+    small = sets.select(*key, "__set", vertex(F.get("__set", F.lit(0))).alias("__v"))
+    large = sets.select(*key, F.col("__set").alias("__in"), "__best", F.explode(F.array_distinct(F.transform(F.concat(F.array(none), "__set"), vertex))).alias("__v"))
+    best = small.join(large, [*key, "__v"]).filter(F.size(F.array_except("__set", "__in")) == 0).groupBy(*key, "__set").agg(F.min("__best").alias("__best"))
+    return ranked.join(best, [*key, "__set"]).filter(F.col("__best") < F.col("__rank")).select(*m.columns)
 
 
 def without_redundant(matches: DataFrame) -> DataFrame:
@@ -140,10 +146,19 @@ def without_redundant(matches: DataFrame) -> DataFrame:
 
 
 def pairs(rows: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Ordered pairs of rows of one (small) group."""
-    a = rows.select(*key, F.col(order).alias("a"))
-    b = rows.select(*key, F.col(order).alias("b"))
-    return a.join(b, key).filter("a < b")
+    """Ordered pairs of rows of one group.
+
+    A group goes to as many places as it has ``AT_A_PLACE`` rows, all of it to each, and there meets its part; the number of partitions is
+    given, as the rows are few for their pairs and would else be put together in few tasks.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = rows.groupBy(*key).agg(F.ceil(F.count("*") / AT_A_PLACE).alias("__parts"))
+    rows = rows.select(*key, F.col(order).alias("a")).join(parts, key)
+    a = rows.select(*key, "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1)).alias("__part"))
+    b = rows.select(*key, F.col("a").alias("b"), F.pmod(F.xxhash64("a"), F.col("__parts")).alias("__part"))
+    on = [*key, "__part"]
+    out = a.repartition(n, *on).join(b.repartition(n, *on).hint("merge"), on)
+    return out.filter("a < b").select(*key, "a", "b")
 
 
 def path_length_error(paths: DataFrame, segments: DataFrame, matches: DataFrame) -> DataFrame:
