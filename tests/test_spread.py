@@ -3,6 +3,7 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,32 @@ def test_aadt_takes_no_row_an_observation(spark):
     began = time.time()
     got = out.agg(F.count("*").alias("n"), F.min("aadt").alias("least")).first()
     assert time.time() - began < 30 and got["n"] == 4_000 and got["least"] > 40_000
+
+
+@pytest.mark.parametrize("seed,days,cells", [(1, 4.0, 20), (2, 30.0, 30_000), (3, 0.0, 100)])
+def test_traffic_of_odd_tables(spark, seed, days, cells, monkeypatch):
+    monkeypatch.setattr(spread, "OF_TRAFFIC", 5)
+    monkeypatch.setattr(spread, "CELLS", cells)
+    t = odd_tables(spark, seed, days)
+    want = schedule.traffic_total(schedule.weekday_sums(*t))
+    got = spread.traffic_total(*t)
+    assert plain(got) == plain(want.select(*got.columns)) and got.count() > 200
+
+
+def test_traffic_takes_no_row_an_observation(spark):
+    """20 million observations; before, all of them were shuffled."""
+    out = spread.traffic_total(*long_stretch(spark, 20_000, 1_000))
+    began = time.time()
+    got = out.agg(F.count("*").alias("n"), F.min("avg_weekly_count").alias("least")).first()
+    assert time.time() - began < 30 and got["n"] > 1_000_000 and got["least"] > 0
+
+
+def test_names_beyond_a_code():
+    names = [f"r{k:03}" for k in range(100)]
+    sets = [[0, 47], [0, 47], [48, 99], [50], list(range(100))]
+    codes = [pa_codes(sets, k) for k in (0, 48, 96)]
+    assert spread.texts_of(codes, names).to_pylist() == [",".join(names[x] for x in s) for s in sets]
+
+
+def pa_codes(sets, k):
+    return np.array([float(sum(2 ** (x - k) for x in s if k <= x < k + 48)) for s in sets])
