@@ -92,6 +92,27 @@ def test_traffic_takes_no_row_an_observation(spark):
     assert time.time() - began < 30 and got["n"] > 1_000_000 and got["least"] > 0
 
 
+@pytest.mark.parametrize("seed,days,cells", [(1, 4.0, 20), (2, 30.0, 30_000), (3, 0.0, 100)])
+def test_traffic_by_route_of_odd_tables(spark, seed, days, cells, monkeypatch):
+    monkeypatch.setattr(spread, "OF_TRAFFIC", 5)
+    monkeypatch.setattr(spread, "CELLS", cells)
+    monkeypatch.setattr(spread, "OF_TRIPS", 30 * seed)
+    t = odd_tables(spark, seed, days)
+    t = (t[0], t[1].union(t[1].limit(7)), *t[2:])  # trips that are there twice
+    want = schedule.by_route(schedule.weekday_sums(*t))
+    want = want.withColumn("avg_travel_time_us", F.round(F.col("avg_travel_time").cast("decimal(30,15)") * 1_000_000).cast("long")).drop("avg_travel_time")
+    got = spread.traffic_by_route(*t)
+    assert plain(got) == plain(want.select(*got.columns)) and got.count() > 200
+
+
+def test_traffic_by_route_takes_no_row_an_observation(spark):
+    """15 million observations; before, all of them were shuffled with their trips."""
+    out = spread.traffic_by_route(*long_stretch(spark, 60_000, 250))
+    began = time.time()
+    got = out.agg(F.count("*").alias("n"), F.max(F.length("trip_ids")).alias("longest")).first()
+    assert time.time() - began < 30 and got["n"] > 1_000_000 and got["longest"] > 50
+
+
 def test_names_beyond_a_code():
     names = [f"r{k:03}" for k in range(100)]
     sets = [[0, 47], [0, 47], [48, 99], [50], list(range(100))]
