@@ -23,8 +23,8 @@ from .network import flat, line_of, zipped
 TUBE_M, LEAST_KM, MOST_DEGREES = 20.0, 0.01, 60.0
 #: Roads this near a segment are there for routes in its stead.
 AROUND_KM = 0.3
-#: Segments that go with a road at once.
-AT_A_ROAD = 1000
+#: Segments that go with a road, or with the roads around them, at once.
+AT_A_ROAD, AT_ROADS = 1000, 250
 KEY = ["shape_id", "shape_index"]
 MATCHES = "shape_id string, shape_index int, shst_reference string, section_start double, section_end double, feature_len_km double, x array<double>, y array<double>"
 
@@ -93,6 +93,11 @@ def parts_of(line: np.ndarray, compat: bool = False) -> list[np.ndarray]:
     return out
 
 
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Few rows with much work each, over as many tasks as a shuffle has."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def match(segments: DataFrame, roads: DataFrame) -> DataFrame:
     """Matches of segments (shape_id, shape_index, coords; several lines for one segment are matched each) and roads (shst_reference, coords); ids follow the key's hash."""
     prepare(segments.sparkSession)
@@ -116,7 +121,7 @@ def match(segments: DataFrame, roads: DataFrame) -> DataFrame:
                 ]
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in MATCHES.split(", ")])
 
-    found = rows.select("shst_reference", "r_x", "r_y", "beside").mapInPandas(cut, MATCHES).withColumn("coords", zipped("x", "y")).drop("x", "y")
+    found = spread_out(rows.select("shst_reference", "r_x", "r_y", "beside")).mapInPandas(cut, MATCHES).withColumn("coords", zipped("x", "y")).drop("x", "y")
     found = found.dropDuplicates([*KEY, "shst_reference", "section_start", "section_end"])
     number = F.xxhash64(*KEY, "shst_reference", "section_start", "section_end").bitwiseAND(2**53 - 1)
     return found.select(number.alias("id"), "*", F.lit(False).alias("osrm_assisted"))
@@ -127,23 +132,29 @@ def led_along_roads(segments: DataFrame, roads: DataFrame, method: str, slicing:
     prepare(segments.sparkSession)
     lines = segments.select(F.col("shape_id").cast("string").alias("shape_id"), F.col("shape_index").cast("int").alias("shape_index"), "coords", F.xxhash64("shape_id", "shape_index").alias("n"))
     roads = numbered_roads(roads)
-    around = near(lines, roads, AROUND_KM).join(roads.select("road", *flat("r")), "road")
-    around = around.groupBy("n").agg(F.sort_array(F.collect_list(F.struct("road", "r_x", "r_y"))).alias("roads"))  # of one segment's surroundings
-    rows = lines.join(around, "n").select(*KEY, *flat("c"), F.transform("roads", lambda r: r["r_x"]).alias("r_x"), F.transform("roads", lambda r: r["r_y"]).alias("r_y"))
+    # segments with the same roads around them go to Python together, with these roads once
+    around = near(lines, roads, AROUND_KM).groupBy("n").agg(F.sort_array(F.collect_list("road")).alias("roads"))
+    rows = lines.join(around.withColumn("set", F.xxhash64("roads")), "n").checkpoint()
+    sets = rows.groupBy("set").agg(F.first("roads").alias("roads"), F.ceil(F.count("*") / AT_ROADS).alias("parts"))
+    lying = sets.select("set", F.explode("roads").alias("road")).join(roads.select("road", *flat("r")), "road")
+    lying = lying.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("road", "r_x", "r_y"))).alias("lying"))
+    rows = rows.join(sets.select("set", "parts"), "set").groupBy("set", F.pmod(F.xxhash64("n"), F.col("parts")).alias("part")).agg(F.collect_list(F.struct(*KEY, *flat("c"))).alias("beside"))
+    rows = spread_out(rows.join(lying, "set").select("beside", F.transform("lying", lambda r: r["r_x"]).alias("r_x"), F.transform("lying", lambda r: r["r_y"]).alias("r_y")))
 
     def lead(batches):
         for b in batches:
-            out = []
-            for i, k, x, y, rx, ry in zip(b["shape_id"], b["shape_index"], b["c_x"], b["c_y"], b["r_x"], b["r_y"], strict=True):
-                out += [(i, k, way[:, 0], way[:, 1]) for way in routes.assisted(line_of(x, y), [line_of(p, q) for p, q in zip(rx, ry, strict=True)], method, slicing, compat)]
-            yield pd.DataFrame(out, columns=[*KEY, "x", "y"])
+            for beside, rx, ry in zip(b["beside"], b["r_x"], b["r_y"], strict=True):
+                along = routes.graph([line_of(p, q) for p, q in zip(rx, ry, strict=True)])
+                out = [(s["shape_id"], s["shape_index"], way[:, 0], way[:, 1]) for s in beside for way in routes.led(line_of(s["c_x"], s["c_y"]), along, method, slicing, compat)]
+                yield pd.DataFrame(out, columns=[*KEY, "x", "y"])
 
     return rows.mapInPandas(lead, "shape_id string, shape_index int, x array<double>, y array<double>").select(*KEY, zipped("x", "y").alias("coords"))
 
 
 def assisted(segments: DataFrame, roads: DataFrame, method: str, slicing: str, compat: bool = False) -> DataFrame:
     """Matches of the lines that stand in for segments, tagged with how they came about."""
-    found = match(preprocessed(led_along_roads(segments, roads, method, slicing, compat), compat), roads)
+    lines = preprocessed(led_along_roads(segments, roads, method, slicing, compat), compat).checkpoint()  # routes are made once for all that match does with them
+    found = match(lines, roads)
     return found.withColumn("osrm_assisted", F.lit(True)).withColumn("osrm_method", F.lit(method)).withColumn("line_slice_method", F.lit(slicing))
 
 

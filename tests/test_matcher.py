@@ -3,7 +3,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from farelane.functions import kernels
+from farelane.functions import kernels, routes
 from farelane.operators import mapjoin, matcher, matches
 from farelane.operators.network import as_coords, as_line
 
@@ -101,3 +101,17 @@ def test_pieces_of_a_located_road():
     for i in (0, 100, 400):
         a, b = (matcher.pieces(road[i : i + 4] + [1e-5, 5e-5], r) for r in (road, kernels.Located(road)))
         assert len(a) == len(b) > 0 and all(x[:2] == y[:2] and (x[2] == y[2]).all() for x, y in zip(a, b, strict=True))
+
+
+def test_many_segments_beside_long_roads_are_led_along_them(spark):
+    """Before, each segment's row held all of the roads near it, and each point was held against all of their points."""
+    line = np.array([(-73.9 + i * 2e-3, 42.6 + i % 5 * 3e-4) for i in range(20_000)])
+    s = frame(spark, [("a", i, as_coords(line[6 * i : 6 * i + 4] + [6e-4, 0])) for i in range(3000)], "shape_id string, shape_index int")
+    roads = frame(spark, [("r", as_coords(line)), ("q", as_coords(line[::-1] + [0, 2e-3]))], "shst_reference string")
+    began = time.time()
+    got = matcher.led_along_roads(s, roads, routes.MATCH, routes.DISTANCE).filter("shape_index % 300 = 7").collect()
+    assert time.time() - began < 60
+    lines = [as_line(r["coords"]) for r in matcher.numbered_roads(roads).orderBy("road").collect()]
+    for i in range(7, 3000, 300):
+        want = routes.assisted(line[6 * i : 6 * i + 4] + [6e-4, 0], lines, routes.MATCH, routes.DISTANCE)
+        assert want and sorted(as_line(r["coords"]).tolist() for r in got if r["shape_index"] == i) == sorted(x.tolist() for x in want)
