@@ -113,6 +113,22 @@ def test_traffic_by_route_takes_no_row_an_observation(spark):
     assert time.time() - began < 30 and got["n"] > 1_000_000 and got["longest"] > 50
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_probe_of_odd_tables(spark, seed):
+    _, _, _, traffic, shape_map, road, _ = odd_tables(spark, seed)
+    want = schedule.met(schedule.observed(schedule.with_overlaps(traffic), schedule.shares(traffic, shape_map, road)))
+    got = schedule.synthetic_probe(traffic, shape_map, road)
+    assert plain(got) == plain(want.withColumn("travel_time", F.col("ms") / 1000).select(*got.columns)) and got.count() > 500
+
+
+def test_probe_looks_for_meeting_observations_only_where_some_can_be(spark, monkeypatch):
+    """Before, all observations were made twice."""
+    _, _, _, traffic, shape_map, road, _ = long_stretch(spark, 5_000, 100)
+    spread_over, plain_observed = [], schedule.observed
+    monkeypatch.setattr(schedule, "observed", lambda rows, part: spread_over.append(rows.count()) or plain_observed(rows, part))
+    assert schedule.synthetic_probe(traffic, shape_map, road).count() >= 500_000 and spread_over == [5_000, 0]
+
+
 def test_names_beyond_a_code():
     names = [f"r{k:03}" for k in range(100)]
     sets = [[0, 47], [0, 47], [48, 99], [50], list(range(100))]
