@@ -129,6 +129,32 @@ def test_probe_looks_for_meeting_observations_only_where_some_can_be(spark, monk
     assert schedule.synthetic_probe(traffic, shape_map, road).count() >= 500_000 and spread_over == [5_000, 0]
 
 
+PATH = ["trip_id", "departure_seg_idx", "arrival_seg_idx", "shape_index", "conflation_map_id", "along_idx"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_traversal_paths_of_odd_tables(spark, seed, monkeypatch):
+    monkeypatch.setattr(schedule, "TRIPS", 4)
+    monkeypatch.setattr(schedule, "AT_ONCE", 3)
+    monkeypatch.setattr(schedule, "ROWS_A_TASK", 100)
+    _, _, _, traffic, shape_map, road, _ = odd_tables(spark, seed)
+    traffic = traffic.unionByName(traffic.limit(9)).unionByName(traffic.limit(9).withColumn("trip_id", F.lit(None).cast("int")))
+    got = schedule.traversal_paths(traffic, shape_map, road)
+    assert plain(got) == plain(schedule.paths_of_traversals(traffic, shape_map, road).select(*PATH)) and got.count() > 500
+    assert schedule.traversal_paths(traffic.limit(0), shape_map, road).count() == 0
+
+
+def test_traversal_paths_are_small_when_written(spark, tmp_path):
+    """Before, trips came one after the other, each with numbers of its whole path."""
+    _, _, _, traffic, shape_map, road, _ = long_stretch(spark, 6_000, 300)
+    for name in ("paths_of_traversals", "traversal_paths"):
+        getattr(schedule, name)(traffic, shape_map, road).select(*PATH).write.parquet(str(tmp_path / name))
+    rows = [spark.read.parquet(str(tmp_path / name)) for name in ("paths_of_traversals", "traversal_paths")]
+    assert rows[0].count() == rows[1].count() >= 1_800_000 and rows[0].agg(F.sum(F.xxhash64(*PATH).cast("decimal(20)"))).first() == rows[1].agg(F.sum(F.xxhash64(*PATH).cast("decimal(20)"))).first()
+    before, after = (sum(p.stat().st_size for p in (tmp_path / name).glob("*.parquet")) for name in ("paths_of_traversals", "traversal_paths"))
+    assert after < 0.6 * before
+
+
 def test_names_beyond_a_code():
     names = [f"r{k:03}" for k in range(100)]
     sets = [[0, 47], [0, 47], [48, 99], [50], list(range(100))]
