@@ -169,6 +169,24 @@ def test_nearest_segments_are_the_least_of_all_projections(spark):
     assert len(rows) == least.count() > 0 and all(r[0] for r in rows)
 
 
+def test_projections_in_small_parts(spark, monkeypatch):
+    """Before, the few bytes of stops and lines came to one task, which made all pairs of a large shape."""
+    for name, n in (("AT_A_LINE", 3), ("AT_ONCE", 2), ("PAIRS", 20)):
+        monkeypatch.setattr(network, name, n)
+    df = registry.QUERIES["stop_projections"](spark, SF)
+    same(df, registry.ORACLE_SQL["stop_projections"], SF)
+    assert df.select(F.spark_partition_id()).distinct().count() > 10
+
+
+def test_projections_of_odd_stops(spark):
+    coords = "array<struct<lon:double,lat:double>>"
+    lines = spark.createDataFrame([("a", [(0.0, 0.0), (1.0, 0.0), (1.0, 0.0), (1.0, 1.0)]), ("b", [(0.0, 0.0), (1.0, 0.0)]), ("c", [(0.0, 0.0)]), (None, [(0.0, 0.0), (1.0, 0.0)])], f"shape_id string, coords {coords}")
+    stops = spark.createDataFrame([("a", 1, 0.5, 0.0), ("a", 1, 0.5, 0.0), ("a", None, 0.0, 0.0), ("a", 2, None, 0.0), ("c", 1, 0.0, 0.0), ("d", 1, 0.0, 0.0), (None, 1, 0.0, 0.0)], "shape_id string, k int, lon double, lat double")
+    got = sorted(((r["shape_id"], r["k"], r["seg"], r["dev"] is None or round(r["dev"], 6) == 0) for r in network.segment_projections(stops, lines).collect()), key=str)
+    assert got == sorted([("a", k, seg, seg == 0 or (k == 2)) for k in (1, 1) for seg in range(3)] + [("a", None, seg, seg == 0) for seg in range(3)] + [("a", 2, seg, True) for seg in range(3)], key=str)
+    assert network.segment_projections(stops.limit(0), lines).count() == 0
+
+
 def test_redundant_matches_of_a_large_group(spark):
     """Sets of vertices are compared, not all pairs of a group's matches."""
     i = F.col("id")
