@@ -129,6 +129,31 @@ def test_probe_looks_for_meeting_observations_only_where_some_can_be(spark, monk
     assert schedule.synthetic_probe(traffic, shape_map, road).count() >= 500_000 and spread_over == [5_000, 0]
 
 
+@pytest.mark.parametrize("seed,compat", [(1, False), (2, True)])
+def test_probe_in_small_parts(spark, seed, compat, monkeypatch):
+    monkeypatch.setattr(schedule, "TRIPS", 4)
+    monkeypatch.setattr(schedule, "AT_ONCE", 3)
+    monkeypatch.setattr(schedule, "ROWS_A_TASK", 100)
+    _, _, _, traffic, shape_map, road, _ = odd_tables(spark, seed)
+    traffic = traffic.unionByName(traffic.limit(9)).unionByName(traffic.limit(9).withColumn("trip_id", F.lit(None).cast("int")))
+    want = schedule.met(schedule.observed(schedule.with_overlaps(traffic), schedule.shares(traffic, shape_map, road, compat)))
+    got = schedule.synthetic_probe(traffic, shape_map, road, compat)
+    assert plain(got) == plain(want.withColumn("travel_time", F.col("ms") / 1000).select(*got.columns)) and got.count() > 400
+    assert schedule.synthetic_probe(traffic.limit(0), shape_map, road, compat).count() == 0
+
+
+def test_probe_is_small_when_written(spark, tmp_path):
+    """Before, trips came one after the other, each with its own epochs and travel times."""
+    _, _, _, traffic, shape_map, road, _ = long_stretch(spark, 6_000, 300)
+    traffic = traffic.withColumn("arrival_time_sec", F.col("departure_time_sec") + 200 - F.col("trip_id") % 60)
+    plainly = schedule.observed(schedule.with_overlaps(traffic), schedule.shares(traffic, shape_map, road)).select("conflation_map_id", "trip_id", "epoch", (F.col("ms") / 1000).alias("travel_time"))
+    sizes = []
+    for k, rows in enumerate((plainly, schedule.synthetic_probe(traffic, shape_map, road))):
+        rows.write.parquet(str(tmp_path / str(k)))
+        sizes.append((spark.read.parquet(str(tmp_path / str(k))).agg(F.count("*"), F.bit_xor(F.xxhash64(*plainly.columns))).first(), sum(p.stat().st_size for p in (tmp_path / str(k)).glob("*.parquet"))))
+    assert sizes[0][0] == sizes[1][0] and sizes[0][0][0] == 1_800_000 and sizes[1][1] < 0.6 * sizes[0][1]
+
+
 PATH = ["trip_id", "departure_seg_idx", "arrival_seg_idx", "shape_index", "conflation_map_id", "along_idx"]
 
 
