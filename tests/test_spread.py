@@ -142,13 +142,14 @@ def test_probe_in_small_parts(spark, seed, compat, monkeypatch):
     assert schedule.synthetic_probe(traffic.limit(0), shape_map, road, compat).count() == 0
 
 
-def test_probe_is_small_when_written(spark, tmp_path):
+@pytest.mark.parametrize("compat", [False, True])
+def test_probe_is_small_when_written(spark, tmp_path, compat):
     """Before, trips came one after the other, each with its own epochs and travel times."""
     _, _, _, traffic, shape_map, road, _ = long_stretch(spark, 6_000, 300)
     traffic = traffic.withColumn("arrival_time_sec", F.col("departure_time_sec") + 200 - F.col("trip_id") % 60)
-    plainly = schedule.observed(schedule.with_overlaps(traffic), schedule.shares(traffic, shape_map, road)).select("conflation_map_id", "trip_id", "epoch", (F.col("ms") / 1000).alias("travel_time"))
+    plainly = schedule.observed(schedule.with_overlaps(traffic), schedule.shares(traffic, shape_map, road, compat)).select("conflation_map_id", "trip_id", "epoch", (F.col("ms") / 1000).alias("travel_time"))
     sizes = []
-    for k, rows in enumerate((plainly, schedule.synthetic_probe(traffic, shape_map, road))):
+    for k, rows in enumerate((plainly, schedule.synthetic_probe(traffic, shape_map, road, compat))):
         rows.write.parquet(str(tmp_path / str(k)))
         sizes.append((spark.read.parquet(str(tmp_path / str(k))).agg(F.count("*"), F.bit_xor(F.xxhash64(*plainly.columns))).first(), sum(p.stat().st_size for p in (tmp_path / str(k)).glob("*.parquet"))))
     assert sizes[0][0] == sizes[1][0] and sizes[0][0][0] == 1_800_000 and sizes[1][1] < 0.6 * sizes[0][1]
