@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ OTHER_SPEED = 30.0
 BROADCAST_ROWS = 500_000
 #: Trips that go to a task with the path of their stretch, and that go along it together; rows that a task makes of them (all about).
 TRIPS, AT_ONCE, ROWS_A_TASK = 8192, 512, 16_000_000
+#: Bytes of different paths that a task holds (Parquet writes strings once each up to 1 MB of them in a file), and of all paths that it makes (all about).
+BYTES_HELD, BYTES_A_TASK = 256_000, 4_000_000_000
 WEEKDAYS = range(7)
 TRIPLE = ["shape_id", "departure_seg_idx", "arrival_seg_idx"]
 
@@ -95,21 +99,35 @@ def paths_of_traversals(traffic: DataFrame, shape_map: DataFrame, conflation_map
     return steps.join(segments, ["shape_id", "shape_index"])
 
 
-def path_arrays(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame) -> DataFrame:
+def path_arrays(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame, shown: Callable[[Column], list[Column]] = lambda path: [path.alias("path")]) -> DataFrame:
     """The map segments of each traversal in order, as an array of structs (compare ``paths_of_traversals``, a row each).
 
-    A path depends only on the stretch of the shape, so it is made once for each distinct one.
+    A path depends only on the stretch of the shape, so it is made once for each distinct one, and so are the columns ``shown`` of it. Trips of a stretch meet them
+    as an array, in so many tasks that one has few different paths, which Parquet can then write once each; a row for each trip comes only as it is written.
     """
     entry = F.struct("shape_index", "along_idx", "conflation_map_id")
     cluster.prepare(traffic.sparkSession)
-    paths = paths_of_traversals(traffic.select(*TRIPLE).distinct(), shape_map, conflation_map).groupBy(*TRIPLE).agg(F.sort_array(F.collect_list(entry)).alias("path")).checkpoint()
-    paths = F.broadcast(paths) if (paths.agg(F.sum(F.size("path"))).first()[0] or 0) <= BROADCAST_ROWS else paths
+    paths = paths_of_traversals(traffic.groupBy(*TRIPLE).agg(F.count("*").alias("n")), shape_map, conflation_map)
+    paths = paths.groupBy(*TRIPLE).agg(F.first("n").alias("n"), F.sort_array(F.collect_list(entry)).alias("path")).withColumn("parts", F.ceil(F.col("n") / TRIPS)).checkpoint()
     one = ["trip_id", "departure_seg_idx", "arrival_seg_idx"]
+    texts = paths.select("n", "parts", F.size("path").cast("long").alias("m"), F.struct(*shown(F.col("path"))).alias("s"))
+    strings = [F.octet_length(f"s.{f.name}") for f in texts.schema["s"].dataType if f.dataType.typeName() == "string"]
+    size = sum(strings, F.lit(0)) if strings else F.col("m") * 32
+    held, made, stretches = texts.agg(F.sum(size * F.col("parts")), F.sum(size * F.col("n")), F.count("*")).first()
+    tasks = max(1, -(-(held or 0) // BYTES_HELD), -(-(made or 0) // BYTES_A_TASK))
     rows = traffic.filter("arrival_seg_idx > departure_seg_idx").groupBy(*one).agg(F.collect_list("shape_id").alias("shapes"))
-    alone = rows.filter("size(shapes) = 1").withColumn("shape_id", F.get("shapes", F.lit(0))).join(paths, TRIPLE).select(*one, "path")
+    alone = rows.filter("size(shapes) = 1").withColumn("shape_id", F.get("shapes", F.lit(0)))
+    parts = paths.select(*TRIPLE, "parts")
+    alone = alone.join(F.broadcast(parts) if stretches <= BROADCAST_ROWS else parts, TRIPLE).withColumn("part", F.pmod(F.xxhash64("trip_id"), F.col("parts")))
+    alone = alone.repartition(tasks, *TRIPLE, "part").groupBy(*TRIPLE, "part").agg(F.collect_list(F.struct("trip_id")).alias("trips"))  # collect_list leaves out nulls
+    each = paths.select(*TRIPLE, "path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).repartition(tasks, *TRIPLE, "part")
+    each = each.select(*TRIPLE, "part", *shown(F.col("path")))
+    names = [c for c in each.columns if c not in (*TRIPLE, "part")]
+    alone = alone.join(each, [*TRIPLE, "part"]).select(F.explode("trips").alias("t"), *one[1:], *names).select("t.trip_id", *one[1:], *names)
     # a trip that is there more than once has all of its paths in one
-    again = rows.filter("size(shapes) > 1").withColumn("shape_id", F.explode("shapes")).join(paths, TRIPLE)
-    return alone.unionByName(again.groupBy(*one).agg(F.sort_array(F.flatten(F.collect_list("path"))).alias("path")))
+    again = rows.filter("size(shapes) > 1").withColumn("shape_id", F.explode("shapes")).join(paths.select(*TRIPLE, "path"), TRIPLE)
+    again = again.groupBy(*one).agg(F.sort_array(F.flatten(F.collect_list("path"))).alias("path"))
+    return alone.unionByName(again.select(*one, *shown(F.col("path"))))
 
 
 def traversal_paths(traffic: DataFrame, shape_map: DataFrame, conflation_map: DataFrame) -> DataFrame:

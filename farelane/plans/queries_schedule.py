@@ -266,9 +266,8 @@ def traversal_paths(t):
 @query(f"""WITH {TRAFFIC}, {PATHS} SELECT trip_id, departure_seg_idx, arrival_seg_idx, count(*) AS n,
        array_to_string(list(conflation_map_id ORDER BY shape_index, along_idx, conflation_map_id), ',') AS ids FROM paths GROUP BY 1, 2, 3""")
 def traversal_path_arrays(t):
-    rows = schedule.path_arrays(traffic_of(t), t("tx_shape_map_join"), t("tx_conflation_map"))
-    ids = F.array_join(F.transform("path", lambda x: x["conflation_map_id"].cast("string")), ",")
-    return rows.select("trip_id", "departure_seg_idx", "arrival_seg_idx", F.size("path").cast("long").alias("n"), ids.alias("ids"))
+    ids = lambda path: F.array_join(F.transform(path, lambda x: x["conflation_map_id"].cast("string")), ",")
+    return schedule.path_arrays(traffic_of(t), t("tx_shape_map_join"), t("tx_conflation_map"), lambda path: [F.size(path).cast("long").alias("n"), ids(path).alias("ids")])
 
 
 @query(f"SELECT m.id, m.networklevel, CAST({SPEED} AS DOUBLE) AS speed FROM tx_conflation_map m")

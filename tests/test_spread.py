@@ -155,6 +155,37 @@ def test_probe_is_small_when_written(spark, tmp_path, compat):
     assert sizes[0][0] == sizes[1][0] and sizes[0][0][0] == 1_800_000 and sizes[1][1] < 0.6 * sizes[0][1]
 
 
+def ids_of(path):
+    return [F.size(path).alias("n"), F.array_join(F.transform(path, lambda x: x["conflation_map_id"].cast("string")), ",").alias("ids")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_path_arrays_in_small_parts(spark, seed, monkeypatch):
+    for name, n in (("TRIPS", 4), ("BYTES_HELD", 500), ("BYTES_A_TASK", 1000)):
+        monkeypatch.setattr(schedule, name, n)
+    _, _, _, traffic, shape_map, road, _ = odd_tables(spark, seed)
+    traffic = traffic.unionByName(traffic.limit(9)).unionByName(traffic.limit(9).withColumn("trip_id", F.lit(None).cast("int")))
+    one = ["trip_id", "departure_seg_idx", "arrival_seg_idx"]
+    want = schedule.paths_of_traversals(traffic, shape_map, road).groupBy(*one).agg(F.sort_array(F.collect_list(F.struct("shape_index", "along_idx", "conflation_map_id"))).alias("path"))
+    got = schedule.path_arrays(traffic, shape_map, road, ids_of)
+    assert plain(got) == plain(want.select(*one, *ids_of(F.col("path"))).select(*got.columns)) and got.count() > 100
+    assert plain(schedule.path_arrays(traffic, shape_map, road)) == plain(want)
+    assert schedule.path_arrays(traffic.limit(0), shape_map, road).count() == 0
+
+
+def test_path_arrays_hold_a_text_once(spark, tmp_path):
+    """Before, each trip had its ids joined anew, and paths came in any order, so that Parquet gave up its dictionary."""
+    i = F.col("id").cast("int")
+    at = (i / 10_000).cast("int")
+    traffic = spark.range(9_000).select(i.alias("trip_id"), (i % 30).alias("shape_id"), at.alias("departure_seg_idx"), (at + 1).alias("arrival_seg_idx"))
+    shape_map = spark.range(30 * 3_000).select((i % 30).alias("shape_id"), F.lit(0).alias("shape_index"), F.xxhash64("id").alias("conflation_map_id"), F.col("id").alias("along_idx"))
+    road = shape_map.select(F.col("conflation_map_id").alias("id"), F.lit(1).alias("networklevel"), F.lit(1.0).alias("length_km"))
+    schedule.path_arrays(traffic, shape_map, road, ids_of).write.parquet(str(tmp_path / "out"))
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 20_000_000  # 540 MB of text, of which 2 MB differ
+    got = spark.read.parquet(str(tmp_path / "out")).agg(F.count("*").alias("n"), F.min("n").alias("least"), F.count_distinct(F.xxhash64("ids")).alias("texts")).first()
+    assert got.asDict() == {"n": 9_000, "least": 3_000, "texts": 30}
+
+
 PATH = ["trip_id", "departure_seg_idx", "arrival_seg_idx", "shape_index", "conflation_map_id", "along_idx"]
 
 
